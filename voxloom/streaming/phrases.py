@@ -55,7 +55,7 @@ def _frame(rows: list[tuple]) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=names)
 
 
-def _segment(timeout_ms: int):
+def _segment(timeout_ms: int | None):
     def step(
         key: tuple, batches: Iterator[pd.DataFrame], state: GroupState
     ) -> Iterator[pd.DataFrame]:
@@ -91,17 +91,22 @@ def _segment(timeout_ms: int):
             state.remove()
         else:
             state.update((next_seq, phrase.phrase_no, json.dumps(phrase.words), json.dumps(waiting)))
-            state.setTimeoutDuration(timeout_ms)
+            if timeout_ms is not None:
+                state.setTimeoutDuration(timeout_ms)
 
     return step
 
 
-def stream_phrases(words: DataFrame, timeout_ms: int = 3_600_000) -> DataFrame:
+def stream_phrases(words: DataFrame, timeout_ms: int | None = None) -> DataFrame:
     """Phrases from a stream of (utt_id, seq, word, offset_ticks, duration_ticks, is_last).
 
     seq counts the words of an utterance from 0 and may arrive in any order. The
     work of one utterance is in the order of its words, hence in one task; a rate
     limit on the source bounds how much of it a micro-batch holds.
+
+    An utterance whose last word never comes is closed after timeout_ms. Give one to
+    a stream that runs on; a run over available data must have none, since Spark
+    keeps starting empty batches to look for timeouts.
     """
     rows = words.select(
         "utt_id",
@@ -111,8 +116,11 @@ def stream_phrases(words: DataFrame, timeout_ms: int = 3_600_000) -> DataFrame:
         F.col("duration_ticks").cast("bigint").alias("duration_ticks"),
         "is_last",
     )
+    timeout = (
+        GroupStateTimeout.NoTimeout if timeout_ms is None else GroupStateTimeout.ProcessingTimeTimeout
+    )
     closed = rows.groupBy("utt_id").applyInPandasWithState(
-        _segment(timeout_ms), CLOSED, STATE, "append", GroupStateTimeout.ProcessingTimeTimeout
+        _segment(timeout_ms), CLOSED, STATE, "append", timeout
     )
     return closed.select(
         "utt_id",
