@@ -108,8 +108,10 @@ def subtitle_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("doc_id").cast("string"),
         F.when(F.pmod("doc_id", F.lit(3)) == 0, F.lit(".txt")).otherwise(F.lit(".SRT")),
     )
+    content = F.when(prose, F.col("text")).otherwise(made)
+    # The generator keeps the content computed once, however often it is used.
     files = docs.select(
-        "doc_id", name.alias("file_name"), F.when(prose, F.col("text")).otherwise(made).alias("content")
+        "doc_id", name.alias("file_name"), F.explode(F.array(content)).alias("content")
     )
     return files.unionByName(fx.frame(spark, fx.F2, fx.F2_SCHEMA))
 

@@ -162,7 +162,9 @@ def _on_cue_outcomes(operator: Callable[[DataFrame, DataFrame], DataFrame]) -> Q
 def _document_stream(spark: SparkSession, sf: str) -> DataFrame:
     schema = read_table(spark, f"{sf}/documents.parquet", "doc_id", "text").schema
     # A pattern, since the file source takes folders and patterns but no single file.
-    return spark.readStream.schema(schema).parquet(f"{sf}/documents*.parquet")
+    return spark.readStream.schema(schema).parquet(f"{sf}/documents*.parquet").repartition(
+        2 * spark.sparkContext.defaultParallelism
+    )
 
 
 def utterances_stream(spark: SparkSession, sf: str) -> DataFrame:

@@ -31,8 +31,20 @@ def sub(pattern: str, replacement: str):
 
 
 def strip(c: Column) -> Column:
-    """Remove Unicode whitespace at both ends."""
-    return F.regexp_replace(c, STRIP, "")
+    """Remove Unicode whitespace at both ends.
+
+    Most texts have none there, which their first and last character show. c is used
+    more than once, so it should be a plain column.
+    """
+    ends = F.concat(F.left(c, F.lit(1)), F.right(c, F.lit(1)))
+    padded = F.rlike(ends, F.lit(f"[{WS}]"))
+    return F.when(padded, F.regexp_replace(c, STRIP, "")).otherwise(c)
+
+
+def zero_padded(number: Column, width: int) -> Column:
+    """Digits with leading zeros; a longer number keeps all its digits."""
+    digits = number.cast("string")
+    return F.lpad(digits, F.greatest(F.length(digits), F.lit(width)), F.lit("0"))
 
 
 def is_blank(c: Column) -> Column:

@@ -27,7 +27,7 @@ MAX_PAGES = 4096
 
 def _in_order(position: str, value: str) -> Column:
     """Aggregate: the values of a group as an array, by position."""
-    rows = F.array_sort(F.collect_list(F.struct(position, value)))
+    rows = F.sort_array(F.collect_list(F.struct(position, value)))
     return rows.getField(value)
 
 
@@ -85,7 +85,8 @@ def long_paragraphs(
     is the number of closed pieces on earlier pages plus its place on the page.
     """
     cleaned = pages.select(key, page_no, paragraph_text(clean_text(F.col(text))).alias("body"))
-    cleaned = settle(cleaned.filter(F.col("body") != ""))
+    # Settled before the filter, which would otherwise clean each page a second time.
+    cleaned = settle(cleaned).filter(F.col("body") != "")
     numbered = running_totals(
         cleaned.withColumn("_block", position_block(page_no, block_rows)),
         key,
@@ -128,8 +129,9 @@ def long_utterances(
         key, "para_no", "first_no", F.posexplode("pieces").alias("place", "piece")
     )
     raw = pieces.groupBy(key, (F.col("first_no") + F.col("place")).alias("raw_no")).agg(
-        strip(F.array_join(_in_order("para_no", "piece"), "\n\n")).alias("sentence")
+        F.array_join(_in_order("para_no", "piece"), "\n\n").alias("joined")
     )
+    raw = raw.select(key, "raw_no", strip(F.col("joined")).alias("sentence"))
     kept = settle(raw.filter(F.col("sentence") != ""))
     counted = running_totals(
         kept.withColumn("_block", position_block("raw_no", block_rows)),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from voxloom.functions.text import WS, strip
+from voxloom.functions.text import WS, strip, zero_padded
 
 # A period ends a sentence if white space or the end of the text follows. The
 # white space on both sides of it belongs to the separator. "!" and "?" do not
@@ -27,7 +27,7 @@ def join_sentences(group: Column) -> Column:
 
 def utterance_name(number: Column, prefix: str, suffix: str = ".txt") -> Column:
     """``prefix_0001.txt``; the number grows past four digits uncut."""
-    return F.format_string("%s_%04d" + suffix, F.lit(prefix), number)
+    return F.concat(F.lit(f"{prefix}_"), zero_padded(number, 4), F.lit(suffix))
 
 
 def check_group_size(sentences_per_utterance: int) -> None:
