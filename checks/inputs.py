@@ -39,7 +39,7 @@ WS_RE2 = r"[\s\p{Z}\x0b\x1c-\x1f\x{85}]"
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(read_table(spark, f"{sf_dir}/documents.parquet", "doc_id", "text"))
+    return spread(read_table(spark, f"{sf_dir}/documents.parquet", "doc_id", "text"), "doc_id")
 
 
 def noisy(docs: DataFrame) -> DataFrame:
@@ -67,7 +67,8 @@ def texts_sql() -> str:
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Turns of a conversation as the pages of a document; one in seven has no text."""
-    turns = spread(read_table(spark, f"{sf_dir}/conversations.parquet", "conv_id", "turn", "text"))
+    table = read_table(spark, f"{sf_dir}/conversations.parquet", "conv_id", "turn", "text")
+    turns = spread(table, "conv_id", "turn")
     kept = F.when(F.pmod(F.col("conv_id") + F.col("turn"), F.lit(7)) != 3, F.col("text"))
     return turns.select(
         F.col("conv_id").alias("doc_id"), F.col("turn").alias("page_no"), kept.alias("text")
@@ -158,7 +159,7 @@ def events_of(docs: DataFrame) -> DataFrame:
         F.col("doc_id").cast("string").alias("utt_id"),
         "seq",
         "word",
-        ((F.col("seq").cast("bigint") * 600 + pause) * 10000).alias("offset_ticks"),
+        ((F.col("seq").cast("bigint") * 420 + pause) * 10000).alias("offset_ticks"),
         (length.cast("bigint") * 10000).alias("duration_ticks"),
         (F.col("seq") == F.col("n") - 1).alias("is_last"),
     )
@@ -176,7 +177,7 @@ def events_and_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
 def words_sql() -> str:
     return f"""(
     SELECT CAST(doc_id AS VARCHAR) AS utt_id, seq, word,
-           (seq * 600 + ((seq * 7919 + doc_id) % 11) * 40) * 10000 AS offset_ticks,
+           (seq * 420 + ((seq * 7919 + doc_id) % 11) * 40) * 10000 AS offset_ticks,
            (least(length(word), 12) * 25 + 100) * 10000 AS duration_ticks
     FROM (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) - 1 AS seq
           FROM (SELECT doc_id, regexp_split_to_array(text, '[ \\n]+') AS words FROM documents))
@@ -187,7 +188,8 @@ def words_sql() -> str:
 
 def tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Turns of a conversation as the tracks of an album."""
-    turns = spread(read_table(spark, f"{sf_dir}/conversations.parquet", "conv_id", "turn", "text"))
+    table = read_table(spark, f"{sf_dir}/conversations.parquet", "conv_id", "turn", "text")
+    turns = spread(table, "conv_id", "turn")
     made = turns.select(
         F.col("conv_id").alias("album_id"),
         F.format_string("turn_%04d.mp3", "turn").alias("file_name"),
