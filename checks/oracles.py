@@ -317,6 +317,7 @@ def all_sql() -> dict[str, str]:
         ),
         "phrases": f"{words} SELECT * FROM phrases",
         "phrases_stream": f"{words} SELECT * FROM phrases WHERE utt_id <> 'f4'",
+        "phrases_stream_blocks": f"{words} SELECT * FROM phrases WHERE utt_id <> 'f4'",
         "phrases_to_srt": f"""{words} SELECT utt_id, CAST(0 AS BIGINT) AS part_no,
             string_agg({phrase_block}, '' ORDER BY phrase_no) AS srt FROM phrases GROUP BY utt_id""",
         "synthesis_manifest": f"""WITH {manifest_ctes(src, 1)} SELECT {manifest_columns.replace(

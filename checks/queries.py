@@ -20,8 +20,9 @@ from voxloom.operators import timeline as tl
 from voxloom.plans.corpus import prepare_corpus, prepare_corpus_from_pages
 from voxloom.sources.files import decoded
 from voxloom.sources.tables import read_table
+from voxloom.streaming.phrase_batches import read_phrase_batches, write_phrase_batches
 from voxloom.streaming.phrases import stream_phrases
-from voxloom.streaming.runs import run_available
+from voxloom.streaming.runs import new_run, run_available
 from voxloom.streaming.utterances import stream_utterances
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -179,6 +180,13 @@ def phrases_stream(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.schema(made.schema).parquet(run_available(made))
 
 
+def phrases_stream_blocks(spark: SparkSession, sf: str) -> DataFrame:
+    words = ph.word_events(inputs.events_of(_document_stream(spark, sf)))
+    path = new_run(spark)
+    write_phrase_batches(words, path).awaitTermination()
+    return read_phrase_batches(spark, path)
+
+
 def corpus(spark: SparkSession, sf: str) -> DataFrame:
     return _wide(prepare_corpus(inputs.texts(spark, sf), sentences_per_utterance=2))
 
@@ -218,6 +226,7 @@ def all_queries() -> dict[str, Query]:
         "phrase_breaks": _on_words(ph.phrase_breaks),
         "phrases": _on_words(ph.phrases),
         "phrases_stream": phrases_stream,
+        "phrases_stream_blocks": phrases_stream_blocks,
         "phrases_to_srt": _on_words(lambda w: ph.phrases_to_srt(ph.phrases(w))),
         "synthesis_manifest": synthesis_manifest,
         "manifest_errors": manifest_errors,

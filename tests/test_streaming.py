@@ -8,6 +8,7 @@ from tests.test_groups import random_words, rows_of
 from voxloom.operators import phrases as ph
 from voxloom.operators.normalize import normalize
 from voxloom.operators.sentences import utterances
+from voxloom.streaming.phrase_batches import read_phrase_batches, write_phrase_batches
 from voxloom.streaming.phrases import stream_phrases
 from voxloom.streaming.runs import run_available
 from voxloom.streaming.utterances import stream_utterances
@@ -38,6 +39,15 @@ def test_phrases_in_any_order_of_arrival(spark, tmp_path):
         assert rows_of(found) == rows_of(ph.phrases(words))
 
 
+def test_phrase_batches_in_any_order_of_arrival(spark, tmp_path):
+    words = random_words(spark, 12, utterances=6)
+    for shuffled, block in ((False, 1000), (True, 16)):
+        source, out = str(tmp_path / f"in{shuffled}"), str(tmp_path / f"out{shuffled}")
+        write_batches(words, source, 3, shuffled)
+        write_phrase_batches(stream_of(spark, words, source), out, block).awaitTermination()
+        assert rows_of(read_phrase_batches(spark, out)) == rows_of(ph.phrases(words))
+
+
 def test_restart_goes_on_where_it_stopped(spark, tmp_path):
     words = fx.frame(spark, fx.F4, fx.F4_SCHEMA)
     source, out = str(tmp_path / "in"), str(tmp_path / "out")

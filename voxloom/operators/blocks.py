@@ -65,15 +65,19 @@ def split_long_groups(
 
     One small job finds the long keys. They are broadcast only after counting them.
     """
-    keys = long_groups(df, key, max_rows, position)
-    found = keys.limit(MAX_BROADCAST_KEYS + 1).count()
+    keys, found = small_side(long_groups(df, key, max_rows, position))
     if found == 0:
         return df, None
-    if found <= MAX_BROADCAST_KEYS:
-        keys = F.broadcast(keys)
     return df.join(keys, key, "left_anti"), df.join(keys, key, "left_semi")
 
 
+def small_side(keyed: DataFrame) -> tuple[DataFrame, int]:
+    """One side of a join, marked for broadcast if it has few rows, and its row count
+    (counted no further than matters). Otherwise Spark joins by shuffle."""
+    found = keyed.limit(MAX_BROADCAST_KEYS + 1).count()
+    return (F.broadcast(keyed) if found <= MAX_BROADCAST_KEYS else keyed), found
+
+
 def position_block(position: str, block_rows: int) -> Column:
     """Block number of a 0-based integer position."""
     return F.call_function("div", F.col(position), F.lit(block_rows))

@@ -114,7 +114,7 @@ def stream_phrases(words: DataFrame, timeout_ms: int | None = None) -> DataFrame
         "word",
         F.col("offset_ticks").cast("bigint").alias("offset_ticks"),
         F.col("duration_ticks").cast("bigint").alias("duration_ticks"),
-        "is_last",
+        F.coalesce("is_last", F.lit(False)).alias("is_last"),
     )
     timeout = (
         GroupStateTimeout.NoTimeout if timeout_ms is None else GroupStateTimeout.ProcessingTimeTimeout
