@@ -10,6 +10,7 @@ small row per block goes through a window over the whole group.
 from __future__ import annotations
 
 import tempfile
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -22,26 +23,29 @@ MAX_BROADCAST_KEYS = 100_000
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share for checkpoints.
+    """The folder all executors share for intermediate tables and stream progress.
 
     Taken from the session. Only a local session without one gets a folder of
     its own; a cluster must name it.
     """
     sc = spark.sparkContext
-    found = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if found is None:
+    named = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if named is None:
         if not sc.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        found = tempfile.mkdtemp(prefix="voxloom-")
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(found)
-    return found
+        named = tempfile.mkdtemp(prefix="voxloom-")
+        sc.setCheckpointDir(named)
+    return named
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Checkpoint to the shared folder, so later uses read rows and do not recompute them."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
+    """Write to the shared folder, so later uses read rows and do not recompute them.
+
+    A columnar table, so that each use reads only the columns it needs.
+    """
+    path = f"{shared_dir(df.sparkSession)}/settled-{uuid4()}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def long_groups(
