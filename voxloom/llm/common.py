@@ -59,7 +59,7 @@ def columns_from_text(
         raise ValueError(f"a new column may not be named like the text column {text!r}")
     kept = df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in names])
     schema = T.StructType([*kept.schema.fields, *added.fields])
-    arrow = to_arrow_schema(added, timezone="UTC")
+    arrow = to_arrow_schema(added)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         function = make()
@@ -109,7 +109,7 @@ def open_output(uri: str):
     """A stream that writes the file; the file system follows from the URI's scheme."""
     system, path = pafs.FileSystem.from_uri(uri)
     system.create_dir(path.rpartition("/")[0], recursive=True)
-    return system.open_output_stream(path)
+    return system.open_output_stream(path, compression=None)
 
 
 def open_input(uri: str):

@@ -1,10 +1,20 @@
-"""Toxicity: gradient-boosted trees over dense features of a text, with isotonic calibration."""
+"""Toxicity: gradient-boosted trees over dense features of a text, with isotonic calibration.
+
+The lexicon has a fixed part, and a part that is learnt: words and word beginnings that stand
+in many more texts of label 1 than of label 0. Lexicons are learnt from each half of the
+training rows and from both. A training row gets its features from the lexicon of the other
+half, so the trees see how far the lexicon holds for texts it has not seen; all other rows get
+them from both.
+"""
 
 from __future__ import annotations
 
 import re
+from collections import Counter, defaultdict
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -12,7 +22,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voxloom.llm.common import columns_from_text, settle
+from voxloom.llm.common import columns_from_text, settle, slices
 
 # Abusive words, and words for the person spoken to.
 LEXICON = frozenset(
@@ -38,23 +48,40 @@ FEATURES = (
     "capitals", "shouted_words", "exclamations", "questions", "punctuation",
     "obfuscated_words", "obfuscated_lexicon", "repeated_letters", "log_words",
 )
+LEARNT = ("learnt_density", "learnt_count", "learnt_kinds")
+INPUTS = (*FEATURES, *LEARNT)
+
+BEGINNING = 4  # letters
+MIN_TEXTS, MIN_RATIO = 5, 20  # texts of label 1 with a term, and how much likelier it is there
+MAX_TERMS = 2000  # of each learnt lexicon: those with the largest ratios
+HALVES = (0, 1, 2)  # bits of a term: learnt from half 0, half 1, both
 
 MAX_ITERATIONS, MAX_DEPTH = 20, 3
 MAX_TRAINING_ROWS = 500_000  # labelled rows; beyond it a share of them by hash of the id
 CALIBRATION_FOLD = 1  # of the folds that are learnt from, for isotonic regression
 
 
-def features(text: str | None) -> list[float]:
-    """One number for each of FEATURES; a text without words has zeros."""
+def terms_of(word: str) -> tuple[str, str]:
+    """A word as the lexicon knows it, and its beginning."""
+    return word, f"{word[:BEGINNING]}*"
+
+
+def features(text: str | None, learnt: dict[str, int] | None = None) -> list[float]:
+    """One number for each of FEATURES, then LEARNT once for each lexicon of HALVES; a text
+    without words has zeros. learnt gives the lexicons (as bits) that hold a term."""
     raw = (text or "").split()
     n = len(raw)
     if not n:
-        return [0.0] * len(FEATURES)
+        return [0.0] * (len(FEATURES) + len(LEARNT) * len(HALVES))
     hits, persons, hidden, odd, shouted = [], [], 0, 0, 0
     kinds = set()
+    found: Counter = Counter()
+    known = learnt.get if learnt else None
     for i, word in enumerate(raw):
         core = word.strip(STRIP)
         low = core.lower()
+        if known and (bits := known(low, 0) | (known(f"{low[:BEGINNING]}*", 0) if len(low) > BEGINNING else 0)):
+            found[low, bits] += 1
         if low in LEXICON:
             hits.append(i)
             kinds.add(low)
@@ -74,11 +101,15 @@ def features(text: str | None) -> list[float]:
     counts = np.bincount(body, minlength=128)
     letters = max(1, int(counts[65:91].sum() + counts[97:123].sum()))
     marks = int(counts[33:48].sum() + counts[58:65].sum() + counts[91:97].sum() + counts[123:127].sum())
-    return [
+    made = [
         len(hits) / n, float(np.log1p(len(hits))), float(np.log1p(len(kinds))), near / n, len(persons) / n,
         float(counts[65:91].sum()) / letters, shouted / n, float(counts[33]) / n, float(counts[63]) / n,
         marks / n, odd / n, hidden / n, sum(1 for _ in REPEATED.finditer(text)) / n, float(np.log1p(n)),
     ]
+    for half in HALVES:
+        own = [c for (_, bits), c in found.items() if bits >> half & 1]
+        made += [sum(own) / n, float(np.log1p(sum(own))), float(np.log1p(len(own)))]
+    return made
 
 
 def _around(places: list[int], at: int) -> list[int]:
@@ -86,11 +117,53 @@ def _around(places: list[int], at: int) -> list[int]:
     return places[max(0, i - 1) : i + 1]
 
 
-def with_features(docs: DataFrame, text: str = "text") -> DataFrame:
+def with_features(docs: DataFrame, text: str, learnt: dict[str, int]) -> DataFrame:
     def make():
-        return lambda texts: list(zip(*[features(t) for t in texts], strict=True))
+        return lambda texts: list(zip(*[features(t, learnt) for t in texts], strict=True))
 
-    return columns_from_text(docs, text, ", ".join(f"{f} double" for f in FEATURES), make)
+    names = [*FEATURES, *[f"{f}_{half}" for half in HALVES for f in LEARNT]]
+    return columns_from_text(docs, text, ", ".join(f"{f} double" for f in names), make)
+
+
+def learnt_lexicons(labelled: DataFrame) -> dict[str, int]:
+    """Terms and the lexicons that hold them (bits), from rows of _text, label and half.
+
+    Every row counts. Tasks count terms and emit sums, so what is shuffled is a row for each
+    term and slice of texts; at most MAX_TERMS terms a lexicon reach the driver.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, 16 << 20):
+                sums: dict[str, list[int]] = defaultdict(lambda: [0, 0, 0, 0])
+                for text, label, half in zip(*[c.to_pylist() for c in part.columns], strict=True):
+                    words = {w.strip(STRIP).lower() for w in (text or "").split()}
+                    terms = {t for w in words if len(w) > BEGINNING for t in terms_of(w)} | words
+                    for term in [*terms, ""]:  # "" counts the texts
+                        sums[term][2 * half + int(label)] += 1
+                if sums:
+                    columns = [list(sums), *zip(*sums.values(), strict=True)]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(columns[0], pa.string()), *[pa.array(c, pa.int64()) for c in columns[1:]]],
+                        ["term", "z0", "o0", "z1", "o1"],
+                    )
+
+    schema = "term string, z0 bigint, o0 bigint, z1 bigint, o1 bigint"
+    counted = labelled.select("_text", "label", "half").mapInArrow(count, schema)
+    sums = settle(counted.groupBy("term").agg(*[F.sum(c).alias(c) for c in ("z0", "o0", "z1", "o1")]))
+    totals = sums.filter("term = ''").first()
+    lexicons: dict[str, int] = defaultdict(int)
+    if totals is None:
+        return {}
+    for half, zero, one in ((0, "z0", "o0"), (1, "z1", "o1"), (2, "z0 + z1", "o0 + o1")):
+        zeros = totals["z0"] + totals["z1"] if half == 2 else totals[f"z{half}"]
+        ones = totals["o0"] + totals["o1"] if half == 2 else totals[f"o{half}"]
+        ratio = F.expr(f"({one}) * {max(zeros, 1)}D / ({max(ones, 1)}D * ({zero} + 1))")
+        least = MIN_TEXTS if half == 2 else (MIN_TEXTS + 1) // 2
+        kept = sums.filter((F.col("term") != "") & (F.expr(one) >= least) & (ratio >= MIN_RATIO))
+        for r in kept.orderBy(ratio.desc(), "term").limit(MAX_TERMS).select("term").collect():
+            lexicons[r["term"]] |= 1 << half
+    return dict(lexicons)
 
 
 def scored(
@@ -112,12 +185,25 @@ def scored(
     is that class (or 0) for all. Rows with a null key are scored too. Rows stay.
     """
     narrow = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
-    known = settle(with_features(narrow, "_text").drop("_text"))
+    held = fold(F.col("_key")) if fold is not None else F.lit(False)
+    learn = learn_from(F.col("_key"))
+    half = F.pmod(F.xxhash64("_key"), F.lit(2)).alias("half")
     truth = labels.filter(F.col(label).isNotNull()).groupBy(F.col(key).alias("_key"))
     truth = truth.agg((F.max(label) > 0).cast("double").alias("label"))
-    learn = learn_from(F.col("_key"))
+    labelled = narrow.filter(learn & ~held).join(truth, "_key")
+    learnt = learnt_lexicons(labelled.select("_text", "label", half))
+    known = settle(with_features(narrow, "_text", learnt).drop("_text"))
+    everything = [F.col(f"{f}_2").alias(f) for f in LEARNT]
+    # A row of one half is seen by the lexicon of the other.
+    other = [
+        F.when(held, F.col(f"{f}_2")).when(half == 0, F.col(f"{f}_1")).otherwise(F.col(f"{f}_0")).alias(f)
+        for f in LEARNT
+    ]
     pool = known.dropDuplicates(["_key"]).join(truth, "_key").filter(learn)
-    pool = settle(VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(pool))
+    pool = pool.select("_key", "label", *FEATURES, *other)
+    known = known.select("_key", *FEATURES, *everything)
+    assembler = VectorAssembler(inputCols=list(INPUTS), outputCol="features")
+    pool = settle(assembler.transform(pool))
     size, positives = pool.agg(F.count(F.lit(1)), F.sum("label")).first()
     if not size or positives in (0, size):
         constant = float((positives or 0) / size) if size else 0.0
@@ -128,7 +214,6 @@ def scored(
     if size > MAX_TRAINING_ROWS:
         share = MAX_TRAINING_ROWS / size
         pool = pool.filter(F.pmod(F.xxhash64("_key"), F.lit(1 << 20)) < int(share * (1 << 20)))
-    held = fold(F.col("_key")) if fold is not None else F.lit(False)
     grow = pool.filter(~held)
     if grow.filter("label = 1").isEmpty() or grow.filter("label = 0").isEmpty():
         grow = pool
@@ -145,8 +230,7 @@ def scored(
     if bent.filter("label = 1").isEmpty() or bent.filter("label = 0").isEmpty():
         bent = with_probability(pool).select("_raw", "label")
     curve = IsotonicRegression(featuresCol="_raw", labelCol="label", predictionCol="_even").fit(bent)
-    assembled = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(known)
-    judged = curve.transform(with_probability(assembled))
+    judged = curve.transform(with_probability(assembler.transform(known)))
     # The map has steps; a thousandth of the trees' own probability orders the rows of a step.
     score = F.col("_even") * 0.999 + F.col("_raw") * 0.001
     score = F.least(F.lit(1.0), F.greatest(F.lit(0.0), score))
