@@ -8,10 +8,11 @@ random bits and samples some steps; windows that agree in all sampled steps of a
 are candidates. A candidate is then verified: an item occurs in a document if some stretch of
 its words is within max_edits x (words of the item) insertions, deletions and substitutions.
 
-Long items are cut into windows of WINDOW words at every word; documents at every word too.
-The averaging argument: if an item occurs with a share e of edits, some window of it has at
-most that share, so windows with more foreign words than that are not walked. Items of fewer
-words than WINDOW get windows of their own length.
+Items are cut into windows of WINDOW words at every word, documents at every STRIDE-th word, so
+a stretch of WINDOW + STRIDE - 1 words of an item always has a window that is cut alike; items
+of fewer words get windows of their own size that leave this room. The averaging argument: if
+an item occurs with a share e of edits, some window of it has at most that share, so windows
+with more foreign words than that are not walked.
 
 Only the benchmark is broadcast, in blocks of at most BLOCK_ITEMS items; documents are read
 once for each block and never shuffled.
@@ -21,6 +22,7 @@ from __future__ import annotations
 
 import re
 from collections import defaultdict
+from itertools import repeat
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -29,9 +31,10 @@ from pyspark.sql import functions as F
 from voxloom.llm.common import columns_from_text, free_name
 
 WINDOW = 12
+STRIDE = 4
 MAX_EDITS = 0.2
-REPETITIONS = 16
-SAMPLED = 7  # steps of each repetition
+REPETITIONS = 12
+SAMPLED = 6  # steps of each repetition
 BLOCK_ITEMS = 20_000
 SEED = 7
 PIECE_WORDS = 1 << 17  # a long text is searched in overlapping pieces
@@ -44,15 +47,21 @@ def words_of(text: str | None) -> list[str]:
     return WORD.findall((text or "").lower())
 
 
+def window_length(words: int) -> int:
+    """Words of the windows of an item: WINDOW, or what leaves room for the stride."""
+    return min(WINDOW, max(1, words - STRIDE + 1))
+
+
 def expected_recall(edits: int, window: int = WINDOW, tries: int = 400) -> float:
     """Share of random windows with so many substitutions that become candidates."""
     rng, hits = np.random.default_rng(1), 0
-    walk = _Walk(window)
+    walk, size = _Walk(window), 1 << 16
     for _ in range(tries):
-        a = rng.integers(1, 1 << 30, window).astype(np.int64)
+        a = rng.integers(1, size, window)
         b = a.copy()
-        b[rng.choice(window, edits, replace=False)] = rng.integers(1, 1 << 30, edits)
-        hits += any((x == y).all() for x, y in zip(walk.keys(a[None]), walk.keys(b[None]), strict=True))
+        b[rng.choice(window, edits, replace=False)] = rng.integers(1, size, edits)
+        first, second = (list(walk.keys(w, np.zeros(1, np.int64), size)) for w in (a, b))
+        hits += any((x == y).all() for x, y in zip(first, second, strict=True))
     return hits / tries
 
 
@@ -65,33 +74,38 @@ def _mix(x: np.ndarray) -> np.ndarray:
 class _Walk:
     """The repetitions' random walks over windows of one length.
 
-    A walk has 3 x length steps; past the end of the window it gives a filler. Sampled steps
-    are among the first 2 x length ones, which is where a pointer of mean speed 1/2 is inside.
+    The pointer moves half a word a step and stays on the window's last word when it gets
+    there, so the steps that tell windows apart are the first 2 x length; some are sampled.
     """
 
     def __init__(self, length: int):
         self.length = length
         rng = np.random.default_rng((SEED, length))
         self.seeds = rng.integers(0, 1 << 63, REPETITIONS, dtype=np.uint64)
-        steps = max(2 * length, 1)
+        steps = 2 * length
         self.samples = [
             np.sort(rng.choice(steps, min(SAMPLED, steps), replace=False)) for _ in range(REPETITIONS)
         ]
 
-    def keys(self, windows: np.ndarray):
-        """For each repetition a 64-bit key of each window (rows of word numbers)."""
-        rows = np.arange(len(windows))
-        padded = np.concatenate([windows, np.zeros((len(windows), 1), np.int64)], axis=1)
+    def keys(self, codes: np.ndarray, starts: np.ndarray, size: int):
+        """For each repetition a 64-bit key of the windows that begin at these places.
+
+        size is above every word number; the random bits of a word are its row of a table.
+        """
+        numbers = np.arange(size, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        last = starts + (self.length - 1)
         for seed, sample in zip(self.seeds, self.samples, strict=True):
-            random = _mix(padded.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + seed)
-            at = np.zeros(len(windows), np.int64)
-            key = np.full(len(windows), seed, np.uint64)
-            for step in range(sample[-1] + 1):
-                if step in sample:
-                    key = _mix(key ^ padded[rows, at].astype(np.uint64) + np.uint64(step))
-                move = (random[rows, at] >> np.uint64(step % 64)) & np.uint64(1)
-                at = np.minimum(at + move.astype(np.int64), self.length)
-            yield key
+            random = _mix(numbers + seed)[codes]
+            at = starts.copy()
+            key = np.full(len(starts), seed, np.uint64)
+            sampled = set(sample.tolist())
+            for step in range(max(sampled) + 1):
+                if step in sampled:
+                    key *= np.uint64(0xD6E8FEB86659FD93)
+                    key += codes[at].astype(np.uint64) + np.uint64(step + 1)
+                at += ((random[at] >> np.uint64(step)) & np.uint64(1)).astype(np.int64)
+                np.minimum(at, last, out=at)
+            yield _mix(key)
 
 
 class Index:
@@ -105,64 +119,71 @@ class Index:
         self.tables = {}
         by_length = defaultdict(list)
         for i, codes in self.coded.items():
-            length = min(WINDOW, len(codes))
-            by_length[length] += [(i, at) for at in range(len(codes) - length + 1)]
-        for length, places in by_length.items():
-            windows = np.stack([self.coded[i][at : at + length] for i, at in places])
-            tables = []
-            for key in _Walk(length).keys(windows):
+            by_length[window_length(len(codes))].append(i)
+        for length, own in by_length.items():
+            every, places, starts, at = [], [], [], 0
+            for i in own:
+                n = len(self.coded[i])
+                places += [(i, k) for k in range(n - length + 1)]
+                starts += range(at, at + n - length + 1)
+                every.append(self.coded[i])
+                at += n
+            walk, tables = _Walk(length), []
+            codes = np.concatenate(every)
+            for key in walk.keys(codes, np.array(starts, np.int64), len(self.vocabulary) + 1):
                 order = np.argsort(key, kind="stable")
                 tables.append((key[order], order))
-            self.tables[length] = (places, tables)
+            self.tables[length] = (walk, places, tables)
 
     def code(self, words: list[str]) -> np.ndarray:
         """Word numbers; 0 is any word that no item has."""
-        get = self.vocabulary.get
-        return np.fromiter((get(w, 0) for w in words), np.int64, len(words))
-
-    def matches(self, text: str | None) -> list[dict]:
-        """Items that occur in the text, each once, at the place with the fewest edits found."""
-        codes = self.code(words_of(text))
-        found: dict[int, tuple] = {}
-        tried: dict[int, list] = defaultdict(list)
-        for item, start in self._candidates(codes):
-            n = len(self.coded[item])
+        return np.fromiter(map(self.vocabulary.get, words, repeat(0)), np.int64, len(words))
+
+    def matches(self, texts: list[str | None]) -> list[list[dict]]:
+        """For each text the items that occur in it, each once, at the place with the fewest
+        edits found. The windows of all texts are walked together."""
+        coded = [self.code(words_of(t)) for t in texts]
+        begins = np.cumsum([0] + [len(c) + WINDOW for c in coded])
+        found: list[dict[int, tuple]] = [{} for _ in texts]
+        tried: dict[tuple, list] = defaultdict(list)
+        for doc, item, start in self._candidates(coded, begins):
+            n, codes = len(self.coded[item]), coded[doc]
             slack = int(self.max_edits * n)
-            if found.get(item, (1,))[0] == 0 or any(abs(start - s) <= slack // 2 for s in tried[item]):
+            best = found[doc].get(item)
+            if best and best[0] == 0 or any(abs(start - s) <= slack // 2 for s in tried[doc, item]):
                 continue
-            tried[item].append(start)
+            tried[doc, item].append(start)
             low = max(0, start - slack)
-            edits, first, last = occurrence(self.coded[item], codes[low : start + n + slack])
-            if edits <= slack and (item not in found or (edits, low + first) < found[item][:2]):
-                found[item] = (edits, low + first, last - first)
+            edits, first, last = occurrence(self.coded[item], codes[low : max(0, start + n + slack)])
+            if edits <= slack and (best is None or (edits, low + first) < best[:2]):
+                found[doc][item] = (edits, low + first, last - first)
         return [
-            {"item_id": i, "start": s, "words": n, "edits": e} for i, (e, s, n) in sorted(found.items())
+            [{"item_id": i, "start": s, "words": n, "edits": e} for i, (e, s, n) in sorted(f.items())]
+            for f in found
         ]
 
-    def _candidates(self, codes: np.ndarray):
-        """Item and the place where it would begin, each once, in order."""
+    def _candidates(self, coded: list[np.ndarray], begins: np.ndarray) -> list[tuple]:
+        """Text, item and the place where the item would begin, each once, in order."""
         seen = set()
-        for length, (places, tables) in self.tables.items():
-            if len(codes) < length:
-                if len(codes) >= length - int(self.max_edits * length) and len(codes):
-                    codes_in = np.concatenate([codes, np.zeros(length - len(codes), np.int64)])
-                else:
-                    continue
-            else:
-                codes_in = codes
-            foreign = np.concatenate([[0], np.cumsum(codes_in == 0)])
-            few = foreign[length:] - foreign[:-length] <= -int(-self.max_edits * length // 1)
-            starts = np.flatnonzero(few)
-            for s in range(0, len(starts), PIECE_WORDS):
-                part = starts[s : s + PIECE_WORDS]
-                windows = codes_in[part[:, None] + np.arange(length)]
-                for key, (known, order) in zip(_Walk(length).keys(windows), tables, strict=True):
+        gap = np.zeros(WINDOW, np.int64)
+        codes = np.concatenate([x for c in coded for x in (c, gap)] or [gap])
+        starts = np.concatenate([np.arange(b, b + len(c), STRIDE) for b, c in zip(begins, coded, strict=False)] or [gap[:0]])
+        foreign = np.concatenate([[0], np.cumsum(codes == 0)])
+        for length, (walk, places, tables) in self.tables.items():
+            most = -int(-self.max_edits * length // 1)
+            own = starts[foreign[starts + length] - foreign[starts] <= most]
+            for s in range(0, len(own), PIECE_WORDS):
+                part = own[s : s + PIECE_WORDS]
+                keys = walk.keys(codes, part, len(self.vocabulary) + 1)
+                for key, (known, order) in zip(keys, tables, strict=True):
                     low = np.searchsorted(known, key, "left")
-                    many = np.searchsorted(known, key, "right") - low
-                    for at in np.flatnonzero(many):
-                        for k in range(low[at], low[at] + many[at]):
+                    hit = np.flatnonzero(known[np.minimum(low, len(known) - 1)] == key)
+                    high = np.searchsorted(known, key[hit], "right")
+                    docs = np.searchsorted(begins, part[hit], "right") - 1
+                    for at, doc, upto in zip(hit.tolist(), docs.tolist(), high.tolist(), strict=True):
+                        for k in range(int(low[at]), upto):
                             item, offset = places[order[k]]
-                            seen.add((item, int(part[at]) - offset))
+                            seen.add((doc, item, int(part[at] - begins[doc]) - offset))
         return sorted(seen)
 
 
@@ -218,7 +239,7 @@ def with_matches(
 
         def make(listed=listed):
             index = Index(listed, max_edits)
-            return lambda texts: [[index.matches(t) for t in texts]]
+            return lambda texts: [index.matches(texts)]
 
         parts.append(f"{name}_{block}" if blocks > 1 else name)
         docs = columns_from_text(docs, text, f"{parts[-1]} {MATCHES}", make)
