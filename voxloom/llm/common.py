@@ -15,7 +15,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from voxloom.operators.blocks import settle, shared_dir
 
 __all__ = [
-    "columns_from_text", "first_of_each_id", "free_name", "read_docs", "settle", "shared_dir",
+    "columns_from_text", "first_of_each_id", "free_name", "one_task_each", "read_docs", "settle", "shared_dir",
     "word_blocks",
 ]
 
@@ -105,6 +105,15 @@ def first_of_each_id(df: DataFrame, key: str, text: str) -> DataFrame:
     return df.withColumn(number, F.row_number().over(order)).filter(F.col(number) == 1).drop(number)
 
 
+def one_task_each(names: DataFrame, column: str) -> DataFrame:
+    """Spread the names of large things, a row each, over as many tasks (10,000 at most).
+
+    The number is given, so adaptive execution does not join the small rows in one task.
+    """
+    names = settle(names)
+    return names.repartition(max(1, min(names.count(), 10_000)), column)
+
+
 def open_output(uri: str):
     """A stream that writes the file; the file system follows from the URI's scheme."""
     system, path = pafs.FileSystem.from_uri(uri)

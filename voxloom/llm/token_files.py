@@ -8,8 +8,8 @@ the width. A file is
 
 The block index has the byte offset of every block, so a reader can begin anywhere. Documents
 are the ids and token counts of the file's documents. The footer has the counts and offsets.
-A block is: minimum u32, values u8 (0 stands for 128... see HEAD), width u8, exceptions u8,
-packed bits, exception places u8, exception bits u32.
+A block is: minimum u32, values u8, width u8, exceptions u8, packed bits of 128 values (the last
+block is filled up), exception places u8, exception bits u32.
 """
 
 from __future__ import annotations
@@ -25,8 +25,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from voxloom.llm.common import open_input, open_output, settle, shared_dir, slices
-from voxloom.llm.tokens import Encoder, tokenizer_text
+from voxloom.llm.common import open_input, open_output, one_task_each, settle, shared_dir, slices
+from voxloom.llm.tokens import tokenizer_text, worker_encoder
 
 BLOCK = 128
 PERCENTILE = 0.9
@@ -232,7 +232,7 @@ def write_token_files(
         for batch in batches:
             for part in slices(batch, 4 << 20):
                 if writer is None:
-                    encoder = Encoder(data)
+                    encoder = worker_encoder(data)
                     writer = Writer(f"{folder}/tokens-{number:06d}-{uuid4()}.pfor")
                 ids = part.column(0).to_pylist()
                 coded = encoder.encode_all(part.column(1).to_pylist())
@@ -259,7 +259,7 @@ def read_token_files(index: DataFrame) -> DataFrame:
     start is the number of ids of all documents before it. One row for each file goes through
     the window that sums up the files.
     """
-    files = index.select("file", "file_no").distinct().repartition("file")
+    files = one_task_each(index.select("file", "file_no").distinct(), "file")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [c.split()[0] for c in READ.split(", ")]

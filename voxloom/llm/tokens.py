@@ -15,6 +15,7 @@ piece of a batch is encoded once, and the numbers are kept in a cache of bounded
 from __future__ import annotations
 
 import os
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -25,7 +26,7 @@ from voxloom.llm.common import columns_from_text
 CHUNK = 1 << 16  # code points
 OVERLAP = 1 << 10
 MARGIN = 64
-CACHE_PIECES = 300_000
+CACHE_PIECES = 500_000  # in each of two generations
 LONG_PIECE = 256  # longer pieces are not kept
 LIMIT = 2048
 SPACES = "\t\n\v\f\r "
@@ -49,6 +50,12 @@ def tokenizer_text(path: str) -> str:
         return file.read()
 
 
+@lru_cache(maxsize=1)
+def worker_encoder(data: str) -> Encoder:
+    """The encoder of this Python worker; tasks that follow each other share its cache."""
+    return Encoder(data)
+
+
 class Encoder:
     """Exact token ids of texts, as little-endian unsigned 32-bit integers in bytes."""
 
@@ -58,16 +65,21 @@ class Encoder:
         self.tokenizer = load_tokenizer(data)
         self.chunk, self.overlap = chunk, overlap
         self.cache: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """Ids of each text: short ones by pieces, huge ones by chunks."""
         pieces = [t.split() if len(t) <= self.chunk else None for t in texts]
         found = [p and list(map(self.cache.get, p)) for p in pieces]
-        missing = {
-            w for p, f in zip(pieces, found, strict=True) if f and None in f
-            for w, ids in zip(p, f, strict=True) if ids is None
-        }
-        new = self._encode_pieces(sorted(missing)) if missing else {}
+        missing, new = set(), {}
+        for p, f in zip(pieces, found, strict=True):
+            if f and None in f:
+                missing.update(w for w, ids in zip(p, f, strict=True) if ids is None)
+        for w in list(missing):
+            if (ids := self.older.get(w)) is not None:
+                new[w] = self.cache[w] = ids
+                missing.remove(w)
+        new.update(self._encode_pieces(list(missing)))
         result = []
         for text, p, f in zip(texts, pieces, found, strict=True):
             if p is None:
@@ -77,7 +89,7 @@ class Encoder:
             else:
                 result.append(b"".join(f))
         if len(self.cache) > CACHE_PIECES:
-            self.cache.clear()
+            self.cache, self.older = {}, self.cache
         return result
 
     def _encode_pieces(self, pieces: list[str]) -> dict[str, bytes]:
@@ -156,7 +168,7 @@ def with_token_counts(
     data = tokenizer_text(tokenizer)
 
     def make():
-        encoder = Encoder(data)
+        encoder = worker_encoder(data)
 
         def count(texts):
             counts = [len(ids) // 4 for ids in encoder.encode_all([t or "" for t in texts])]

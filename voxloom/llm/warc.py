@@ -20,7 +20,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voxloom.llm.common import open_input, open_output, settle, shared_dir, slices
+from voxloom.llm.common import one_task_each, open_input, open_output, settle, shared_dir, slices
 
 # Fixed values of the formats.
 DICTIONARY_MAGIC = 0x184D2A5D
@@ -222,7 +222,7 @@ def read_record(uri: str, offset: int, length: int) -> tuple:
 
 def read_archives(files: DataFrame, file: str = "file") -> DataFrame:
     """All records (RECORD) of the archives that the frame names, each archive once."""
-    named = files.select(file).distinct()
+    named = one_task_each(files.select(file).distinct(), file)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [c.split()[0] for c in RECORD.split(", ")]
