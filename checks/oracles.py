@@ -295,12 +295,15 @@ def all_sql() -> dict[str, str]:
         "srt_flat_text": f"""{cues} SELECT r.doc_id,
             coalesce(string_agg(text, ' ' ORDER BY cue_no), '') AS text
             FROM routed r LEFT JOIN cues c ON r.doc_id = c.doc_id GROUP BY r.doc_id""",
-        "srt_time_to_ms": f"""SELECT code, {_ms("lpad(code, 12, '0')")} AS ms FROM (
-            SELECT DISTINCT {sql_timecode("ms")} AS code FROM {times} WHERE ms < 360000000)""",
-        "ms_to_srt_time": f"""SELECT doc_id, utt_no, ms, {sql_timecode("ms")} AS code FROM (
+        "srt_time_to_ms": f"""SELECT code, CAST(split_part(code, ':', 1) AS BIGINT) * 3600000
+            + CAST(split_part(code, ':', 2) AS BIGINT) * 60000
+            + CAST(split_part(split_part(code, ':', 3), ',', 1) AS BIGINT) * 1000
+            + CAST(split_part(code, ',', 2) AS BIGINT) AS ms FROM (
+            SELECT DISTINCT {sql_timecode("ms")} AS code FROM {times})""",
+        "ms_to_srt_time": f"""SELECT doc_id, utt_no, ms, {sql_timecode("trunc(ms)")} AS code FROM (
             SELECT doc_id, CAST(utt_no AS BIGINT) AS utt_no, CAST(ms AS DOUBLE) AS ms FROM {times}
             UNION ALL SELECT 0 AS doc_id, 0 AS utt_no, ms FROM
-            {fx.sql_values([r for r in fx.F3 if r[0] != 1234.9], "ms, txt")})""",
+            {fx.sql_values(fx.F3, "ms, txt")})""",
         "render_srt": f"""{cues} SELECT r.doc_id,
             coalesce(string_agg({rendered}, '' ORDER BY cue_no), '') AS srt
             FROM routed r LEFT JOIN cues c ON r.doc_id = c.doc_id GROUP BY r.doc_id""",

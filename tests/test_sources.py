@@ -1,7 +1,6 @@
 """Files in and out, in temporary folders."""
 
 import pytest
-from pyspark.errors import AnalysisException
 
 from voxloom.operators import manifest as mf
 from voxloom.operators import sentences as st
@@ -40,8 +39,25 @@ def test_work_list_keeps_duplicates(spark, folder):
 
 def test_no_work_and_missing_input(spark, tmp_path):
     assert fl.read_work_list(spark).count() == 0
-    with pytest.raises(AnalysisException):
-        fl.read_files(spark, [str(tmp_path / "absent.txt")]).count()
+    absent = str(tmp_path / "absent.txt")
+    assert [tuple(r) for r in fl.read_files(spark, [absent]).collect()] == [
+        (absent, None, f"Failed to process file: {absent}")
+    ]
+    assert fl.read_directory(spark, str(tmp_path / "no folder")).count() == 0
+
+
+def test_no_requested_file_is_lost(spark, folder):
+    (folder / "lang=ta").mkdir()
+    (folder / "lang=ta" / "p.txt").write_text("no")
+    (folder / "_u.txt").write_text("hidden")
+    (folder / "e[1].txt").write_text("pattern")
+    names = {r.path.rsplit("/", 1)[-1] for r in fl.read_directory(spark, str(folder)).collect()}
+    assert names == {"a b.txt", "c.srt", "bad.txt", "e[1].txt"}
+    paths = [str(folder / n) for n in ("_u.txt", "e[1].txt", "e[1].txt", "absent.txt", "deeper")]
+    rows = [tuple(r) for r in fl.read_files(spark, paths).collect()]
+    assert sorted(r[0] for r in rows) == sorted(paths)
+    assert [r[1] for r in rows if r[1]] == ["pattern", "pattern"]
+    assert all((r[1] is None) == (r[2] is not None) for r in rows)
 
 
 def test_file_identity(spark):

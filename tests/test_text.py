@@ -99,7 +99,7 @@ def test_sentences(spark, text, expected):
 
 
 def test_long_runs_of_one_character_stay_fast(spark):
-    texts = [c * 200_000 + "x" for c in (" ", "\n", "\t", "-", "1", "@", "+ ", ".", "\u3000")]
+    texts = [c * 200_000 + "x" for c in (" ", "\n", "\t", "-", "1", "@", "+ ", ".", "\u3000", "[", "<", "&")]
     rows = nz.normalize(one_text(spark, *texts))
     assert st.utterances(rows).count() >= 1
 

@@ -54,7 +54,7 @@ def synthesis_manifest(
         F.lit(f"{volume:+d}%").alias("volume"),
         F.concat(base, F.lit(".mp3")).alias("audio_name"),
         subtitle.alias("subtitle_name"),
-        F.when(is_blank(F.col("content")), F.lit(BLANK_TEXT)).alias("error"),
+        F.when(F.coalesce(is_blank(F.col("content")), F.lit(True)), F.lit(BLANK_TEXT)).alias("error"),
     )
 
 
@@ -63,13 +63,19 @@ def manifest_errors(manifest: DataFrame, key: str = "doc_id") -> DataFrame:
     return manifest.filter(F.col("error").isNotNull()).select(key, "utt_no", "file", "error")
 
 
-def batch_outcomes(manifest: DataFrame, outcomes: DataFrame, key: str = "doc_id") -> DataFrame:
+def batch_outcomes(
+    manifest: DataFrame, outcomes: DataFrame, key: str = "doc_id", attempt: str | None = None
+) -> DataFrame:
     """Every request with its result: audio (and subtitle) or an error.
 
-    utt_id is unique on both sides, so the join spreads evenly.
+    A request that was reported more than once counts once: by its last attempt if a column
+    numbers them, else by a success if there is one. So utt_id is unique on both sides, and
+    the join spreads evenly.
     """
-    reported = outcomes.select(
-        "utt_id", "audio", "subtitle", F.col("error").alias("_error"), F.lit(True).alias("_found")
+    order = F.col(attempt) if attempt else -F.coalesce(F.length("error"), F.lit(0))
+    last = F.max_by(F.struct("audio", "subtitle", "error"), order)
+    reported = outcomes.groupBy("utt_id").agg(last.alias("_r")).select(
+        "utt_id", "_r.audio", "_r.subtitle", F.col("_r.error").alias("_error"), F.lit(True).alias("_found")
     )
     joined = manifest.select(key, "utt_no", "utt_id", "file", "error").join(
         reported, "utt_id", "left"

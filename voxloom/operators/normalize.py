@@ -26,7 +26,8 @@ DROP_PATTERNS = {
 EDIT_RULES = {
     "bullet": sub(r"\n[•\-*][ \t]*+", "\n"),
     "numbering": sub(r"\n[A-Z0-9]++\.[ \t]*+", "\n"),
-    "brackets": sub(r"\[[^\]\n]*+\]", ""),
+    # An unclosed bracket is matched with the rest of its line and put back: one scan.
+    "brackets": sub(r"\[[^\]\n]*+\]|(\[[^\]\n]*+)(?=\n)", "$1"),
     "handles": sub(rf"@[{WORD}]+", ""),
     "urls": sub(r"https?://[^ \t\n]+", ""),
     "ampersand": lambda c: F.replace(c, F.lit("&"), F.lit(" and ")),
