@@ -64,12 +64,13 @@ class Encoder:
             raise ValueError("the overlap must hold four margins and the chunk two overlaps")
         self.tokenizer = load_tokenizer(data)
         self.chunk, self.overlap = chunk, overlap
-        self.cache: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.cache: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """Ids of each text: short ones by pieces, huge ones by chunks."""
-        pieces = [t.split() if len(t) <= self.chunk else None for t in texts]
+        # bytes split at \x20 and \x09-\x0D only, which every tokenizer takes for white space.
+        pieces = [t.encode("utf-8", "surrogatepass").split() if len(t) <= self.chunk else None for t in texts]
         found = [p and list(map(self.cache.get, p)) for p in pieces]
         missing, new = set(), {}
         for p, f in zip(pieces, found, strict=True):
@@ -92,14 +93,15 @@ class Encoder:
             self.cache, self.older = {}, self.cache
         return result
 
-    def _encode_pieces(self, pieces: list[str]) -> dict[str, bytes]:
+    def _encode_pieces(self, pieces: list[bytes]) -> dict[bytes, bytes]:
         """Many pieces in one text; offsets tell which tokens belong to which."""
-        new: dict[str, bytes] = {}
+        new: dict[bytes, bytes] = {}
         for s in range(0, len(pieces), 2000):
             part = pieces[s : s + 2000]
-            lengths = np.fromiter(map(len, part), np.int64, len(part))
+            texts = [p.decode("utf-8", "surrogatepass") for p in part]
+            lengths = np.fromiter(map(len, texts), np.int64, len(part))
             starts = np.cumsum(lengths + 1) - lengths - 1
-            ids, begins = self._encode(" ".join(part))
+            ids, begins = self._encode(" ".join(texts))
             cuts = np.searchsorted(begins, starts).tolist() + [len(ids)]
             data = ids.tobytes()
             for k, piece in enumerate(part):
