@@ -30,7 +30,7 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 MIN_REVISIT_BYTES = 1000
 DICTIONARY_BYTES = 64 << 10
-SAMPLE_RECORDS, SAMPLE_BYTES = 2000, 8 << 10  # bound of the dictionary's sample: 16 MB
+SAMPLE_RECORDS, SAMPLE_BYTES = 2000, 8 << 10  # of the dictionary's sample; 32 MB at most
 ARCHIVE_BYTES = 256 << 20  # a task begins a new archive above this
 READ_BYTES = 1 << 20
 LEVEL = 3
@@ -43,13 +43,16 @@ RECORD = (
 
 
 def train_dictionary(pages: DataFrame, page_id: str = "page_id", html: str = "html") -> bytes:
-    """A dictionary from the records with the smallest hashes, at most SAMPLE_RECORDS of them,
-    SAMPLE_BYTES of each. Too few or too small ones give their bytes as a raw dictionary."""
-    order = F.xxhash64(F.col(page_id), F.crc32(html))
+    """A dictionary from about SAMPLE_RECORDS records, picked by a hash, SAMPLE_BYTES of each.
+
+    The hash picks a share of the rows, so only the sample travels. Too few or too small
+    records give their bytes as a raw dictionary."""
+    share = min(1.0, SAMPLE_RECORDS / max(1, pages.count()))
+    picked = F.pmod(F.xxhash64(F.col(page_id), F.crc32(html)), F.lit(1 << 40)) < int(share * (1 << 40))
     head = F.substring(F.encode(F.coalesce(html, F.lit("")), "UTF-8"), 1, SAMPLE_BYTES)
     sample = [
         bytes(r["head"])
-        for r in pages.select(head.alias("head"), order.alias("h")).orderBy("h").limit(SAMPLE_RECORDS).collect()
+        for r in pages.filter(picked).select(head.alias("head")).limit(2 * SAMPLE_RECORDS).collect()
     ]
     sample = [s for s in sample if s]
     try:
