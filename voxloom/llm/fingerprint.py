@@ -116,29 +116,33 @@ def edited_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") -
     Rows without a key are left out: they have no place in the order. A single document
     follows itself. Other columns are left out.
 
-    All texts are shuffled once, by key: a document then reads its own text, and sends the
-    piece that its predecessor needs.
+    A first pass over the texts keeps only small rows: id, length, fingerprint. Texts are then
+    shuffled once, by key: a document reads its own text, and sends the piece that its
+    predecessor needs. No Python stands between the shuffle and its two uses, so that Spark
+    sees that they are the same and shuffles once.
     """
     rows = docs.select(F.col(key).alias("_id"), F.coalesce(text, F.lit("")).alias("_text"))
     rows = rows.filter(F.col("_id").isNotNull())
-    best = F.min(F.struct(F.xxhash64("_text").alias("h"), F.char_length("_text").alias("n")))
-    ids = rows.groupBy("_id").agg(best.alias("b")).select("_id", F.col("b.n").cast("bigint").alias("n"))
-    order = settle(next_ids(ids, "_id", "n"))
+    small = settle(
+        with_fingerprint(rows, "_text").select(
+            "_id", F.xxhash64("_text").alias("h"), F.char_length("_text").cast("bigint").alias("n"), "fingerprint"
+        )
+    )
+    best = small.groupBy("_id").agg(F.min(F.struct("h", "n", "fingerprint")).alias("b"))
+    ids = settle(best.select("_id", "b.n", "b.fingerprint"))
+    after = ids.select(F.col("_id").alias("next_key"), F.col("fingerprint").alias("next_fingerprint"))
+    order = settle(next_ids(ids, "_id", "n").join(ids.drop("n"), "_id").join(after, "next_key"))
     wanted = order.select(
-        F.col("next_key").alias("_id"), F.col("_id").alias("before"), F.expr("n div 4").alias("take")
+        F.col("next_key").alias("_id"), F.col("_id").alias("before"), F.expr("cast(n div 4 as int)").alias("take")
     )
-    printed = first_of_each_id(with_fingerprint(rows, "_text"), "_id", "_text")
-    pieces = printed.join(wanted, "_id").select(
-        F.col("before").alias("_id"),
-        F.col("_id").alias("next_key"),
-        F.col("fingerprint").alias("next_fingerprint"),
-        F.expr("left(_text, cast(take as int))").alias("piece"),
+    one = first_of_each_id(rows.repartition("_id"), "_id", "_text")
+    pieces = one.join(wanted, "_id").select(
+        F.col("before").alias("_id"), F.expr("left(_text, take)").alias("piece")
     )
-    n = F.char_length("_text")
-    own = F.expr("left(_text, cast(char_length(_text) - char_length(_text) div 4 as int))")
-    return printed.join(pieces, "_id").select(
+    own = F.expr("left(_text, cast(n - n div 4 as int))")
+    return one.join(order, "_id").join(pieces, "_id").select(
         F.col("_id").alias(key),
-        n.cast("bigint").alias("n_chars"),
+        F.col("n").alias("n_chars"),
         "next_key",
         "fingerprint",
         "next_fingerprint",
