@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from checks import fixtures as fx
 from voxloom.functions.timecode import ms_to_timecode
-from voxloom.sources.tables import read_table, spread
+from voxloom.sources.tables import read_table
 
 # One noise text per remainder of the document id.
 NOISE = [
@@ -38,6 +38,14 @@ NOISE = [
 WS_RE2 = r"[\s\p{Z}\x0b\x1c-\x1f\x{85}]"
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows over more tasks, if the scan has fewer than cores: the small test tables are one
+    row group each. keys name a row. Only the checks do this; the package keeps the scan's
+    partitions, which spark.sql.files.maxPartitionBytes sizes."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(4 * cores, *keys)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread(read_table(spark, f"{sf_dir}/documents.parquet", "doc_id", "text"), "doc_id")
 
@@ -56,25 +64,34 @@ def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return noisy(documents(spark, sf_dir)).unionByName(fx.frame(spark, fx.F1, fx.F1_SCHEMA))
 
 
-def texts_sql() -> str:
+def noisy_sql() -> str:
     cases = " ".join(f"WHEN {i} THEN {fx.sql_text(n)}" for i, n in enumerate(NOISE))
     return f"""(
     SELECT doc_id, replace(text, '.' || chr(10), '.' || chr(10) || noise || chr(10))
            || chr(10) || noise AS text
-    FROM (SELECT doc_id, text, CASE doc_id % {len(NOISE)} {cases} END AS noise FROM documents)
+    FROM (SELECT doc_id, text, CASE doc_id % {len(NOISE)} {cases} END AS noise FROM documents))"""
+
+
+def texts_sql() -> str:
+    return f"""(
+    SELECT doc_id, text FROM {noisy_sql()}
     UNION ALL SELECT doc_id, text FROM {fx.sql_values(fx.F1, "doc_id, text")})"""
 
 
-def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Turns of a conversation as the pages of a document; one in seven has no text."""
+def whole_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns of a conversation as the pages of a document."""
     table = read_table(spark, f"{sf_dir}/conversations.parquet", "conv_id", "turn", "text")
-    turns = spread(table, "conv_id", "turn")
-    kept = F.when(F.pmod(F.col("conv_id") + F.col("turn"), F.lit(7)) != 3, F.col("text"))
-    return turns.select(
-        F.col("conv_id").alias("doc_id"), F.col("turn").alias("page_no"), kept.alias("text")
+    return spread(table, "conv_id", "turn").select(
+        F.col("conv_id").alias("doc_id"), F.col("turn").alias("page_no"), "text"
     )
 
 
+def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same; one page in seven has no text."""
+    kept = F.when(F.pmod(F.col("doc_id") + F.col("page_no"), F.lit(7)) != 3, F.col("text"))
+    return whole_pages(spark, sf_dir).withColumn("text", kept)
+
+
 PAGES_SQL = """(
     SELECT conv_id AS doc_id, turn AS page_no,
            CASE WHEN (conv_id + turn) % 7 <> 3 THEN text END AS text

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from checks import fixtures as fx
-from checks.inputs import PAGES_SQL, WS_RE2, sql_timecode, subtitle_files_sql, texts_sql, tracks_sql, words_sql
+from checks.inputs import PAGES_SQL, WS_RE2, noisy_sql, sql_timecode, subtitle_files_sql, texts_sql, tracks_sql, words_sql
 
 LF = "chr(10)"
 TIME = r"\p{Nd}{2}:\p{Nd}{2}:\p{Nd}{2},\p{Nd}{3}"
@@ -286,7 +286,7 @@ def all_sql() -> dict[str, str]:
             SELECT src.doc_id, CAST(count(utt_no) AS BIGINT) AS utterances
             FROM src LEFT JOIN utts ON src.doc_id = utts.doc_id GROUP BY src.doc_id""",
         "utterances_stream": wide(
-            f"WITH {utterance_ctes('documents', 1)} SELECT doc_id, @@, utt_name, content FROM utts",
+            f"WITH {utterance_ctes(noisy_sql(), 1)} SELECT doc_id, @@, utt_name, content FROM utts",
             "utt_no",
         ),
         "srt_detect": f"""SELECT doc_id, regexp_matches(lower(file_name), '[^.].*\\.srt$') AS by_name,
@@ -346,10 +346,11 @@ def all_sql() -> dict[str, str]:
             UNION ALL SELECT doc_id, 1, 0, printf('❌ %d files failed.', f) FROM sums WHERE f > 0
             UNION ALL SELECT doc_id, 2, utt_no, '  - ' || file || ': ' || error FROM outs
             WHERE error IS NOT NULL""",
-        "cue_skip_report": f"""{cues} SELECT doc_id, CAST(count(*) AS BIGINT) AS requested,
-            CAST(count(*) FILTER (WHERE {cue_failed}) AS BIGINT) AS skipped,
-            CAST(count(*) FILTER (WHERE NOT ({cue_failed})) AS BIGINT) AS placed
-            FROM cues WHERE text <> '' GROUP BY doc_id""",
+        "cue_skip_report": f"""{cues}, asked AS (SELECT doc_id, {cue_failed} AS bad FROM cues WHERE text <> '')
+            SELECT r.doc_id, CAST(count(bad) AS BIGINT) AS requested,
+            CAST(count(*) FILTER (WHERE bad) AS BIGINT) AS skipped,
+            CAST(count(*) FILTER (WHERE NOT bad) AS BIGINT) AS placed
+            FROM routed r LEFT JOIN asked a ON r.doc_id = a.doc_id GROUP BY r.doc_id""",
         "placed_cues": wide(
             f"{cues} SELECT doc_id, @@, text FROM cues WHERE text <> '' AND NOT ({cue_failed})",
             "cue_no", "start_ms", "end_ms",
@@ -361,6 +362,6 @@ def all_sql() -> dict[str, str]:
             FROM {tracks_sql()} GROUP BY album_id""",
         "prepare_corpus": f"WITH {manifest_ctes(src, 2)} SELECT {manifest_columns} FROM manifest",
         "prepare_corpus_from_pages": f"""WITH {manifest_ctes(
-            f"(SELECT doc_id, string_agg(coalesce(text, '') || {LF}, '' ORDER BY page_no) AS text "
-            f"FROM {PAGES_SQL} GROUP BY doc_id)", 1)} SELECT {manifest_columns} FROM manifest""",
+            f"(SELECT conv_id AS doc_id, string_agg(coalesce(text, '') || {LF}, '' ORDER BY turn) AS text "
+            "FROM conversations GROUP BY conv_id)", 1)} SELECT {manifest_columns} FROM manifest""",
     }

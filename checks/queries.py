@@ -148,14 +148,15 @@ def _on_outcomes(operator: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf: _wide(operator(_outcomes(spark, sf)))
 
 
-def _on_cue_outcomes(operator: Callable[[DataFrame, DataFrame], DataFrame]) -> Query:
+def _on_cue_outcomes(operator: Callable[[DataFrame, DataFrame, DataFrame], DataFrame]) -> Query:
     def run(spark: SparkSession, sf: str) -> DataFrame:
-        placement = sb.cue_placement(inputs.subtitle_files(spark, sf))
+        files = inputs.subtitle_files(spark, sf)
+        placement = sb.cue_placement(files)
         failed = F.pmod(F.col("doc_id") * 13 + F.col("cue_no"), F.lit(6)) == 1
         reported = placement.select(
             "doc_id", "cue_no", F.when(failed, F.lit("No audio was received.")).alias("error")
         )
-        return _wide(operator(placement, reported))
+        return _wide(operator(files, placement, reported))
 
     return run
 
@@ -169,8 +170,7 @@ def _document_stream(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def utterances_stream(spark: SparkSession, sf: str) -> DataFrame:
-    docs = _document_stream(spark, sf)
-    made = stream_utterances(docs)
+    made = stream_utterances(inputs.noisy(_document_stream(spark, sf)))
     return _wide(spark.read.schema(made.schema).parquet(run_available(made)))
 
 
@@ -192,7 +192,7 @@ def corpus(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def corpus_from_pages(spark: SparkSession, sf: str) -> DataFrame:
-    return _wide(prepare_corpus_from_pages(inputs.pages(spark, sf)))
+    return _wide(prepare_corpus_from_pages(inputs.whole_pages(spark, sf)))
 
 
 def all_queries() -> dict[str, Query]:
@@ -234,8 +234,8 @@ def all_queries() -> dict[str, Query]:
         "output_files": _on_outcomes(mf.output_files),
         "batch_summary": _on_outcomes(mf.batch_summary),
         "batch_summary_lines": _on_outcomes(mf.batch_summary_lines),
-        "cue_skip_report": _on_cue_outcomes(mf.cue_skip_report),
-        "placed_cues": _on_cue_outcomes(mf.placed_cues),
+        "cue_skip_report": _on_cue_outcomes(lambda files, p, o: mf.cue_skip_report(sb.routed(files), p, o)),
+        "placed_cues": _on_cue_outcomes(lambda files, p, o: mf.placed_cues(p, o)),
         "track_order": _on_tracks(tl.track_order),
         "track_timeline": _on_tracks(tl.track_timeline),
         "album_length": _on_tracks(tl.album_length),

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from checks import fixtures as fx
 from voxloom.functions.timecode import ms_to_timecode, timecode_to_ms
+from voxloom.operators import manifest as mf
 from voxloom.operators import subtitles as sb
 
 
@@ -75,3 +76,14 @@ def test_many_blank_lines_and_a_long_block(spark):
     files = spark.createDataFrame([(1, "a.srt", content)], fx.F2_SCHEMA)
     row = sb.srt_cues(files).first()
     assert (row.cue_no, len(row.text)) == (1, 50_000 * 5 - 1)
+
+
+def test_every_subtitle_file_has_a_skip_row(spark):
+    files = spark.createDataFrame([(1,), (2,)], "doc_id bigint")
+    placement = spark.createDataFrame([(1, 1, "a"), (1, 2, "b")], "doc_id bigint, cue_no int, text string")
+    reported = spark.createDataFrame(
+        [(1, 2, "lost"), (1, 2, "lost again"), (1, 1, None)], "doc_id bigint, cue_no int, error string"
+    )
+    rows = sorted(tuple(r) for r in mf.cue_skip_report(files, placement, reported).collect())
+    assert rows == [(1, 2, 1, 1), (2, 0, 0, 0)]
+    assert [r.cue_no for r in mf.placed_cues(placement, reported).collect()] == [1]

@@ -132,9 +132,8 @@ def batch_summary_lines(outcomes: DataFrame, key: str = "doc_id") -> DataFrame:
 
 
 def _marked_cues(placement: DataFrame, cue_outcomes: DataFrame, key: str) -> DataFrame:
-    failed = cue_outcomes.filter(F.col("error").isNotNull()).select(
-        key, "cue_no", F.lit(True).alias("skipped")
-    )
+    failed = cue_outcomes.filter(F.col("error").isNotNull()).select(key, "cue_no").distinct()
+    failed = failed.withColumn("skipped", F.lit(True))
     return placement.join(failed, [key, "cue_no"], "left")
 
 
@@ -144,10 +143,16 @@ def placed_cues(placement: DataFrame, cue_outcomes: DataFrame, key: str = "doc_i
     return kept.drop("skipped")
 
 
-def cue_skip_report(placement: DataFrame, cue_outcomes: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Per subtitle file, requested, skipped and placed cues; the file itself succeeds."""
-    return _marked_cues(placement, cue_outcomes, key).groupBy(key).agg(
+def cue_skip_report(
+    files: DataFrame, placement: DataFrame, cue_outcomes: DataFrame, key: str = "doc_id"
+) -> DataFrame:
+    """Per subtitle file, requested, skipped and placed cues; the file itself succeeds.
+
+    A file without a cue to place has zeros. Of files only the key is read.
+    """
+    counted = _marked_cues(placement, cue_outcomes, key).groupBy(key).agg(
         F.count(F.lit(1)).alias("requested"),
         F.count("skipped").alias("skipped"),
         F.count_if(F.col("skipped").isNull()).alias("placed"),
     )
+    return files.select(key).join(counted, key, "left").fillna(0, ["requested", "skipped", "placed"])

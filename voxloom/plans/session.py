@@ -11,7 +11,7 @@ def builder(name: str) -> SparkSession.Builder:
     """A builder with settings that hold on any cluster size.
 
     Partition counts are left to adaptive execution: it joins small shuffle
-    partitions and splits skewed ones.
+    partitions and splits skewed ones. Stream state is kept in RocksDB, off the heap.
     """
     return (
         SparkSession.builder.appName(name)
@@ -20,6 +20,10 @@ def builder(name: str) -> SparkSession.Builder:
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config(
+            "spark.sql.streaming.stateStore.providerClass",
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        )
     )
 
 

@@ -5,18 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Give a table of few files enough partitions for CPU-heavy expressions.
-
-    keys name a row. A corpus with a file per core or more is left as the scan splits
-    it: nothing is shuffled there.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if len(df.inputFiles()) >= cores:
-        return df
-    return df.repartition(4 * cores, *keys)
-
-
 def read_table(spark: SparkSession, path: str, *columns: str) -> DataFrame:
     """Parquet columns; only those named are read."""
     df = spark.read.parquet(path)
