@@ -57,7 +57,7 @@ MAX_TERMS = 2000  # of each learnt lexicon: those with the largest ratios
 HALVES = (0, 1, 2)  # bits of a term: learnt from half 0, half 1, both
 
 MAX_ITERATIONS, MAX_DEPTH = 20, 3
-MAX_TRAINING_ROWS = 500_000  # labelled rows; beyond it a share of them by hash of the id
+MAX_TRAINING_ROWS = 500_000  # labelled ids; beyond it a share of them by hash of the id
 CALIBRATION_FOLD = 1  # of the folds that are learnt from, for isotonic regression
 
 
@@ -128,7 +128,7 @@ def with_features(docs: DataFrame, text: str, learnt: dict[str, int]) -> DataFra
 def learnt_lexicons(labelled: DataFrame) -> dict[str, int]:
     """Terms and the lexicons that hold them (bits), from rows of _text, label and half.
 
-    Every row counts. Tasks count terms and emit sums, so what is shuffled is a row for each
+    Every given row counts. Tasks count terms and emit sums, so what is shuffled is a row for each
     term and slice of texts; at most MAX_TERMS terms a lexicon reach the driver.
     """
 
@@ -166,6 +166,18 @@ def learnt_lexicons(labelled: DataFrame) -> dict[str, int]:
     return dict(lexicons)
 
 
+def bounded_sample(labels: DataFrame, most: int) -> DataFrame:
+    """All labels, a row for each _key, or a share of about so many by hash of the key.
+
+    The hash has its own seed: the halves of learnt_lexicons use the plain one.
+    """
+    size = labels.count()
+    if size <= most:
+        return labels
+    place = F.pmod(F.xxhash64(F.lit("sample"), "_key"), F.lit(1 << 30))
+    return labels.filter(place < most * (1 << 30) // size)
+
+
 def scored(
     docs: DataFrame,
     labels: DataFrame,
@@ -177,6 +189,8 @@ def scored(
 ) -> DataFrame:
     """key, score (0 to 1), predicted (1 from 0.5) for each row of docs.
 
+    The lexicon and the trees are fitted on at most about MAX_TRAINING_ROWS labelled ids. That
+    bound allows their labels to be broadcast, so texts are read twice and never shuffled.
     Only rows for which learn_from (a column over key) is true give labels. Trees are grown on
     them, except those for which fold (a column over key) is true: these give the isotonic
     map from the trees' probability to the share of label 1. Null labels and labels without a
@@ -188,8 +202,10 @@ def scored(
     held = fold(F.col("_key")) if fold is not None else F.lit(False)
     learn = learn_from(F.col("_key"))
     half = F.pmod(F.xxhash64("_key"), F.lit(2)).alias("half")
-    truth = labels.filter(F.col(label).isNotNull()).groupBy(F.col(key).alias("_key"))
-    truth = truth.agg((F.max(label) > 0).cast("double").alias("label"))
+    named = labels.select(F.col(key).alias("_key"), F.col(label).alias("_label"))
+    truth = named.filter(F.col("_label").isNotNull() & F.col("_key").isNotNull() & learn)
+    truth = truth.groupBy("_key").agg((F.max("_label") > 0).cast("double").alias("label"))
+    truth = F.broadcast(bounded_sample(settle(truth), MAX_TRAINING_ROWS))
     labelled = narrow.filter(learn & ~held).join(truth, "_key")
     learnt = learnt_lexicons(labelled.select("_text", "label", half))
     known = settle(with_features(narrow, "_text", learnt).drop("_text"))
@@ -199,7 +215,7 @@ def scored(
         F.when(held, F.col(f"{f}_2")).when(half == 0, F.col(f"{f}_1")).otherwise(F.col(f"{f}_0")).alias(f)
         for f in LEARNT
     ]
-    pool = known.dropDuplicates(["_key"]).join(truth, "_key").filter(learn)
+    pool = known.filter(learn).join(truth, "_key").dropDuplicates(["_key"])
     pool = pool.select("_key", "label", *FEATURES, *other)
     known = known.select("_key", *FEATURES, *everything)
     assembler = VectorAssembler(inputCols=list(INPUTS), outputCol="features")
@@ -211,9 +227,6 @@ def scored(
         return known.select(
             F.col("_key").alias(key), score.alias("score"), F.lit(int(constant >= 0.5)).alias("predicted")
         )
-    if size > MAX_TRAINING_ROWS:
-        share = MAX_TRAINING_ROWS / size
-        pool = pool.filter(F.pmod(F.xxhash64("_key"), F.lit(1 << 20)) < int(share * (1 << 20)))
     grow = pool.filter(~held)
     if grow.filter("label = 1").isEmpty() or grow.filter("label = 0").isEmpty():
         grow = pool
