@@ -134,6 +134,18 @@ def subtitle_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.unionByName(fx.frame(spark, fx.F2, fx.F2_SCHEMA))
 
 
+def batch_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same files as a batch reads them: some could not be read, some are blank."""
+    unread, blank = F.pmod("doc_id", F.lit(17)) == 3, F.pmod("doc_id", F.lit(13)) == 4
+    content = F.when(unread, F.lit(None)).when(blank, F.lit("\n \u3000")).otherwise(F.col("content"))
+    return subtitle_files(spark, sf_dir).select(
+        "doc_id",
+        F.col("file_name").alias("path"),
+        content.alias("text"),
+        F.when(unread, F.concat(F.lit("Failed to process file: "), "file_name")).alias("error"),
+    )
+
+
 def sql_timecode(ms: str) -> str:
     ms = f"CAST(({ms}) AS BIGINT)"
     return (

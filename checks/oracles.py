@@ -187,6 +187,23 @@ def timeline_ctes() -> str:
           FROM tracks)"""
 
 
+def batch_ctes() -> str:
+    unread = "'Failed to process file: ' || file_name"
+    return f"""{cue_ctes()},
+    listed AS (SELECT doc_id, file_name AS path, content, {DETECTED} AS is_srt,
+        CASE WHEN doc_id % 17 = 3 THEN {unread}
+             WHEN doc_id % 13 = 4 OR {_strip("content")} = '' THEN 'Please enter text to convert.'
+             END AS failed FROM files),
+    requests AS (
+        SELECT doc_id, path, 'error' AS kind, 0 AS cue_no, CAST(NULL AS BIGINT) AS start_ms,
+               CAST(NULL AS BIGINT) AS end_ms, NULL AS text, failed AS error
+        FROM listed WHERE failed IS NOT NULL
+        UNION ALL SELECT doc_id, path, 'prose', 0, NULL, NULL, {_strip("content")}, NULL
+        FROM listed WHERE failed IS NULL AND NOT is_srt
+        UNION ALL SELECT l.doc_id, path, 'cue', cue_no, start_ms, end_ms, text, NULL
+        FROM listed l JOIN cues c ON l.doc_id = c.doc_id WHERE failed IS NULL AND text <> '')"""
+
+
 def wide(sql: str, *columns: str) -> str:
     """Integer columns as BIGINT, as the Spark side has them."""
     casts = ", ".join(f"CAST({c} AS BIGINT) AS {c}" for c in columns)
@@ -346,6 +363,23 @@ def all_sql() -> dict[str, str]:
             UNION ALL SELECT doc_id, 1, 0, printf('❌ %d files failed.', f) FROM sums WHERE f > 0
             UNION ALL SELECT doc_id, 2, utt_no, '  - ' || file || ': ' || error FROM outs
             WHERE error IS NOT NULL""",
+        "batch_requests": wide(
+            f"""WITH {batch_ctes()} SELECT doc_id, path, kind, @@, text, 'ta-IN-PallaviNeural' AS voice,
+            '+5%' AS rate, '-5Hz' AS pitch, '+0%' AS volume, error FROM requests""",
+            "cue_no", "start_ms", "end_ms",
+        ),
+        "batch_report": f"""WITH {batch_ctes()},
+            judged AS (SELECT *, CASE (doc_id * 13 + cue_no) % 6 WHEN 1 THEN 'No audio was received.'
+                WHEN 3 THEN 'No outcome was reported.' END AS bad FROM requests),
+            counted AS (SELECT doc_id, count(*) FILTER (WHERE kind = 'cue') AS requested,
+                count(bad) FILTER (WHERE kind = 'cue') AS skipped,
+                max(coalesce(error, bad)) FILTER (WHERE kind <> 'cue') AS error
+                FROM judged GROUP BY doc_id)
+            SELECT l.doc_id, path, CAST(coalesce(requested, 0) AS BIGINT) AS requested,
+            CAST(coalesce(skipped, 0) AS BIGINT) AS skipped,
+            CASE WHEN error IS NULL THEN 'mp3/' || regexp_replace(path, '[.][^.]*$', '') || '.mp3' END AS audio,
+            CASE WHEN error IS NULL THEN 'mp3/' || regexp_replace(path, '[.][^.]*$', '') || '.srt' END AS subtitle,
+            error FROM listed l LEFT JOIN counted c ON l.doc_id = c.doc_id""",
         "cue_skip_report": f"""{cues}, asked AS (SELECT doc_id, {cue_failed} AS bad FROM cues WHERE text <> '')
             SELECT r.doc_id, CAST(count(bad) AS BIGINT) AS requested,
             CAST(count(*) FILTER (WHERE bad) AS BIGINT) AS skipped,

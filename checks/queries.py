@@ -17,6 +17,7 @@ from voxloom.operators import phrases as ph
 from voxloom.operators import sentences as st
 from voxloom.operators import subtitles as sb
 from voxloom.operators import timeline as tl
+from voxloom.plans import batch as bt
 from voxloom.plans.corpus import prepare_corpus, prepare_corpus_from_pages
 from voxloom.sources.files import decoded
 from voxloom.sources.tables import read_table
@@ -161,6 +162,23 @@ def _on_cue_outcomes(operator: Callable[[DataFrame, DataFrame, DataFrame], DataF
     return run
 
 
+def batch_requests(spark: SparkSession, sf: str) -> DataFrame:
+    return _wide(bt.batch_requests(inputs.batch_files(spark, sf), rate=5, pitch=-5, key="doc_id"))
+
+
+def batch_report(spark: SparkSession, sf: str) -> DataFrame:
+    """Of six requests one fails, one is not reported, and one succeeds in a second attempt."""
+    files = inputs.batch_files(spark, sf)
+    requests = bt.batch_requests(files, key="doc_id")
+    r = F.pmod(F.col("doc_id") * 13 + F.col("cue_no"), F.lit(6))
+    bad, good = F.lit("No audio was received."), F.lit(None).cast("string")
+    tries = F.when(r == 1, F.array(bad)).when(r == 2, F.array(bad, good)).otherwise(F.array(good))
+    reported = requests.filter((F.col("kind") != "error") & (r != 3)).select(
+        "doc_id", "cue_no", F.explode(tries).alias("error")
+    )
+    return _wide(bt.batch_report(files, requests, reported, "mp3", generate_subtitles=True, key="doc_id"))
+
+
 def _document_stream(spark: SparkSession, sf: str) -> DataFrame:
     schema = read_table(spark, f"{sf}/documents.parquet", "doc_id", "text").schema
     # A pattern, since the file source takes folders and patterns but no single file.
@@ -234,6 +252,8 @@ def all_queries() -> dict[str, Query]:
         "output_files": _on_outcomes(mf.output_files),
         "batch_summary": _on_outcomes(mf.batch_summary),
         "batch_summary_lines": _on_outcomes(mf.batch_summary_lines),
+        "batch_requests": batch_requests,
+        "batch_report": batch_report,
         "cue_skip_report": _on_cue_outcomes(lambda files, p, o: mf.cue_skip_report(sb.routed(files), p, o)),
         "placed_cues": _on_cue_outcomes(lambda files, p, o: mf.placed_cues(p, o)),
         "track_order": _on_tracks(tl.track_order),
