@@ -11,20 +11,22 @@ with a quarter. Each step is exact by the same argument. The last level leaves 8
 left-out bits open, so it holds at most 2048 different fingerprints. Buckets are streamed
 from sorted partitions, and give the links of a spanning forest, not all pairs.
 
-The similarity form (`similar_documents`) has the same index over 128 bits and eight segments.
-A pair at the similarity threshold differs in more bits than the pigeonhole argument allows,
-so one segment with at most one differing bit is likely, not certain: see `expected_recall`.
-A candidate is linked to the nearest earlier one in each bucket, and the links are verified
-by the exact Jaccard similarity of the shingle sets.
+The similarity form (`similar_documents`) is exact and has no SimHash. Equal shingle sets are
+one node. In any common order of the shingles, two sets of Jaccard similarity s or more share
+one of the first n - ceil(s n) + 1 shingles of each, so nodes are indexed under these, rare
+shingles first. In each bucket all pairs that sizes and places allow are proposed, at growing
+distances in the bucket's order, and verified by the exact similarity; pairs that are already
+connected are not proposed again, so a large group of copies costs about one link for each.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from math import acos, pi
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,9 +34,10 @@ from voxloom.llm.common import columns_from_text, first_of_each_id, free_name, s
 from voxloom.llm.components import components
 from voxloom.llm.simhash import fingerprints, shingle_hashes, signed
 
-BUCKET_LIMIT = 1024  # larger buckets go one level deeper, or to leaders
-WIDE_LANES, WIDE_SEGMENT = 2, 16  # 128 bits in segments of 16
-LEADER_BLOCK = 512
+BUCKET_LIMIT = 1024  # larger buckets go one level deeper
+ORDER_ROWS = 20_000  # documents that the order of the shingles is taken from; any order is exact
+ORDER_SHINGLES = 100_000  # the most frequent ones of these go last, the rest by their hash
+REACH = 8  # distances in a bucket grow so many times in each round
 LEVELS = (64, 32, 16)  # bits that are cut in two at each level
 
 
@@ -218,16 +221,15 @@ def _exact_scan(radius: int, limit: int | None):
 # --- the similarity form -------------------------------------------------------------------
 
 
-def expected_distance(similarity: float) -> float:
-    """Share of differing SimHash bits at a Jaccard similarity of equally large sets."""
-    return acos(2 * similarity / (1 + similarity)) / pi
+def shingle_set(text: str | None, words: int) -> np.ndarray:
+    """The different shingle hashes, ascending."""
+    made = list(shingle_hashes(text, words))
+    return np.unique(np.concatenate(made)) if made else np.zeros(0, np.uint64)
 
 
-def expected_recall(similarity: float, segments: int = 8, width: int = WIDE_SEGMENT) -> float:
-    """Probability that some segment of a pair at this similarity differs in at most one bit."""
-    p = expected_distance(similarity)
-    one = (1 - p) ** width + width * p * (1 - p) ** (width - 1)
-    return 1 - (1 - one) ** segments
+def prefix_length(size: int, similarity: float) -> int:
+    """So many shingles of a set, the first in the common order, meet those of any similar set."""
+    return size - max(1, ceil(similarity * size - 1e-9)) + 1 if size else 0
 
 
 def similar_documents(
@@ -236,133 +238,149 @@ def similar_documents(
     """key, component for each different non-null key: near copies share a component.
 
     Documents are linked if the Jaccard similarity of their sets of word shingles is at least
-    the given one. Equal fingerprints of 128 bits link without a further check. Texts without
-    words link with each other. Of rows that repeat a key one is taken, see first_of_each_id.
+    the given one; all such pairs are connected. Texts without words link with each other. Of
+    rows that repeat a key one is taken, see first_of_each_id.
     """
+    if not 0 < similarity <= 1:
+        raise ValueError("similarity is above 0 and at most 1")
     rows = first_of_each_id(docs.select(key, text).filter(F.col(key).isNotNull()), key, text)
     rows = rows.select(F.col(key).cast("bigint").alias("_key"), F.col(text).alias("_text"))
-    prints = settle(fingerprints(rows, "_text", words, WIDE_LANES).drop("_text"))
-    lanes = [f"f{i}" for i in range(WIDE_LANES)]
-    groups = settle(prints.groupBy(*lanes).agg(F.min("_key").alias("node")))
-    links = settle(_verified(rows, _candidates(groups), words, similarity))
-    found = components(links)
-    named = settle(
-        groups.join(found, "node", "left").select(*lanes, F.coalesce("component", "node").alias("component"))
-    )
-    return prints.join(named, lanes).select(F.col("_key").alias(key), "component")
-
-
-def _candidates(groups: DataFrame) -> DataFrame:
-    """a, b: each entry and, from each of its buckets, the nearest entry before it."""
-    spots = F.array(
-        *[
-            F.xxhash64(F.lit(64 * lane + low + bit), F.col(f"f{lane}").bitwiseAND(F.lit(signed(keep & ~(1 << (low + bit))))))
-            for lane in range(WIDE_LANES)
-            for low in range(0, 64, WIDE_SEGMENT)
-            for keep in [((1 << WIDE_SEGMENT) - 1) << low]
-            for bit in range(WIDE_SEGMENT)
-        ]
-    )
-    lanes = [f"f{i}" for i in range(WIDE_LANES)]
-    index = groups.select(F.explode(spots).alias("key"), "node", *lanes)
-    scan = _nearest_scan(loose_radius())
-    ordered = index.repartition("key").sortWithinPartitions("key", "node")
-    return settle(ordered.mapInArrow(scan, "a bigint, b bigint")).distinct()
+    rows = settle(rows)
+    lasts = _frequent(rows, words)
 
+    def make():
+        codes = np.array([c for c, _ in lasts], np.uint64)
+        ranks = np.array([r for _, r in lasts], np.int64)
+
+        def signatures(texts):
+            out = []
+            for t in texts:
+                own = shingle_set(t, words)
+                digest = xxhash.xxh128_digest(own.tobytes())
+                first = own
+                if len(codes) and len(own):
+                    at = np.minimum(np.searchsorted(codes, own), len(codes) - 1)
+                    rank = np.where(codes[at] == own, ranks[at], 0)
+                    first = own[np.argsort(rank, kind="stable")]
+                prefix = first[: prefix_length(len(own), similarity)]
+                out.append((digest, len(own), prefix.view(np.int64).tolist()))
+            return list(zip(*out, strict=True))
+
+        return signatures
+
+    signed_rows = columns_from_text(rows, "_text", "same binary, size int, prefix array<bigint>", make)
+    signatures = settle(signed_rows.drop("_text"))
+    nodes = settle(signatures.groupBy("same").agg(F.min("_key").alias("node")))
+    first = nodes.select(F.col("node").alias("_key"))
+    index = signatures.join(first, "_key").select(
+        F.col("_key").alias("node"), "size", F.posexplode("prefix").alias("place", "key")
+    )
+    found = _linked(rows, index, words, similarity)
+    named = nodes.withColumn("component", F.col("node"))
+    if found is not None:
+        named = nodes.join(found, "node", "left")
+        named = named.select("same", F.coalesce("component", "node").alias("component"))
+    return signatures.select("_key", "same").join(settle(named.select("same", "component")), "same").select(F.col("_key").alias(key), "component")
 
-def loose_radius(similarity: float = 0.8) -> int:
-    """Differing bits that a pair at the similarity stays below in 19 of 20 cases."""
-    bits, p = 64 * WIDE_LANES, expected_distance(similarity)
-    return int(bits * p + 1.7 * (bits * p * (1 - p)) ** 0.5)
 
+def _frequent(rows: DataFrame, words: int) -> list[tuple[int, int]]:
+    """Shingles that are to stand last, ascending, with their rank. Only speed depends on them."""
+    total = rows.count()
+    share = max(1, total // ORDER_ROWS)
+    some = rows.filter(F.pmod(F.xxhash64("_key"), F.lit(share)) == 0) if share > 1 else rows
 
-def _nearest_scan(radius: int):
-    lanes = [f"f{i}" for i in range(WIDE_LANES)]
+    def make():
+        return lambda texts: [[shingle_set(t, words).view(np.int64).tolist() for t in texts]]
 
-    def batch_of(a, b):
-        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+    sets = columns_from_text(some, "_text", "shingles array<bigint>", make)
+    counted = sets.select(F.explode("shingles").alias("code")).groupBy("code").agg(F.count(F.lit(1)).alias("n"))
+    top = counted.filter(F.col("n") > 8).orderBy(F.desc("n"), "code").limit(ORDER_SHINGLES)
+    return sorted((r["code"] % (1 << 64), r["n"]) for r in top.collect())
 
-    def small(key, ids, prints):
-        i, j, apart = near_pairs(key, prints, radius)
-        if len(i):
-            best = np.full(len(key), np.iinfo(np.int64).max)
-            np.minimum.at(best, i, (apart << 32) | j)
-            at = np.flatnonzero(best != np.iinfo(np.int64).max)
-            yield batch_of(ids[at], ids[best[at] & 0xFFFFFFFF])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        leaders = _Leaders(radius)
+def _linked(rows: DataFrame, index: DataFrame, words: int, similarity: float) -> DataFrame | None:
+    """node, component of the nodes that are similar to another one; None if none is.
 
-        def large(ids, prints, first):
-            if first:
-                leaders.clear()
-            for s in range(0, len(ids), LEADER_BLOCK):
-                found = leaders.place(ids[s : s + LEADER_BLOCK], prints[s : s + LEADER_BLOCK])
-                if found is not None:
-                    yield batch_of(*found)
+    index has node, size, place and key: the shingles of each node's prefix. A round proposes
+    the pairs whose distance in a bucket is within its reach; buckets end when they are
+    shorter than that or all of their nodes are connected.
+    """
+    index = settle(index)
+    found, sets, near = None, None, 1
+    while True:
+        if found is None:
+            own = index.withColumn("component", F.col("node"))
+        else:
+            own = index.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+            own = settle(own)
+        open_keys = own.groupBy("key").agg(
+            F.count(F.lit(1)).alias("n"), F.min("component").alias("low"), F.max("component").alias("high")
+        )
+        open_keys = settle(open_keys.filter((F.col("n") > near) & (F.col("low") != F.col("high"))).select("key"))
+        own = settle(own.join(open_keys, "key", "left_semi"))
+        if own.isEmpty():
+            return found
+        if sets is None:
+            sets = _sets(rows, own.select(F.col("node").alias("_key")).distinct(), words)
+        index = own.drop("component")
+        ordered = own.select("key", "size", "node", "place", "component").repartition("key")
+        ordered = ordered.sortWithinPartitions("key", "size", "node")
+        far = 2 if near == 1 else near * REACH
+        proposed = ordered.mapInArrow(_reach_scan(near, far, similarity), "a bigint, b bigint")
+        made = settle(_verified(sets, settle(proposed.distinct()), similarity))
+        if not made.isEmpty():
+            if found is not None:
+                made = made.unionByName(found.select(F.col("node").alias("a"), F.col("component").alias("b")))
+            found = settle(components(made))
+        near = far
+
+
+def _reach_scan(near: int, far: int, similarity: float):
+    """Pairs of a bucket (rows sorted by key and size) that are near to far - 1 rows apart, of
+    different components, and similar enough as far as sizes and places tell."""
 
-        buckets = _Buckets(BUCKET_LIMIT, small, large)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
         for batch in batches:
-            if batch.num_rows:
-                key, ids, *prints = _columns(batch, ["key", "node", *lanes])
-                buckets_in = np.stack([p.view(np.uint64) for p in prints], axis=1)
-                yield from buckets.feed(key, ids, buckets_in)
-        yield from buckets.end()
+            rows = _columns(batch, ["key", "size", "node", "place", "component"])
+            before = len(held[0]) if held else 0
+            if held:
+                rows = [np.concatenate(c) for c in zip(held, rows, strict=True)]
+            key, size, node, place, component = rows
+            here = np.arange(before, len(key))
+            for lag in range(near, far):
+                here = here[here >= lag]
+                other = here - lag
+                # Rows are sorted by size: what is too small at this distance is so at the next.
+                fits = (key[other] == key[here]) & (size[other] / size[here] >= similarity)
+                here, other = here[fits], other[fits]
+                if not len(here):
+                    break
+                both = np.minimum(size[here] - place[here], size[other] - place[other])
+                every = size[here] + size[other] - both
+                pick = (both / every >= similarity) & (component[here] != component[other])
+                if pick.any():
+                    a, b = node[here[pick]], node[other[pick]]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], ["a", "b"]
+                    )
+            held = [c[max(0, len(key) - far + 1) :] for c in rows]
 
     return run
 
 
-class _Leaders:
-    """For a bucket of any size: each entry is linked to the nearest leader; an entry without
-    one within the radius becomes a leader. The work grows with entries times leaders."""
-
-    def __init__(self, radius: int):
-        self.radius = radius
-        self.clear()
-
-    def clear(self):
-        self.ids, self.prints = np.zeros(0, np.int64), np.zeros((0, WIDE_LANES), np.uint64)
-
-    def place(self, ids, prints):
-        far = np.iinfo(np.int64).max
-        best, to = np.full(len(ids), far), np.zeros(len(ids), np.int64)
-        for s in range(0, len(self.ids), 4096):
-            apart = np.bitwise_count(prints[:, None] ^ self.prints[None, s : s + 4096]).sum(axis=2, dtype=np.int64)
-            at = apart.argmin(axis=1)
-            d = apart[np.arange(len(ids)), at]
-            to = np.where(d < best, self.ids[s + at], to)
-            best = np.minimum(best, d)
-        new = np.flatnonzero(best > self.radius)
-        if len(new):
-            apart = np.bitwise_count(prints[new][:, None] ^ prints[new][None]).sum(axis=2, dtype=np.int64)
-            apart[np.triu_indices(len(new))] = far
-            at = apart.argmin(axis=1)
-            d = apart[np.arange(len(new)), at]
-            near = d <= self.radius
-            best[new[near]], to[new[near]] = d[near], ids[new[at[near]]]
-            lead = new[~near]
-            self.ids = np.concatenate([self.ids, ids[lead]])
-            self.prints = np.concatenate([self.prints, prints[lead]])
-        linked = best <= self.radius
-        return (ids[linked], to[linked]) if linked.any() else None
-
-
-def _verified(rows: DataFrame, links: DataFrame, words: int, similarity: float) -> DataFrame:
-    """The links whose shingle sets are as similar as asked.
-
-    Only texts that stand in a link are fetched, as sorted sets of shingle hashes.
-    """
-    ends = settle(links.select(F.explode(F.array("a", "b")).alias("_key")).distinct())
+def _sets(rows: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
+    """_key, shingles: the sorted sets of shingle hashes of these nodes."""
 
     def make():
-        def sets(texts):
-            made = [list(shingle_hashes(t, words)) for t in texts]
-            return [[np.unique(np.concatenate(m)).tobytes() if m else b"" for m in made]]
+        return lambda texts: [[shingle_set(t, words).tobytes() for t in texts]]
+
+    involved = rows.join(nodes, "_key", "left_semi")
+    return settle(columns_from_text(involved, "_text", "shingles binary", make).drop("_text"))
 
-        return sets
 
-    involved = rows.join(ends, "_key", "left_semi")
-    sets = settle(columns_from_text(involved, "_text", "shingles binary", make).drop("_text"))
+def _verified(sets: DataFrame, links: DataFrame, similarity: float) -> DataFrame:
+    """The links whose shingle sets are as similar as asked."""
     first = sets.select(F.col("_key").alias("a"), F.col("shingles").alias("one"))
     second = sets.select(F.col("_key").alias("b"), F.col("shingles").alias("two"))
     pairs = links.join(first, "a").join(second, "b").select("a", "b", "one", "two")
