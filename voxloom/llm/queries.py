@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import zlib
+from collections.abc import Callable, Iterator
 
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxloom.llm import decontaminate, language, mixing, sharding, token_files, tokens, toxicity, warc
+from voxloom.llm import (
+    decontaminate, language, licenses, mixing, periodic, prefix_trie, sharding, token_files, tokens, toxicity, warc,
+)
 from voxloom.llm.common import read_docs, settle
 from voxloom.llm.fingerprint import edited_documents, find_within, likeness, with_fingerprint
 from voxloom.llm.near_dedup import hamming_components
@@ -122,12 +126,85 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_rows(spark, read_docs(spark, sf_dir, "doc_id", "text"))
 
 
+def op11_license_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.with_notices(read_docs(spark, sf_dir, "doc_id", "text")).drop("text")
+    base = licenses.exact_places(F.col("notices"), len(licenses.BASE))
+    places = found.withColumn("base", base)
+    return places.select(
+        "doc_id",
+        "n_words",
+        F.size("base").cast("bigint").alias("n_base"),
+        F.array_min("base.first_word").alias("first_word"),
+        F.array_max("base.first_word").alias("last_word"),
+        licenses.label_list(F.col("base")).alias("base_labels"),
+        licenses.label_list(F.col("notices")).alias("labels"),
+        licenses.confidence(F.col("notices")).alias("score"),
+        "notices",
+    )
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """doc_id, text: of about one document in ten the words from a place on repeat, as their
+    id says; the others are as they are. Null ids plant nothing."""
+
+    def rewritten(doc_id: int, text: str | None) -> str | None:
+        h = zlib.crc32(str(doc_id).encode())
+        words = (text or "").encode("utf-8", "surrogatepass").split()
+        n, g = len(words), h // 10
+        if h % 10 or not n:
+            return text
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        part = words[a : a + p]
+        tail = (part * (-(-(n - a) // p)))[: n - a]
+        return b" ".join(words[:a] + tail).decode("utf-8", "surrogatepass")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, texts = batch.column(0).to_pylist(), batch.column(1)
+            odd = [i is not None and zlib.crc32(str(i).encode()) % 10 == 0 for i in ids]
+            new = [
+                rewritten(i, texts[k].as_py()) if planted else texts[k].as_py()
+                for k, (i, planted) in enumerate(zip(ids, odd, strict=True))
+            ]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(new, pa.string())], ["doc_id", "text"])
+
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, text string")
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = with_planted_runs(read_docs(spark, sf_dir, "doc_id", "text"))
+    found = periodic.with_runs(docs).drop("text")
+    # The greatest length, then the smallest start, then the smallest period.
+    ranked = F.transform("runs", lambda r: F.struct(r["length"], -r["start"], -r["period"]))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    best = F.array_max(ranked)
+    rows = found.withColumn("best", best)
+    length, start, period = F.col("best.length"), -F.col("best.col2"), -F.col("best.col3")
+    return rows.select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        start.alias("start"),
+        length.alias("length"),
+        period.alias("period"),
+        F.expr("1000 * best.length div -best.col3").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lists = prefix_trie.turn_lists(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    return prefix_trie.trie_nodes(prefix_trie.with_heads_of(lists, 20, 3, _fold(F.col("conv_id"), 4).cast("int")))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
         for f in (
             op1_simhash_near_dedup, op2_document_fingerprints, op3_warc_archives, op4_source_mixture,
             op5_benchmark_leaks, op6_histogram_shards, op7_toxicity, op8_language_id,
-            op9_token_counts, op10_token_files,
+            op9_token_counts, op10_token_files, op11_license_notices, op12_periodic_runs,
+            op13_conversation_trie,
         )
     }
