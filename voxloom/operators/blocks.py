@@ -10,6 +10,9 @@ small row per block goes through a window over the whole group.
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -31,19 +34,59 @@ def shared_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if named is None:
-        if not sc.master.startswith("local"):
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         named = tempfile.mkdtemp(prefix="voxloom-")
         sc.setCheckpointDir(named)
     return named
 
 
+# Paths of the tables that were settled in each open scope, innermost last.
+_SCOPES: ContextVar[tuple[list[str], ...]] = ContextVar("voxloom_scopes", default=())
+
+
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Settled tables made inside are removed when the block ends, also by an error.
+
+    What is yielded settles a table that outlives the block; it belongs to the scope around,
+    if there is one. A frame that reads a removed table fails, so whatever leaves the block
+    must be settled by it (or read no settled table).
+    """
+    outer = _SCOPES.get()
+    own: list[str] = []
+    token = _SCOPES.set((*outer, own))
+
+    def kept(df: DataFrame) -> DataFrame:
+        inner = _SCOPES.set(outer)
+        try:
+            return settle(df)
+        finally:
+            _SCOPES.reset(inner)
+
+    try:
+        yield kept
+    finally:
+        _SCOPES.reset(token)
+        for path in own:
+            remove(spark, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of any file system that Spark reads; an absent one is no error."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Write to the shared folder, so later uses read rows and do not recompute them.
 
-    A columnar table, so that each use reads only the columns it needs.
+    A columnar table, so that each use reads only the columns it needs. It stays until the
+    scope around ends; without one, until the shared folder is cleaned.
     """
     path = f"{shared_dir(df.sparkSession)}/settled-{uuid4()}"
+    if scopes := _SCOPES.get():
+        scopes[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
