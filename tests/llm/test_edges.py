@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pathlib import Path
 from unicodedata import normalize
 
 import numpy as np
@@ -10,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from voxloom.llm import decontaminate, fingerprint, language, mixing, near_dedup, sharding, token_files, tokens, toxicity, warc
+from voxloom.llm import common, decontaminate, fingerprint, language, mixing, near_dedup, sharding, token_files, tokens, toxicity, warc
 from voxloom.llm.components import components
 from voxloom.llm.simhash import simhash
 
@@ -77,10 +78,22 @@ def test_similar_documents(docs, none):
     assert near_dedup.keep_one_of_each(none).count() == 0
 
 
-def test_leaders_link_large_buckets(docs, monkeypatch):
-    monkeypatch.setattr(near_dedup, "BUCKET_LIMIT", 1)
-    got = dict(map(tuple, near_dedup.similar_documents(docs).collect()))
-    assert got[9] == 1
+def test_one_row_of_each_id(spark):
+    rows = [(1, "b", 1), (1, "a", 2), (1, "a", 2), (None, "a", 3), (None, "a", 3), (2, None, 4), (2, "x", 5)]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string, _id bigint")
+    got = [tuple(r) for r in common.one_row_of_each_id(table, "doc_id", "text").collect()]
+    assert sorted(r[0] for r in got if r[0]) == [1, 2] and got.count((None, "a", 3)) == 2
+    assert set(got) <= set(rows)
+    again = [tuple(r) for r in common.one_row_of_each_id(table.repartition(3), "doc_id", "text").collect()]
+    assert sorted(got, key=str) == sorted(again, key=str)
+
+
+def test_near_dedup_leaves_no_tables(spark, docs):
+    """What is settled on the way goes; one small table of ids stays for the result."""
+    folder = Path(common.shared_dir(spark))
+    before = set(folder.iterdir())
+    assert near_dedup.keep_one_of_each(docs).count()
+    assert len(set(folder.iterdir()) - before) <= 2
 
 
 def test_fingerprints(spark, docs, none):

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
+
 from voxloom.llm import near_dedup
 
 SCHEMA = "doc_id bigint, text string"
@@ -61,3 +63,23 @@ def test_pairs_at_the_threshold_link(spark):
     assert sum(d != c for d, c in want.items()) > 50
     assert want[len(texts) - 1] == len(texts) - 2
     assert components_of(spark, texts) == want
+
+
+def test_bands_find_pairs_at_the_threshold():
+    """Random sets that share just 0.8: every pair has a key in common."""
+    rng = np.random.default_rng(9)
+    for size in (9, 45, 450, 4500):
+        for _ in range(300 if size < 4500 else 30):
+            own = rng.integers(0, 1 << 63, size + size // 9 * 2, dtype=np.uint64)
+            other = size // 9
+            a, b = np.unique(own[:size]), np.unique(np.concatenate([own[: size - other], own[size : size + other]]))
+            assert near_dedup.jaccard(a, b) == 0.8
+            assert (near_dedup.band_keys(a) == near_dedup.band_keys(b)).any()
+
+
+def test_large_group_of_varied_copies(spark):
+    """A group of 400, each some edits from its neighbours: a chain of links, one component."""
+    words = [f"w{i}" for i in range(400)]
+    texts = [" ".join(words[: 2 * d] + [f"new{i}" for i in range(2 * d)] + words[4 * d :]) for d in range(90)]
+    texts += [" ".join([*words[:-1], f"tail{d}"]) for d in range(300)]
+    assert components_of(spark, texts) == all_pairs(texts)

@@ -12,11 +12,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from voxloom.operators.blocks import settle, shared_dir
+from voxloom.operators.blocks import scope, settle, shared_dir, small_side
 
 __all__ = [
-    "columns_from_text", "first_of_each_id", "free_name", "one_task_each", "read_docs", "settle", "shared_dir",
-    "word_blocks",
+    "columns_from_text", "first_of_each_id", "free_name", "one_row_of_each_id", "one_task_each", "read_docs", "scope",
+    "settle", "shared_dir", "small_side", "word_blocks",
 ]
 
 # Texts are turned into Python strings in slices of about so many bytes.
@@ -96,15 +96,31 @@ def word_blocks(text: str | None) -> Iterator[list[bytes]]:
 
 
 def first_of_each_id(df: DataFrame, key: str, text: str) -> DataFrame:
-    """One row for each id: that with the smallest hash of its text. Rows without an id stay.
-
-    The window runs on the id, so no group is larger than the rows that repeat one.
-    """
+    """One row for each id: that with the smallest hash of its text, for rows whose other columns
+    do not matter. Rows without an id stay. The window runs on the id."""
     number, alone = free_name(df, "_number"), F.when(F.col(key).isNull(), F.monotonically_increasing_id())
     order = Window.partitionBy(key, alone).orderBy(F.xxhash64(text))
     return df.withColumn(number, F.row_number().over(order)).filter(F.col(number) == 1).drop(number)
 
 
+def one_row_of_each_id(df: DataFrame, key: str, text: str) -> DataFrame:
+    """All columns of one row for each id; rows without an id stay.
+
+    Of rows that repeat an id that with the smallest hash of its text stays, then that with the
+    smallest hash of the whole row. Only rows whose id repeats are shuffled, and combined
+    before that, so one id may hold any part of them.
+    """
+    name, columns = free_name(df, "_id"), [F.col(f"`{c}`") for c in df.columns]
+    again = df.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias(name)).agg(F.count(F.lit(1)).alias("_n"))
+    again, found = small_side(settle(again.filter("_n > 1").select(name)))
+    if not found:
+        return df
+    repeated = df.join(again, df[key] == again[name], "left_semi")
+    order = F.struct(F.xxhash64(text).alias("a"), F.xxhash64(*columns).alias("b"))
+    best = repeated.groupBy(F.col(key).alias(name)).agg(F.min_by(F.struct(*columns), order).alias("_row"))
+    return df.join(again, df[key] == again[name], "left_anti").unionByName(best.select("_row.*"))
+
+
 def one_task_each(names: DataFrame, column: str) -> DataFrame:
     """Spread the names of large things, a row each, over as many tasks (10,000 at most).
 

@@ -11,18 +11,23 @@ with a quarter. Each step is exact by the same argument. The last level leaves 8
 left-out bits open, so it holds at most 2048 different fingerprints. Buckets are streamed
 from sorted partitions, and give the links of a spanning forest, not all pairs.
 
-The similarity form (`similar_documents`) is exact and has no SimHash. Equal shingle sets are
-one node. In any common order of the shingles, two sets of Jaccard similarity s or more share
-one of the first n - ceil(s n) + 1 shingles of each, so nodes are indexed under these, rare
-shingles first. In each bucket all pairs that sizes and places allow are proposed, at growing
-distances in the bucket's order, and verified by the exact similarity; pairs that are already
-connected are not proposed again, so a large group of copies costs about one link for each.
+The similarity form (`similar_documents`) asks for pairs that share 0.8 of their five-word
+shingles. Such fingerprints differ in about 15 of 100 bits (the angle of two sets of Jaccard
+similarity 0.8), so a segment of 16 bits differs in at most one bit in 28 % of pairs only, and
+long segments hardly ever: one-wildcard variants would need hundreds of rows a document, in
+buckets of 2^15 keys that grow with the square of the input. Its candidates come from the
+equality of other signatures, therefore: BANDS keys, each the least values of ROWS hash functions
+over the different shingles. A pair of similarity s shares a key with probability
+1 - (1 - s^ROWS)^BANDS: all but 3 in a million at 0.8. Keys are 64 bits, so unrelated documents
+do not meet. Equal shingle sets are one node. In each bucket all pairs of fitting size are proposed,
+at growing distances in the bucket's order, and verified by the exact similarity; pairs that
+are already connected are not proposed again, so a large group of copies costs about one link
+for each.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from math import ceil
 
 import numpy as np
 import pyarrow as pa
@@ -30,14 +35,16 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from voxloom.llm.common import columns_from_text, first_of_each_id, free_name, settle
+from voxloom.llm.common import columns_from_text, free_name, one_row_of_each_id, settle
 from voxloom.llm.components import components
-from voxloom.llm.simhash import fingerprints, shingle_hashes, signed
+from voxloom.llm.simhash import fingerprints, mixed, shingle_hashes, signed
+from voxloom.operators.blocks import scope, small_side
 
 BUCKET_LIMIT = 1024  # larger buckets go one level deeper
-ORDER_ROWS = 20_000  # documents that the order of the shingles is taken from; any order is exact
-ORDER_SHINGLES = 100_000  # the most frequent ones of these go last, the rest by their hash
-REACH = 8  # distances in a bucket grow so many times in each round
+BANDS = 24
+ROWS = 4  # hash functions of a band
+SLICE = 2048  # shingles hashed by all functions at once
+REACH = 16  # distances in a bucket grow so many times in each round
 LEVELS = (64, 32, 16)  # bits that are cut in two at each level
 
 
@@ -227,9 +234,20 @@ def shingle_set(text: str | None, words: int) -> np.ndarray:
     return np.unique(np.concatenate(made)) if made else np.zeros(0, np.uint64)
 
 
-def prefix_length(size: int, similarity: float) -> int:
-    """So many shingles of a set, the first in the common order, meet those of any similar set."""
-    return size - max(1, ceil(similarity * size - 1e-9)) + 1 if size else 0
+_ODD = np.random.default_rng(17).integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def band_keys(shingles: np.ndarray) -> np.ndarray:
+    """A key (bigint) for each band of a set of shingle hashes; an empty set has none."""
+    if not len(shingles):
+        return np.zeros(0, np.int64)
+    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
+    for s in range(0, len(shingles), SLICE):
+        np.minimum(least, (shingles[s : s + SLICE, None] * _ODD).min(axis=0), out=least)
+    keys = np.arange(BANDS, dtype=np.uint64)
+    for row in least.reshape(BANDS, ROWS).T:
+        keys = mixed(keys * np.uint64(0x9FB21C651E98DF25) + row, 1)
+    return keys.view(np.int64)
 
 
 def similar_documents(
@@ -238,115 +256,101 @@ def similar_documents(
     """key, component for each different non-null key: near copies share a component.
 
     Documents are linked if the Jaccard similarity of their sets of word shingles is at least
-    the given one; all such pairs are connected. Texts without words link with each other. Of
-    rows that repeat a key one is taken, see first_of_each_id.
+    the given one, which must be 0.8 or more (the bands are made for it). Texts without words
+    link with each other. Of rows that repeat a key that with the smallest hash of its text
+    counts; equal hashes have equal texts.
     """
-    if not 0 < similarity <= 1:
-        raise ValueError("similarity is above 0 and at most 1")
-    rows = first_of_each_id(docs.select(key, text).filter(F.col(key).isNotNull()), key, text)
-    rows = rows.select(F.col(key).cast("bigint").alias("_key"), F.col(text).alias("_text"))
-    rows = settle(rows)
-    lasts = _frequent(rows, words)
-
+    if not 0.8 <= similarity <= 1:
+        raise ValueError("the bands are made for similarities from 0.8 to 1")
+    spark = docs.sparkSession
+    with scope(spark) as kept:
+        rows = docs.filter(F.col(key).isNotNull())
+        rows = rows.select(F.col(key).cast("bigint").alias("_key"), F.col(text).alias("_text"))
+        made = _signatures(rows.withColumn("_hash", F.xxhash64("_text")), words).drop("_text")
+        best = settle(made).groupBy("_key").agg(F.min(F.struct("_hash", "same", "size", "bands")).alias("b"))
+        own = settle(best.select("_key", "b.*"))
+        nodes = settle(own.groupBy("same").agg(F.min(F.struct("_key", "_hash", "size", "bands")).alias("n")).select("same", "n.*"))
+        index = nodes.select(F.col("_key").alias("node"), "size", F.explode("bands").alias("key"))
+        found = _linked(rows, nodes.select(F.col("_key").alias("node"), "_hash"), index, words, similarity)
+        named = nodes.select("same", F.col("_key").alias("component"))
+        if found is not None:
+            named = nodes.select("same", F.col("_key").alias("node")).join(found, "node", "left")
+            named = named.select("same", F.coalesce("component", "node").alias("component"))
+        return kept(own.join(named, "same").select(F.col("_key").alias(key), "component"))
+
+
+def _signatures(rows: DataFrame, words: int) -> DataFrame:
     def make():
-        codes = np.array([c for c, _ in lasts], np.uint64)
-        ranks = np.array([r for _, r in lasts], np.int64)
-
         def signatures(texts):
-            out = []
-            for t in texts:
-                own = shingle_set(t, words)
-                digest = xxhash.xxh128_digest(own.tobytes())
-                first = own
-                if len(codes) and len(own):
-                    at = np.minimum(np.searchsorted(codes, own), len(codes) - 1)
-                    rank = np.where(codes[at] == own, ranks[at], 0)
-                    first = own[np.argsort(rank, kind="stable")]
-                prefix = first[: prefix_length(len(own), similarity)]
-                out.append((digest, len(own), prefix.view(np.int64).tolist()))
-            return list(zip(*out, strict=True))
+            sets = [shingle_set(t, words) for t in texts]
+            return (
+                [xxhash.xxh128_digest(s.tobytes()) for s in sets], [len(s) for s in sets],
+                [band_keys(s) for s in sets],
+            )
 
         return signatures
 
-    signed_rows = columns_from_text(rows, "_text", "same binary, size int, prefix array<bigint>", make)
-    signatures = settle(signed_rows.drop("_text"))
-    nodes = settle(signatures.groupBy("same").agg(F.min("_key").alias("node")))
-    first = nodes.select(F.col("node").alias("_key"))
-    index = signatures.join(first, "_key").select(
-        F.col("_key").alias("node"), "size", F.posexplode("prefix").alias("place", "key")
-    )
-    found = _linked(rows, index, words, similarity)
-    named = nodes.withColumn("component", F.col("node"))
-    if found is not None:
-        named = nodes.join(found, "node", "left")
-        named = named.select("same", F.coalesce("component", "node").alias("component"))
-    return signatures.select("_key", "same").join(settle(named.select("same", "component")), "same").select(F.col("_key").alias(key), "component")
-
-
-def _frequent(rows: DataFrame, words: int) -> list[tuple[int, int]]:
-    """Shingles that are to stand last, ascending, with their rank. Only speed depends on them."""
-    total = rows.count()
-    share = max(1, total // ORDER_ROWS)
-    some = rows.filter(F.pmod(F.xxhash64("_key"), F.lit(share)) == 0) if share > 1 else rows
+    return columns_from_text(rows, "_text", "same binary, size int, bands array<bigint>", make)
 
-    def make():
-        return lambda texts: [[shingle_set(t, words).view(np.int64).tolist() for t in texts]]
-
-    sets = columns_from_text(some, "_text", "shingles array<bigint>", make)
-    counted = sets.select(F.explode("shingles").alias("code")).groupBy("code").agg(F.count(F.lit(1)).alias("n"))
-    top = counted.filter(F.col("n") > 8).orderBy(F.desc("n"), "code").limit(ORDER_SHINGLES)
-    return sorted((r["code"] % (1 << 64), r["n"]) for r in top.collect())
 
-
-def _linked(rows: DataFrame, index: DataFrame, words: int, similarity: float) -> DataFrame | None:
+def _linked(
+    rows: DataFrame, nodes: DataFrame, index: DataFrame, words: int, similarity: float
+) -> DataFrame | None:
     """node, component of the nodes that are similar to another one; None if none is.
 
-    index has node, size, place and key: the shingles of each node's prefix. A round proposes
-    the pairs whose distance in a bucket is within its reach; buckets end when they are
-    shorter than that or all of their nodes are connected.
+    index has node, size and key. A round proposes the pairs whose distance in a bucket is
+    within its reach; buckets end when they are shorter than that or all of their nodes are
+    connected.
     """
-    index = settle(index)
-    found, sets, near = None, None, 1
+    index = settle(_shared_keys(index, 1))
+    if index.isEmpty():
+        return None
+    sets = _sets(rows, nodes.join(index.select("node").distinct(), "node"), words)
+    found, near = None, 1
     while True:
-        if found is None:
-            own = index.withColumn("component", F.col("node"))
-        else:
-            own = index.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-            own = settle(own)
-        open_keys = own.groupBy("key").agg(
-            F.count(F.lit(1)).alias("n"), F.min("component").alias("low"), F.max("component").alias("high")
-        )
-        open_keys = settle(open_keys.filter((F.col("n") > near) & (F.col("low") != F.col("high"))).select("key"))
-        own = settle(own.join(open_keys, "key", "left_semi"))
-        if own.isEmpty():
-            return found
-        if sets is None:
-            sets = _sets(rows, own.select(F.col("node").alias("_key")).distinct(), words)
-        index = own.drop("component")
-        ordered = own.select("key", "size", "node", "place", "component").repartition("key")
-        ordered = ordered.sortWithinPartitions("key", "size", "node")
         far = 2 if near == 1 else near * REACH
-        proposed = ordered.mapInArrow(_reach_scan(near, far, similarity), "a bigint, b bigint")
-        made = settle(_verified(sets, settle(proposed.distinct()), similarity))
-        if not made.isEmpty():
+        with scope(rows.sparkSession) as kept:
+            if found is None:
+                own = index.withColumn("component", F.col("node"))
+            else:
+                own = index.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+                own = settle(_shared_keys(settle(own), near))
+                if own.isEmpty():
+                    return found
+            ordered = own.select("key", "size", "node", "component").repartition("key")
+            ordered = ordered.sortWithinPartitions("key", "size", "node")
+            proposed = ordered.mapInArrow(_reach_scan(near, far, similarity), "a bigint, b bigint")
+            made = settle(_verified(sets, proposed.distinct(), similarity))
             if found is not None:
                 made = made.unionByName(found.select(F.col("node").alias("a"), F.col("component").alias("b")))
-            found = settle(components(made))
+            found = kept(components(made))
+            index = own.drop("component") if near == 1 else kept(own.drop("component"))
         near = far
 
 
+def _shared_keys(index: DataFrame, above: int) -> DataFrame:
+    """The rows of keys with more than so many rows, of more than one component if there are."""
+    counts = [F.count(F.lit(1)).alias("n")]
+    wanted = F.col("n") > above
+    if "component" in index.columns:
+        counts += [F.min("component").alias("low"), F.max("component").alias("high")]
+        wanted &= F.col("low") != F.col("high")
+    keys = index.groupBy("key").agg(*counts).filter(wanted).select("key")
+    return index.join(keys, "key", "left_semi")
+
+
 def _reach_scan(near: int, far: int, similarity: float):
     """Pairs of a bucket (rows sorted by key and size) that are near to far - 1 rows apart, of
-    different components, and similar enough as far as sizes and places tell."""
+    different components, and of sizes that can be similar enough."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
         for batch in batches:
-            rows = _columns(batch, ["key", "size", "node", "place", "component"])
+            rows = _columns(batch, ["key", "size", "node", "component"])
             before = len(held[0]) if held else 0
             if held:
                 rows = [np.concatenate(c) for c in zip(held, rows, strict=True)]
-            key, size, node, place, component = rows
+            key, size, node, component = rows
             here = np.arange(before, len(key))
             for lag in range(near, far):
                 here = here[here >= lag]
@@ -356,9 +360,7 @@ def _reach_scan(near: int, far: int, similarity: float):
                 here, other = here[fits], other[fits]
                 if not len(here):
                     break
-                both = np.minimum(size[here] - place[here], size[other] - place[other])
-                every = size[here] + size[other] - both
-                pick = (both / every >= similarity) & (component[here] != component[other])
+                pick = component[here] != component[other]
                 if pick.any():
                     a, b = node[here[pick]], node[other[pick]]
                     yield pa.RecordBatch.from_arrays(
@@ -370,19 +372,23 @@ def _reach_scan(near: int, far: int, similarity: float):
 
 
 def _sets(rows: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
-    """_key, shingles: the sorted sets of shingle hashes of these nodes."""
+    """node, shingles: the sorted sets of shingle hashes of these nodes (node, _hash)."""
 
     def make():
         return lambda texts: [[shingle_set(t, words).tobytes() for t in texts]]
 
-    involved = rows.join(nodes, "_key", "left_semi")
-    return settle(columns_from_text(involved, "_text", "shingles binary", make).drop("_text"))
+    wanted, _ = small_side(settle(nodes))
+    hashed = rows.withColumn("_hash", F.xxhash64("_text"))
+    involved = hashed.join(wanted.withColumnRenamed("node", "_key"), ["_key", "_hash"], "left_semi")
+    made = columns_from_text(involved, "_text", "shingles binary", make)
+    # A row may be there more than once, with the same text.
+    return settle(made.groupBy(F.col("_key").alias("node")).agg(F.max("shingles").alias("shingles")))
 
 
 def _verified(sets: DataFrame, links: DataFrame, similarity: float) -> DataFrame:
     """The links whose shingle sets are as similar as asked."""
-    first = sets.select(F.col("_key").alias("a"), F.col("shingles").alias("one"))
-    second = sets.select(F.col("_key").alias("b"), F.col("shingles").alias("two"))
+    first = sets.select(F.col("node").alias("a"), F.col("shingles").alias("one"))
+    second = sets.select(F.col("node").alias("b"), F.col("shingles").alias("two"))
     pairs = links.join(first, "a").join(second, "b").select("a", "b", "one", "two")
 
     def run(batches):
@@ -406,9 +412,12 @@ def jaccard(x: np.ndarray, y: np.ndarray) -> float:
 def keep_one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """docs with one document of each group of near copies, that with the smallest key.
 
-    All columns stay. Rows without a key stay; of rows that repeat a key one stays.
+    All columns stay. Rows without a key stay; of rows that repeat a key one stays, see
+    one_row_of_each_id. Whole texts are shuffled only if more keys go than fit a broadcast.
     """
-    member, whole = free_name(docs, "_component"), similar_documents(docs, key, text, **options)
-    others = settle(whole.filter(F.col(key) != F.col("component")).select(F.col(key).alias(member)))
-    one = first_of_each_id(docs, key, text)
-    return one.join(others, one[key] == others[member], "left_anti")
+    member, spark = free_name(docs, "_component"), docs.sparkSession
+    with scope(spark) as kept:
+        whole = similar_documents(docs, key, text, **options)
+        others = kept(whole.filter(F.col(key) != F.col("component")).select(F.col(key).alias(member)))
+    few, _ = small_side(others)
+    return one_row_of_each_id(docs.join(few, docs[key] == few[member], "left_anti"), key, text)
