@@ -79,11 +79,18 @@ def _bits(values: np.ndarray) -> np.ndarray:
     return np.ceil(np.log2(values.astype(np.float64) + 1)).astype(np.int64)
 
 
+def _bytes_for(width: int) -> int:
+    """Bytes of the smallest unsigned type that holds so many bits."""
+    return 1 if width <= 8 else 2 if width <= 16 else 4
+
+
 def _pack(rows: np.ndarray, width: int) -> np.ndarray:
     """The lowest bits of each value, packed; BLOCK * width / 8 bytes for each row."""
     if width == 0:
         return np.zeros((len(rows), 0), np.uint8)
-    bits = np.unpackbits(rows.astype("<u4").view(np.uint8).reshape(len(rows), BLOCK, 4), axis=2, bitorder="little")
+    size = _bytes_for(width)
+    low = rows.astype(f"<u{size}").view(np.uint8).reshape(len(rows), BLOCK, size)
+    bits = np.unpackbits(low, axis=2, bitorder="little")
     return np.packbits(bits[:, :, :width].reshape(len(rows), -1), axis=1, bitorder="little")
 
 
@@ -91,30 +98,40 @@ def _unpack(packed: np.ndarray, width: int) -> np.ndarray:
     rows = len(packed)
     if width == 0:
         return np.zeros((rows, BLOCK), np.uint32)
+    size = _bytes_for(width)
     bits = np.unpackbits(packed, axis=1, bitorder="little").reshape(rows, BLOCK, width)
-    full = np.zeros((rows, BLOCK, 32), np.uint8)
-    full[:, :, :width] = bits
-    return np.packbits(full, axis=2, bitorder="little").view("<u4").reshape(rows, BLOCK)
+    if width < 8 * size:
+        full = np.zeros((rows, BLOCK, 8 * size), np.uint8)
+        full[:, :, :width] = bits
+        bits = full
+    return np.packbits(bits, axis=2, bitorder="little").view(f"<u{size}").reshape(rows, BLOCK)
+
+
+def _gathered(body: np.ndarray, places: np.ndarray, kind: str) -> np.ndarray:
+    """The little-endian values that begin at these places."""
+    size = np.dtype(kind).itemsize
+    return body[places[:, None] + np.arange(size)].view(kind).reshape(-1)
 
 
 def decode_blocks(data: bytes, offsets: np.ndarray) -> np.ndarray:
     """The ids of consecutive blocks that begin at these places of data."""
-    heads = [HEAD.unpack_from(data, o) for o in offsets.tolist()]
-    least = np.array([h[0] for h in heads], np.uint32)
-    sizes, widths, odds = (np.array([h[i] for h in heads], np.int64) for i in (1, 2, 3))
-    rows = np.empty((len(heads), BLOCK), np.uint32)
     body = np.frombuffer(data, np.uint8)
+    least = _gathered(body, offsets, "<u4")
+    sizes, widths, odds = (body[offsets + 4 + i].astype(np.int64) for i in range(3))
+    rows = np.empty((len(offsets), BLOCK), np.uint32)
     for width in np.unique(widths):
         own = np.flatnonzero(widths == width)
         size = BLOCK * int(width) // 8
         begin = offsets[own] + HEAD.size
         packed = body[begin[:, None] + np.arange(size)] if size else np.zeros((len(own), 0), np.uint8)
         rows[own] = _unpack(packed, int(width))
-    for k in np.flatnonzero(odds).tolist():
-        at = int(offsets[k]) + HEAD.size + BLOCK * int(widths[k]) // 8
-        n = int(odds[k])
-        places = np.frombuffer(data, np.uint8, n, at)
-        rows[k, places] |= np.frombuffer(data, "<u4", n, at + n) << np.uint32(widths[k])
+    # The exceptions of all blocks at once: which block, and which one in it.
+    block = np.repeat(np.arange(len(offsets)), odds)
+    if len(block):
+        nth = np.arange(len(block)) - np.repeat(np.cumsum(odds) - odds, odds)
+        begin = (offsets + HEAD.size + BLOCK * widths // 8)[block]
+        bits = _gathered(body, begin + odds[block] + 4 * nth, "<u4")
+        rows[block, body[begin + nth]] |= bits << widths[block].astype(np.uint32)
     rows += least[:, None]
     flat = rows.reshape(-1)
     return flat if sizes[-1] == BLOCK else flat[: len(flat) - BLOCK + int(sizes[-1])]

@@ -5,16 +5,22 @@ are spliced at a boundary that is stable in both: a word begins there, white spa
 before it, and it lies at least MARGIN from the end of the left and the beginning of the right
 chunk. There the scan has no memory: the tokenizers used here normalise, split and encode the
 text after white space without regard to what stands before it, and nothing before it depends
-on what follows (MARGIN covers the longest special string). If the overlap has no such place,
-or the two encodings do not agree on one, the overlap is widened, up to the whole text.
+on what follows (MARGIN covers the longest special string). From there to MARGIN before the left
+chunk's end both must give the same ids at the same places. If the overlap has no such place,
+or the two encodings do not agree, the overlap is widened, up to the whole text.
 
 Smaller texts are encoded by the same argument in pieces between white space: each different
-piece of a batch is encoded once, and the numbers are kept in a cache of bounded size.
+piece of a batch is encoded once, and the numbers are kept in a cache of bounded size. A piece
+that is a word of Latin letters and the punctuation behind it is put together from the word, its
+ASCII letters in lower case, and the punctuation. Whether a vocabulary allows that is found out by
+encoding PROBES both ways; with others (those whose tokens hold white space, say) every text is
+encoded whole or by chunks.
 """
 
 from __future__ import annotations
 
 import os
+import re
 from functools import lru_cache
 from itertools import chain
 
@@ -30,6 +36,12 @@ CACHE_PIECES = 500_000  # in each of two generations
 LONG_PIECE = 256  # longer pieces are not kept
 LIMIT = 2048
 SPACES = "\t\n\v\f\r "
+PROBES = (
+    "a b", " Ab,  c.d\n\n'tis it's\tx\r\n", "1 23 4.5 %&/ (q) <x> - \u00c4b\u00df \u0ba4\u0bae\u0bbf\u0bb4\u0bcd \u6f22\u5b57", "\u00e9 e\u0301 Z\u030c",
+)
+# Letters of ASCII and of U+00C0 to U+00FF in UTF-8, then punctuation without quotes and "<>|".
+_WORD = re.compile(rb"((?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([!#$%&()*+,\-./:;=?@\[\]^{}~]*)")
+MARKS = (b"", b".", b",", b"!!", b"***", b".$$$", b"-/:;=?@", b"#%&()", b"+[]^{}~")
 
 
 def load_tokenizer(data: str):
@@ -66,9 +78,21 @@ class Encoder:
         self.chunk, self.overlap = chunk, overlap
         self.cache: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
+        self.words: dict[bytes, bytes] = {}
+        whole = [self._encode(p)[0].tolist() for p in PROBES]
+        self.by_pieces = whole == [self._ids(p.encode().split()) for p in PROBES]
+        some = ("Word", "aBc", "LL", "s", "\u00c9t\u00c9", "a\u00df")
+        self.by_words = self.by_pieces and all(
+            self._ids([w.encode() + m]) == self._ids([w.encode().lower(), m]) for w in some for m in MARKS
+        )
+
+    def _ids(self, pieces: list[bytes]) -> list[int]:
+        return [i for p in pieces for i in self._encode(p.decode())[0].tolist()]
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """Ids of each text: short ones by pieces, huge ones by chunks."""
+        if not self.by_pieces:
+            return [b"".join(self.chunks(t)) for t in texts]
         # bytes split at \x20 and \x09-\x0D only, which every tokenizer takes for white space.
         pieces = [t.encode("utf-8", "surrogatepass").split() if len(t) <= self.chunk else None for t in texts]
         found = [p and list(map(self.cache.get, p)) for p in pieces]
@@ -94,6 +118,30 @@ class Encoder:
         return result
 
     def _encode_pieces(self, pieces: list[bytes]) -> dict[bytes, bytes]:
+        """Words by their lower-case form, which stays in a cache, other pieces as they are."""
+        new: dict[bytes, bytes] = {}
+        plain, parts = [], []
+        if self.by_words:
+            if len(self.words) > CACHE_PIECES:
+                self.words = {}
+            for piece in pieces:
+                match = _WORD.fullmatch(piece)
+                if match and len(piece) <= LONG_PIECE:
+                    parts.append((piece, match[1].lower(), match[2]))
+                else:
+                    plain.append(piece)
+            unknown = {w for _, word, mark in parts for w in (word, mark) if w and w not in self.words}
+            self.words.update(self._encode_apart(list(unknown)))
+            words = self.words
+            for piece, word, mark in parts:
+                new[piece] = words[word] + words[mark] if mark else words[word]
+        else:
+            plain = pieces
+        new.update(self._encode_apart(plain))
+        self.cache.update((w, ids) for w, ids in new.items() if len(w) <= LONG_PIECE)
+        return new
+
+    def _encode_apart(self, pieces: list[bytes]) -> dict[bytes, bytes]:
         """Many pieces in one text; offsets tell which tokens belong to which."""
         new: dict[bytes, bytes] = {}
         for s in range(0, len(pieces), 2000):
@@ -106,7 +154,6 @@ class Encoder:
             data = ids.tobytes()
             for k, piece in enumerate(part):
                 new[piece] = data[4 * cuts[k] : 4 * cuts[k + 1]]
-        self.cache.update((w, ids) for w, ids in new.items() if len(w) <= LONG_PIECE)
         return new
 
     def _encode(self, text: str) -> tuple[np.ndarray, np.ndarray]:
@@ -124,7 +171,7 @@ class Encoder:
             right_at = max(start, end - overlap)
             right_end = min(len(text), right_at + self.chunk)
             right_ids, right_begins = self._encode(text[right_at:right_end])
-            cut = self._seam(text, start, end, begins, right_at, right_begins)
+            cut = self._seam(text, start, end, (ids, begins), right_at, (right_ids, right_begins))
             while cut is None:
                 # Widen: the left chunk reaches further, the right one begins an overlap earlier.
                 overlap *= 2
@@ -135,7 +182,7 @@ class Encoder:
                 right_at = max(start, end - 2 * overlap)
                 right_end = min(len(text), right_at + max(self.chunk, 4 * overlap))
                 right_ids, right_begins = self._encode(text[right_at:right_end])
-                cut = self._seam(text, start, end, begins, right_at, right_begins)
+                cut = self._seam(text, start, end, (ids, begins), right_at, (right_ids, right_begins))
             if cut is None:
                 break
             yield ids[: np.searchsorted(begins, cut - start)].tobytes()
@@ -144,16 +191,20 @@ class Encoder:
             start, end = cut, right_end
         yield ids.tobytes()
 
-    def _seam(self, text, start, end, begins, right_at, right_begins) -> int | None:
+    def _seam(self, text, start, end, left, right_at, right) -> int | None:
         """The last place where a token begins in both chunks, white space stands before it,
-        and both chunks reach MARGIN beyond; the tokens from there on must agree up to it."""
-        low = right_at + MARGIN if right_at > start else start + 1
-        left = np.unique(begins[(begins + start >= low) & (begins + start <= end - MARGIN)]) + start
-        right = np.unique(right_begins) + right_at
-        both = np.intersect1d(left, right, assume_unique=True)
+        both chunks reach MARGIN beyond, and from where on both have the same tokens."""
+        (ids, begins), (right_ids, right_begins) = left, right
+        low, high = right_at + MARGIN if right_at > start else start + 1, end - MARGIN
+        begins, right_begins = begins + start, right_begins + right_at
+        mine = np.unique(begins[(begins >= low) & (begins <= high)])
+        both = np.intersect1d(mine, np.unique(right_begins), assume_unique=True)
         for place in both[::-1].tolist():
             if text[place - 1] in SPACES:
-                return place
+                a, b = (begins >= place) & (begins <= high), (right_begins >= place) & (right_begins <= high)
+                if np.array_equal(begins[a], right_begins[b]) and np.array_equal(ids[a], right_ids[b]):
+                    return place
+                return None
         return None
 
 
@@ -162,7 +213,7 @@ def with_token_counts(
 ) -> DataFrame:
     """docs with n_tokens (bigint) and over_limit (more than limit tokens).
 
-    tokenizer is the path of a tokenizers JSON file, read on the driver. Whole texts count, of
+    tokenizer is the path of any tokenizers JSON file, read on the driver. Whole texts count, of
     any length; no begin, end or other token is added; special strings inside a text are what
     the library makes of them by default. Null and empty texts have 0 tokens. Rows and other
     columns stay; an input column with the name of a result is replaced.
