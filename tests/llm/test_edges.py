@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from pathlib import Path
 from unicodedata import normalize
 
@@ -99,12 +100,14 @@ def test_near_dedup_leaves_no_tables(spark, docs):
 def test_fingerprints(spark, docs, none):
     rows = {r.doc_id: r for r in fingerprint.edited_documents(docs).collect()}
     assert sorted(rows) == [1, 2, 3, 4, 5, 7, 8, 9]
-    assert rows[3].n_chars == 0 and rows[3].edited == "" and rows[3].fingerprint == 0
-    assert rows[9].next_key == 1 and rows[5].next_key == 7 and rows[5].edited.endswith("one")
+    sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    assert rows[3].n_chars == 0 and rows[3].edited_sha256 == sha("") and rows[3].fingerprint == 0
+    assert rows[9].next_key == 1 and rows[5].next_key == 7
+    assert rows[5].edited_sha256 == sha(LONG[: len(LONG) - len(LONG) // 4] + "one")
     assert rows[1].fingerprint == rows[2].fingerprint
     assert fingerprint.edited_documents(none).count() == 0
     one = fingerprint.edited_documents(docs.filter("doc_id = 7")).first()
-    assert one.next_key == 7 and one.edited == "one"
+    assert one.next_key == 7 and one.edited_sha256 == sha("one")
     rng = np.random.default_rng(3)
     values = [int(v) for v in rng.integers(-(1 << 62), 1 << 62, 40)]
     values += [v ^ sum(1 << int(b) for b in rng.choice(60, k, replace=False)) for v in values for k in (1, 3, 4)]

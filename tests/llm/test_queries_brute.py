@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
@@ -60,6 +61,19 @@ def test_op1(spark, docs):
     assert sorted(rows(spark, "op1_simhash_near_dedup")) == [(d, f"{prints[d]:016x}", want[d]) for d in ids]
 
 
+def loop_fingerprint(text):
+    """Word pairs (one word alone), each with 1 + ln(times) in sixteenths, vote on 64 bits."""
+    words = WORD.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in text))
+    terms = [" ".join(words[i : i + 2]) for i in range(max(1, len(words) - 1))] if words else []
+    weight = {t: math.floor(16 * (1 + math.log(n))) for t, n in Counter(terms).items()}
+    votes = [0] * 64
+    for term, w in weight.items():
+        h = xxhash.xxh64_intdigest(term.encode(), 42)
+        for b in range(64):
+            votes[b] += w if h >> b & 1 else -w
+    return sum(1 << b for b in range(64) if votes[b] > 0)
+
+
 def test_op2(spark, docs):
     texts = [t or "" for _, t, *_ in docs]
     following = texts[1:] + texts[:1]
@@ -72,6 +86,7 @@ def test_op2(spark, docs):
         edited = text[: n - n // 4] + after[: n // 4]
         n_chars, sha, fp, edited_fp, near_edited, near_next, n_within = got[d]
         assert (n_chars, sha) == (n, hashlib.sha256(edited.encode()).hexdigest())
+        assert fp == f"{loop_fingerprint(text):016x}" and edited_fp == f"{loop_fingerprint(edited):016x}"
         assert near_edited == 1 - (int(fp, 16) ^ int(edited_fp, 16)).bit_count() / 64
         assert near_next == 1 - (prints[i] ^ prints[(i + 1) % len(docs)]).bit_count() / 64
         within = sum((prints[i] ^ p).bit_count() <= 3 for p in prints)

@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.fs as pafs
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -15,7 +15,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from voxloom.operators.blocks import scope, settle, shared_dir, small_side
 
 __all__ = [
-    "columns_from_text", "first_of_each_id", "free_name", "one_row_of_each_id", "one_task_each", "read_docs", "scope",
+    "columns_from_text", "free_name", "one_row_of_each_id", "one_task_each", "read_docs", "scope",
     "settle", "shared_dir", "small_side", "word_blocks",
 ]
 
@@ -95,14 +95,6 @@ def word_blocks(text: str | None) -> Iterator[list[bytes]]:
         start = end
 
 
-def first_of_each_id(df: DataFrame, key: str, text: str) -> DataFrame:
-    """One row for each id: that with the smallest hash of its text, for rows whose other columns
-    do not matter. Rows without an id stay. The window runs on the id."""
-    number, alone = free_name(df, "_number"), F.when(F.col(key).isNull(), F.monotonically_increasing_id())
-    order = Window.partitionBy(key, alone).orderBy(F.xxhash64(text))
-    return df.withColumn(number, F.row_number().over(order)).filter(F.col(number) == 1).drop(number)
-
-
 def one_row_of_each_id(df: DataFrame, key: str, text: str) -> DataFrame:
     """All columns of one row for each id; rows without an id stay.
 

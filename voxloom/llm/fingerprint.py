@@ -11,19 +11,24 @@ it agrees, so no pair comes twice.
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from voxloom.llm.common import columns_from_text, first_of_each_id, settle
+from voxloom.llm.common import SLICE_BYTES, columns_from_text, settle, slices
 from voxloom.llm.simhash import packed, shingle_hashes, signed
-from voxloom.operators.blocks import range_blocks
 
 TERM_WORDS = 2
 RADIUS = 3
 BLOCKS = 6
+FILTER_BITS = 1 << 26
+BUCKET_BITS = 1 << 15  # of a row of the bitmap
 
 
 def weighted_simhash(text: str | None) -> int:
@@ -66,7 +71,8 @@ def find_within(
     """query, found, distance: every different fingerprint of the index in the radius of each.
 
     Both frames are reduced to different fingerprints first, so copies add no pairs. Null
-    fingerprints match nothing. Up to BLOCKS - 1 bits.
+    fingerprints match nothing. Up to BLOCKS - 1 bits. Before the tables are shuffled, index
+    rows pass a bitmap of the queries' keys, of at most FILTER_BITS bits whatever their number.
     """
     if not 0 <= radius < BLOCKS:
         raise ValueError(f"the radius must be below {BLOCKS}")
@@ -79,72 +85,119 @@ def find_within(
 
     differ = F.col("query").bitwiseXOR(F.col("found"))
     first = F.coalesce(*[F.when(differ.bitwiseAND(F.lit(m)) == 0, i) for i, m in enumerate(masks)])
-    left, right = table(queries, "query"), table(index, "found")
-    joined = left.join(right, ["table", "key"]).filter(
+    left, right = settle(table(queries, "query")), table(index, "found")
+    joined = left.join(_asked_for(right, left), ["table", "key"]).filter(
         (F.bit_count(differ) <= radius) & (first == F.col("table"))
     )
     return joined.select("query", "found", F.bit_count(differ).alias("distance"))
 
 
-def next_ids(ids: DataFrame, key: str, length: str) -> DataFrame:
-    """key, length, next_key in ascending order of the key; the first follows the last.
+def _asked_for(rows: DataFrame, queries: DataFrame) -> DataFrame:
+    """The rows whose table and key may be a query's: bits of their hashes, joined by bucket.
 
-    The ids are cut into ranges; inside a range the next row is read by a window, and one row
-    for each range goes through the only window over all.
+    The bitmap has FILTER_BITS / 32768 rows of 4 KB at most, so it is always broadcast.
     """
-    rows = range_blocks(ids.select(key, length), [key])
-    inside = Window.partitionBy("_block").orderBy(key)
-    firsts = rows.groupBy("_block").agg(F.min(key).alias("_first"))
-    order = Window.orderBy("_block")
-    head = F.min("_first").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    following = settle(
-        firsts.select("_block", F.coalesce(F.lead("_first").over(order), head).alias("_first_after"))
-    )
-    listed = rows.withColumn("next_key", F.lead(key).over(inside))
-    return listed.join(following, "_block").select(
-        key, length, F.coalesce("next_key", "_first_after").alias("next_key")
+    place = F.pmod(F.xxhash64("table", "key"), F.lit(FILTER_BITS))
+    placed = lambda df: df.withColumns(
+        {"_bucket": F.shiftright(place, 15).cast("int"), "_bit": place.bitwiseAND(F.lit(BUCKET_BITS - 1)).cast("int")}
     )
+    maps = placed(queries).groupBy("_bucket").agg(F.bitmap_construct_agg(F.col("_bit")).alias("_map"))
+    byte = F.conv(F.hex(F.substring("_map", F.shiftright("_bit", 3) + 1, 1)), 16, 10).cast("int")
+    is_set = F.expr("getbit(_byte, _bit % 8)") == 1
+    found = placed(rows).join(F.broadcast(maps), "_bucket").withColumn("_byte", byte).filter(is_set)
+    return found.select(*rows.columns)
+
+
+# --- documents and their edited texts --------------------------------------------------------
+
+_ROW = (
+    "part int, kind int, id bigint, n bigint, fingerprint bigint, next_key bigint, next_fingerprint bigint,"
+    " edited_sha256 string, edited_fingerprint bigint, text string"
+)
+_WHOLE, _FIRST, _LAST = 0, 1, 2
+
+
+def edited_text(text: str, following: str) -> str:
+    """The last quarter of the code points replaced by the first as many (or all) of the next."""
+    cut = len(text) // 4
+    return text[: len(text) - cut] + following[:cut]
+
+
+def _edited(text: str, following: str) -> tuple[str, int]:
+    made = edited_text(text, following)
+    return hashlib.sha256(made.encode("utf-8", "surrogatepass")).hexdigest(), weighted_simhash(made)
+
+
+def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of a range in order of id: each text meets the next. The first and the last text of
+    the range come as rows of their own, for the ranges beside it."""
+    part, held, first = TaskContext.get().partitionId(), None, True
+    kinds = {"int": pa.int32(), "bigint": pa.int64(), "string": pa.string()}
+    types = pa.schema([(name, kinds[kind]) for name, kind in (c.split() for c in _ROW.split(", "))])
+
+    def frame(rows):
+        columns = zip(zip(*rows, strict=True), types, strict=True)
+        return pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in columns], schema=types)
+
+    for batch in batches:
+        for piece in slices(batch, SLICE_BYTES):
+            out = []
+            for key, text in zip(*(c.to_pylist() for c in piece.columns), strict=True):
+                if held and held[0] == key:
+                    continue  # sorted by the text's hash, so the one that counts came first
+                now = (key, text, weighted_simhash(text))
+                if first:
+                    out.append((part, _FIRST, key, len(text), now[2], None, None, None, None, text))
+                    first = False
+                if held:
+                    out.append((part, _WHOLE, held[0], len(held[1]), held[2], key, now[2], *_edited(held[1], text), None))
+                held = now
+            if out:
+                yield frame(out)
+    if held:
+        yield frame([(part, _LAST, held[0], len(held[1]), held[2], None, None, None, None, held[1])])
 
 
 def edited_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """A row for each different non-null key, with the fingerprint and that of an edited text.
 
-    Columns: key, n_chars, next_key, fingerprint, next_fingerprint, edited (text). The last
-    floor(n_chars / 4) code points are replaced by the first as many (or all) of the next
+    Columns: key, n_chars, next_key, fingerprint, next_fingerprint, edited_sha256,
+    edited_fingerprint; the edited text is edited_text() of the text and of that of the next
     document in ascending order of the key; the first document follows the last. Null texts
     are empty. Of rows that repeat a key, that with the smallest hash of its text counts.
     Rows without a key are left out: they have no place in the order. A single document
     follows itself. Other columns are left out.
 
-    A first pass over the texts keeps only small rows: id, length, fingerprint. Texts are then
-    shuffled once, by key: a document reads its own text, and sends the piece that its
-    predecessor needs. No Python stands between the shuffle and its two uses, so that Spark
-    sees that they are the same and shuffles once.
+    Texts are shuffled once, into sorted ranges of the key. Inside a range each text meets the
+    next as rows stream by; one text for each range crosses to the range before it.
     """
-    rows = docs.select(F.col(key).alias("_id"), F.coalesce(text, F.lit("")).alias("_text"))
-    rows = rows.filter(F.col("_id").isNotNull())
-    small = settle(
-        with_fingerprint(rows, "_text").select(
-            "_id", F.xxhash64("_text").alias("h"), F.char_length("_text").cast("bigint").alias("n"), "fingerprint"
-        )
-    )
-    best = small.groupBy("_id").agg(F.min(F.struct("h", "n", "fingerprint")).alias("b"))
-    ids = settle(best.select("_id", "b.n", "b.fingerprint"))
-    after = ids.select(F.col("_id").alias("next_key"), F.col("fingerprint").alias("next_fingerprint"))
-    order = settle(next_ids(ids, "_id", "n").join(ids.drop("n"), "_id").join(after, "next_key"))
-    wanted = order.select(
-        F.col("next_key").alias("_id"), F.col("_id").alias("before"), F.expr("cast(n div 4 as int)").alias("take")
-    )
-    one = first_of_each_id(rows.repartition("_id"), "_id", "_text")
-    pieces = one.join(wanted, "_id").select(
-        F.col("before").alias("_id"), F.expr("left(_text, take)").alias("piece")
-    )
-    own = F.expr("left(_text, cast(n - n div 4 as int))")
-    return one.join(order, "_id").join(pieces, "_id").select(
-        F.col("_id").alias(key),
-        F.col("n").alias("n_chars"),
-        "next_key",
-        "fingerprint",
-        "next_fingerprint",
-        F.concat(own, "piece").alias("edited"),
+    rows = docs.select(F.col(key).cast("bigint").alias("_id"), F.coalesce(text, F.lit("")).alias("_text"))
+    ranges = rows.filter(F.col("_id").isNotNull()).repartitionByRange("_id")
+    ordered = ranges.sortWithinPartitions("_id", F.xxhash64("_text"))
+    made = settle(ordered.mapInArrow(_neighbours, _ROW))
+    order = Window.orderBy("part")
+    every = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    firsts = made.filter(F.col("kind") == _FIRST)
+    after = firsts.select(
+        "part", F.coalesce(F.lead("part").over(order), F.first("part").over(every)).alias("_after")
     )
+    beside = firsts.select(
+        F.col("part").alias("_after"), F.col("id").alias("next_key"),
+        F.col("fingerprint").alias("next_fingerprint"), F.col("text").alias("following"),
+    )
+    last = made.filter(F.col("kind") == _LAST).select("part", "id", "n", "fingerprint", "text")
+    crossing = last.join(after, "part").join(beside, "_after").drop("_after", "part")
+    result = ["id", "n", "next_key", "fingerprint", "next_fingerprint", "edited_sha256", "edited_fingerprint"]
+    crossed = crossing.mapInArrow(_across, ", ".join(c for c in _ROW.split(", ") if c.split()[0] in result))
+    whole = made.filter(F.col("kind") == _WHOLE).select(*result).unionByName(crossed.select(*result))
+    return whole.select(F.col("id").alias(key), F.col("n").alias("n_chars"), *result[2:])
+
+
+def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        pairs = zip(batch.column("text").to_pylist(), batch.column("following").to_pylist(), strict=True)
+        made = [_edited(a, b) for a, b in pairs]
+        names = ["id", "n", "fingerprint", "next_key", "next_fingerprint"]
+        added = [pa.array([m[0] for m in made], pa.string()), pa.array([m[1] for m in made], pa.int64())]
+        arrays = [*[batch.column(n) for n in names], *added]
+        yield pa.RecordBatch.from_arrays(arrays, [*names, "edited_sha256", "edited_fingerprint"])

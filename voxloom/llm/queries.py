@@ -14,7 +14,7 @@ from voxloom.llm import (
     decontaminate, language, licenses, mixing, periodic, prefix_trie, sharding, token_files, tokens, toxicity, warc,
 )
 from voxloom.llm.common import read_docs, settle
-from voxloom.llm.fingerprint import edited_documents, find_within, likeness, with_fingerprint
+from voxloom.llm.fingerprint import edited_documents, find_within, likeness
 from voxloom.llm.near_dedup import hamming_components
 from voxloom.llm.simhash import hex_digits
 
@@ -32,10 +32,8 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """n_within: documents within 3 bits, itself included, for ids divisible by 20."""
-    edited = edited_documents(read_docs(spark, sf_dir, "doc_id", "text"))
-    edited = edited.withColumn("edited_sha256", F.sha2("edited", 256))
-    both = with_fingerprint(edited, "edited", "edited_fingerprint").drop("edited")
-    rows = settle(both.withColumn("asked", F.coalesce(F.col("doc_id") % 20 == 0, F.lit(False))))
+    rows = edited_documents(read_docs(spark, sf_dir, "doc_id", "text"))
+    rows = rows.withColumn("asked", F.col("doc_id") % 20 == 0)
     found = find_within(rows, rows.filter("asked"))
     copies = rows.groupBy("fingerprint").agg(F.count(F.lit(1)).alias("n"))
     near = found.join(copies.withColumnRenamed("fingerprint", "found"), "found")
