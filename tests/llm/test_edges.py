@@ -170,20 +170,44 @@ def test_decontamination(spark, docs, none):
     assert decontaminate.decontaminated(docs, benchmark.limit(0)).count() == len(ROWS)
 
 
-def test_decontamination_recall_with_edits():
-    """Passages with a tenth of their words changed, dropped or doubled, in foreign text."""
-    rng = np.random.default_rng(2)
-    items = [(i, " ".join(f"w{x}" for x in rng.integers(0, 3000, 35))) for i in range(60)]
+def loop_distance(item, words):
+    """Fewest edits between the item and any stretch of the words."""
+    row = [0] * (len(words) + 1)
+    for i, x in enumerate(item, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(words, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return min(row)
+
+
+@pytest.mark.parametrize("share", [0, 0.1, 0.2])
+@pytest.mark.parametrize("length", [1, 2, 3, 4, 5, 6, 9, 10, 12, 15, 20, 30, 60])
+def test_decontamination_recall(length, share):
+    """Items of every length with so many words changed, dropped or doubled, at random places of
+    texts that share words with them; the edits reported are those of a loop."""
+    rng = np.random.default_rng((length, int(10 * share)))
+    items = [(i, " ".join(f"w{x}{'abc'[i % 3] * (length < 4)}" for x in rng.integers(0, 3000, length))) for i in range(80)]
     index, found = decontaminate.Index(items, 0.2), 0
+
+    def filler():
+        return [f"w{x}" if x < 1500 else f"foreign{x}" for x in rng.integers(0, 3000, rng.integers(0, 40)).tolist()]
+
     for i, text in items:
         words = text.split()
-        for _ in range(3):
+        for _ in range(int(share * length)):
             at = int(rng.integers(len(words)))
-            kind = int(rng.integers(3))
+            kind = int(rng.integers(3)) if len(words) > 1 else 0
             words[at : at + 1] = [["zz"], [], [words[at]] * 2][kind]
-        [matches] = index.matches([" ".join(["aa"] * 50 + words + ["bb"] * 50)])
-        found += any(m["item_id"] == i and m["edits"] <= 3 for m in matches)
-    assert found >= 58
+        body = [*filler(), *words, *filler()]
+        [matches] = index.matches([" ".join(body)])
+        own = [m for m in matches if m["item_id"] == i]
+        found += len(own)
+        for m in matches:
+            item = items[m["item_id"]][1].split()
+            stretch = body[m["start"] : m["start"] + m["words"]]
+            assert loop_distance(item, stretch) <= m["edits"] <= 0.2 * length
+            assert m["item_id"] != i or m["edits"] == loop_distance(item, body)
+    assert found >= (80 if not share else 76)
 
 
 def test_language(docs, none):

@@ -8,11 +8,15 @@ random bits and samples some steps; windows that agree in all sampled steps of a
 are candidates. A candidate is then verified: an item occurs in a document if some stretch of
 its words is within max_edits x (words of the item) insertions, deletions and substitutions.
 
-Items are cut into windows of WINDOW words at every word, documents at every STRIDE-th word, so
-a stretch of WINDOW + STRIDE - 1 words of an item always has a window that is cut alike; items
-of fewer words get windows of their own size that leave this room. The averaging argument: if
-an item occurs with a share e of edits, some window of it has at most that share, so windows
-with more foreign words than that are not walked.
+Windows are as long as the item, WINDOW words at most, and stand at every word of items and
+documents. The averaging argument: if an item occurs with a share e of edits, some window of
+it has at most that share, so document windows with more foreign words (that no item has) than
+that are not walked, nor those without a few words of an item in a row, which so few edits leave
+intact somewhere. Pairs of windows must have enough words in common before they are verified. How often a length is repeated follows from TARGET_RECALL: repetitions()
+tries random windows with as many substitutions, insertions and deletions as max_edits allows
+and takes the least number that finds the target's share of them. A passage longer than a
+window has several, most of them with fewer edits. Items too short for any edit are looked up
+by their whole words.
 
 Only the benchmark is broadcast, in blocks of at most BLOCK_ITEMS items; documents are read
 once for each block and never shuffled.
@@ -22,6 +26,7 @@ from __future__ import annotations
 
 import re
 from collections import defaultdict
+from functools import lru_cache
 from itertools import repeat
 
 import numpy as np
@@ -31,13 +36,16 @@ from pyspark.sql import functions as F
 from voxloom.llm.common import columns_from_text, free_name
 
 WINDOW = 12
-STRIDE = 4
 MAX_EDITS = 0.2
-REPETITIONS = 12
-SAMPLED = 6  # steps of each repetition
+TARGET_RECALL = 0.97  # of single windows with the most edits
+SAMPLED = 3  # steps of each repetition
+MOST_REPETITIONS = 64
 BLOCK_ITEMS = 20_000
 SEED = 7
+GRAM = 3  # a document window holds so many words of an item in a row, or as many as edits must leave
+PAIRS = 1 << 18  # pairs of windows compared at once
 PIECE_WORDS = 1 << 17  # a long text is searched in overlapping pieces
+TRIES = 1000  # windows that the repetitions are derived from
 
 WORD = re.compile(r"[^\W_]+")
 MATCHES = "array<struct<item_id:bigint,start:bigint,words:int,edits:int>>"
@@ -47,22 +55,35 @@ def words_of(text: str | None) -> list[str]:
     return WORD.findall((text or "").lower())
 
 
-def window_length(words: int) -> int:
-    """Words of the windows of an item: WINDOW, or what leaves room for the stride."""
-    return min(WINDOW, max(1, words - STRIDE + 1))
+def ends_of(parts: list[np.ndarray]) -> list[int]:
+    return np.cumsum([len(p) for p in parts]).tolist()
 
 
-def expected_recall(edits: int, window: int = WINDOW, tries: int = 400) -> float:
-    """Share of random windows with so many substitutions that become candidates."""
-    rng, hits = np.random.default_rng(1), 0
-    walk, size = _Walk(window), 1 << 16
-    for _ in range(tries):
-        a = rng.integers(1, size, window)
-        b = a.copy()
-        b[rng.choice(window, edits, replace=False)] = rng.integers(1, size, edits)
-        first, second = (list(walk.keys(w, np.zeros(1, np.int64), size)) for w in (a, b))
-        hits += any((x == y).all() for x, y in zip(first, second, strict=True))
-    return hits / tries
+def window_edits(length: int, max_edits: float) -> int:
+    """Edits that the best window of a passage may have, at most."""
+    return -int(-max_edits * length // 1) if length >= WINDOW else int(max_edits * length)
+
+
+@lru_cache(maxsize=256)
+def repetitions(length: int, edits: int) -> int:
+    """The least number that finds TARGET_RECALL of random windows with so many edits."""
+    rng, size = np.random.default_rng(1), 1 << 16
+    both = np.empty((2, TRIES, length), np.int64)
+    for i in range(TRIES):
+        both[0, i] = rng.integers(1, size, length)
+        words = both[0, i].tolist()
+        for kind, place in zip(rng.integers(0, 3, edits), rng.random(edits), strict=True):
+            at = int(place * len(words))
+            words[at : at + (kind != 1)] = [] if kind == 2 else [int(rng.integers(1, size))]
+        after = rng.integers(1, size, length).tolist()  # what follows the passage
+        both[1, i] = (words + after)[:length]
+    starts = np.arange(2 * TRIES) * length
+    found = np.zeros(TRIES, bool)
+    for n, key in enumerate(_Walk(length, MOST_REPETITIONS).keys(both.reshape(-1), starts, size), 1):
+        found |= key[:TRIES] == key[TRIES:]
+        if found.mean() >= TARGET_RECALL:
+            return n
+    return MOST_REPETITIONS
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -71,6 +92,19 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+class _Whole:
+    """Windows that must be equal: one key of all words."""
+
+    def __init__(self, length: int):
+        self.length = length
+
+    def keys(self, codes: np.ndarray, starts: np.ndarray, size: int):
+        key = np.zeros(len(starts), np.uint64)
+        for step in range(self.length):
+            key = _mix(key + codes[starts + step].astype(np.uint64) + np.uint64(step + 1))
+        yield key
+
+
 class _Walk:
     """The repetitions' random walks over windows of one length.
 
@@ -78,14 +112,12 @@ class _Walk:
     there, so the steps that tell windows apart are the first 2 x length; some are sampled.
     """
 
-    def __init__(self, length: int):
+    def __init__(self, length: int, times: int):
         self.length = length
         rng = np.random.default_rng((SEED, length))
-        self.seeds = rng.integers(0, 1 << 63, REPETITIONS, dtype=np.uint64)
+        self.seeds = rng.integers(0, 1 << 63, MOST_REPETITIONS, dtype=np.uint64)[:times]
         steps = 2 * length
-        self.samples = [
-            np.sort(rng.choice(steps, min(SAMPLED, steps), replace=False)) for _ in range(REPETITIONS)
-        ]
+        self.samples = [np.sort(rng.choice(steps, min(SAMPLED, steps), replace=False)) for _ in range(times)]
 
     def keys(self, codes: np.ndarray, starts: np.ndarray, size: int):
         """For each repetition a 64-bit key of the windows that begin at these places.
@@ -95,15 +127,18 @@ class _Walk:
         numbers = np.arange(size, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
         last = starts + (self.length - 1)
         for seed, sample in zip(self.seeds, self.samples, strict=True):
-            random = _mix(numbers + seed)[codes]
+            random = _mix(numbers + seed)[codes] if len(codes) < 8 * len(starts) else None
+            table = None if random is not None else _mix(numbers + seed)
             at = starts.copy()
             key = np.full(len(starts), seed, np.uint64)
             sampled = set(sample.tolist())
             for step in range(max(sampled) + 1):
+                here = codes[at]
                 if step in sampled:
                     key *= np.uint64(0xD6E8FEB86659FD93)
-                    key += codes[at].astype(np.uint64) + np.uint64(step + 1)
-                at += ((random[at] >> np.uint64(step)) & np.uint64(1)).astype(np.int64)
+                    key += here.astype(np.uint64) + np.uint64(step + 1)
+                bits = random[at] if table is None else table[here]
+                at += ((bits >> np.uint64(step)) & np.uint64(1)).astype(np.int64)
                 np.minimum(at, last, out=at)
             yield _mix(key)
 
@@ -113,13 +148,15 @@ class Index:
 
     def __init__(self, items: list[tuple[int, str]], max_edits: float):
         self.max_edits = max_edits
+        # Foreign words (and edits) that a window of so many words may have.
+        self.most = {n: window_edits(n, max_edits) for n in range(1, WINDOW + 1)}
         self.words = {i: w for i, t in items if (w := words_of(t))}
         self.vocabulary = {w: n for n, w in enumerate(sorted({w for ws in self.words.values() for w in ws}), 1)}
         self.coded = {i: self.code(w) for i, w in self.words.items()}
-        self.tables = {}
+        self.tables, self.windows, self.grams = {}, {}, {}
         by_length = defaultdict(list)
         for i, codes in self.coded.items():
-            by_length[window_length(len(codes))].append(i)
+            by_length[min(WINDOW, len(codes))].append(i)
         for length, own in by_length.items():
             every, places, starts, at = [], [], [], 0
             for i in own:
@@ -128,8 +165,13 @@ class Index:
                 starts += range(at, at + n - length + 1)
                 every.append(self.coded[i])
                 at += n
-            walk, tables = _Walk(length), []
+            edits = self.most[length]
+            walk, tables = (_Walk(length, repetitions(length, edits)) if edits else _Whole(length)), []
             codes = np.concatenate(every)
+            size = self.intact(length)
+            places_of_grams = np.concatenate([np.arange(e - len(c), e - size + 1) for c, e in zip(every, ends_of(every), strict=True)])
+            self.grams[length] = np.unique(self._grams(codes, places_of_grams, size))
+            self.windows[length] = codes[np.array(starts, np.int64)[:, None] + np.arange(length)]
             for key in walk.keys(codes, np.array(starts, np.int64), len(self.vocabulary) + 1):
                 order = np.argsort(key, kind="stable")
                 tables.append((key[order], order))
@@ -139,6 +181,28 @@ class Index:
         """Word numbers; 0 is any word that no item has."""
         return np.fromiter(map(self.vocabulary.get, words, repeat(0)), np.int64, len(words))
 
+    def intact(self, length: int) -> int:
+        """Words in a row that the edits of a window leave together somewhere (pigeonhole)."""
+        edits = self.most[length]
+        return min(GRAM, -(-(length - edits) // (edits + 1)))
+
+    def _grams(self, codes: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
+        base, key = len(self.vocabulary) + 1, np.zeros(len(starts), np.int64)
+        for k in range(size):
+            key = key * base + codes[starts + k]
+        return key
+
+    def _known_grams(self, codes: np.ndarray, foreign: np.ndarray, length: int) -> np.ndarray:
+        """For each place whether words of an item of this length stand there, so many as stay
+        together. The last places of codes are a gap."""
+        size, known = self.intact(length), self.grams[length]
+        found = np.zeros(len(codes), bool)
+        starts = np.flatnonzero(foreign[size:] == foreign[:-size])
+        key = self._grams(codes, starts, size)
+        at = np.minimum(np.searchsorted(known, key), len(known) - 1)
+        found[starts] = known[at] == key
+        return found
+
     def matches(self, texts: list[str | None]) -> list[list[dict]]:
         """For each text the items that occur in it, each once, at the place with the fewest
         edits found. The windows of all texts are walked together."""
@@ -153,8 +217,9 @@ class Index:
             if best and best[0] == 0 or any(abs(start - s) <= slack // 2 for s in tried[doc, item]):
                 continue
             tried[doc, item].append(start)
-            low = max(0, start - slack)
-            edits, first, last = occurrence(self.coded[item], codes[low : max(0, start + n + slack)])
+            # The passage may begin slack words beside the place, which may be slack / 2 off the one skipped.
+            low = max(0, start - 2 * slack)
+            edits, first, last = occurrence(self.coded[item], codes[low : max(0, start + n + 2 * slack)])
             if edits <= slack and (best is None or (edits, low + first) < best[:2]):
                 found[doc][item] = (edits, low + first, last - first)
         return [
@@ -167,25 +232,45 @@ class Index:
         seen = set()
         gap = np.zeros(WINDOW, np.int64)
         codes = np.concatenate([x for c in coded for x in (c, gap)] or [gap])
-        starts = np.concatenate([np.arange(b, b + len(c), STRIDE) for b, c in zip(begins, coded, strict=False)] or [gap[:0]])
+        starts = np.concatenate([np.arange(b, b + len(c)) for b, c in zip(begins, coded, strict=False)] or [gap[:0]])
         foreign = np.concatenate([[0], np.cumsum(codes == 0)])
         for length, (walk, places, tables) in self.tables.items():
-            most = -int(-self.max_edits * length // 1)
-            own = starts[foreign[starts + length] - foreign[starts] <= most]
+            pairs, size = [], self.intact(length)
+            hits = np.concatenate([[0], np.cumsum(self._known_grams(codes, foreign, length))])
+            own = starts[foreign[starts + length] - foreign[starts] <= self.most[length]]
+            own = own[hits[own + length - size + 1] > hits[own]]
             for s in range(0, len(own), PIECE_WORDS):
                 part = own[s : s + PIECE_WORDS]
                 keys = walk.keys(codes, part, len(self.vocabulary) + 1)
                 for key, (known, order) in zip(keys, tables, strict=True):
                     low = np.searchsorted(known, key, "left")
-                    hit = np.flatnonzero(known[np.minimum(low, len(known) - 1)] == key)
-                    high = np.searchsorted(known, key[hit], "right")
-                    docs = np.searchsorted(begins, part[hit], "right") - 1
-                    for at, doc, upto in zip(hit.tolist(), docs.tolist(), high.tolist(), strict=True):
-                        for k in range(int(low[at]), upto):
-                            item, offset = places[order[k]]
-                            seen.add((doc, item, int(part[at] - begins[doc]) - offset))
+                    count = np.searchsorted(known, key, "right") - low
+                    hit = np.flatnonzero(count)
+                    for some in np.array_split(hit, max(1, int(count.sum()) // PAIRS)):
+                        n = count[some]
+                        at = np.repeat(part[some], n)
+                        nth = np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n)
+                        window = order[np.repeat(low[some], n) + nth]
+                        pairs.append(self._alike(codes, at, window, length))
+            if pairs:
+                at, window = np.unique(np.concatenate(pairs, axis=1), axis=1)
+                docs = np.searchsorted(begins, at, "right") - 1
+                for doc, place, w in zip(docs.tolist(), (at - begins[docs]).tolist(), window.tolist(), strict=True):
+                    item, offset = places[w]
+                    seen.add((doc, item, place - offset))
         return sorted(seen)
 
+    def _alike(self, codes: np.ndarray, at: np.ndarray, window: np.ndarray, length: int) -> np.ndarray:
+        """The pairs of a text's and an item's window with so many common words that edits do
+        not rule them out."""
+        mine = codes[at[:, None] + np.arange(length)]
+        other = self.windows[length][window]
+        common = np.zeros(len(at), np.int64)
+        for k in range(length):
+            common += (mine == other[:, k : k + 1]).any(axis=1)
+        keep = common >= length - self.most[length]
+        return np.stack([at[keep], window[keep]])
+
 
 def occurrence(item: np.ndarray, codes: np.ndarray) -> tuple[int, int, int]:
     """Fewest edits between the item and any stretch of the words, and the stretch.
