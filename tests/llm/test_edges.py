@@ -39,9 +39,10 @@ def none(docs):
     return docs.limit(0)
 
 
-def test_components_of_chains_and_stars(spark):
+@pytest.mark.parametrize("task_links", [7, 1 << 20])
+def test_components_of_chains_and_stars(spark, task_links):
     chain = [(i, i + 1) for i in range(100, 160)] + [(5, i) for i in range(6, 30)] + [(5, 5), (None, 3)]
-    got = dict(map(tuple, components(spark.createDataFrame(chain, "a bigint, b bigint")).collect()))
+    got = dict(map(tuple, components(spark.createDataFrame(chain, "a bigint, b bigint"), task_links=task_links).collect()))
     assert got == {i: 100 for i in range(101, 161)} | {i: 5 for i in range(6, 30)}
 
 

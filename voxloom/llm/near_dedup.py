@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voxloom.llm.common import columns_from_text, free_name, one_row_of_each_id, settle
-from voxloom.llm.components import components
+from voxloom.llm.components import components, forest
 from voxloom.llm.simhash import fingerprints, mixed, shingle_hashes, signed
 from voxloom.operators.blocks import scope, small_side
 
@@ -133,20 +133,6 @@ def near_pairs(key: np.ndarray, prints: np.ndarray, radius: int):
     return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
-def forest(size: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """For each position the smallest one it is connected with."""
-    label = np.arange(size)
-    while len(i):
-        before = label.copy()
-        least = np.minimum(label[i], label[j])
-        np.minimum.at(label, i, least)
-        np.minimum.at(label, j, least)
-        label = label[label]
-        if (label == before).all():
-            break
-    return label
-
-
 class _Buckets:
     """Cuts a sorted stream into whole buckets; one bucket at most is held.
 
