@@ -8,11 +8,15 @@ All rows of the tables are used.
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import fixtures as fx
 from voxloom.functions.timecode import ms_to_timecode
+from voxloom.operators.blocks import shared_dir
+from voxloom.sources.files import write_text_files
 from voxloom.sources.tables import read_table
 
 # One noise text per remainder of the document id.
@@ -146,6 +150,26 @@ def batch_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def written_files(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
+    """Each document as a file of one folder, some hidden, some that no scan picks up; the
+    folder, and doc_id, name, content."""
+    docs = read_table(spark, f"{sf_dir}/documents.parquet", "doc_id", "text")
+    start = F.when(F.col("doc_id") % 4 == 1, "_").when(F.col("doc_id") % 4 == 2, ".").otherwise("")
+    end = F.when(F.col("doc_id") % 3 == 0, ".srt").when(F.col("doc_id") % 3 == 1, ".txt").otherwise(".md")
+    name = F.concat(start, F.col("doc_id").cast("string"), end)
+    files = docs.select("doc_id", name.alias("name"), F.col("text").alias("content"))
+    folder = f"{shared_dir(spark)}/files-{uuid4()}"
+    write_text_files(files, folder, "content", "name")
+    return folder, files
+
+
+FILES_SQL = """(
+    SELECT doc_id, CASE doc_id % 4 WHEN 1 THEN '_' WHEN 2 THEN '.' ELSE '' END || doc_id
+               || CASE doc_id % 3 WHEN 0 THEN '.srt' WHEN 1 THEN '.txt' ELSE '.md' END AS name,
+           replace(replace(coalesce(text, ''), chr(13) || chr(10), chr(10)), chr(13), chr(10)) AS text
+    FROM documents)"""
+
+
 def sql_timecode(ms: str) -> str:
     ms = f"CAST(({ms}) AS BIGINT)"
     return (

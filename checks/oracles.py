@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from checks import fixtures as fx
-from checks.inputs import PAGES_SQL, WS_RE2, noisy_sql, sql_timecode, subtitle_files_sql, texts_sql, tracks_sql, words_sql
+from checks.inputs import FILES_SQL, PAGES_SQL, WS_RE2, noisy_sql, sql_timecode, subtitle_files_sql, texts_sql, tracks_sql, words_sql
 
 LF = "chr(10)"
 TIME = r"\p{Nd}{2}:\p{Nd}{2}:\p{Nd}{2},\p{Nd}{3}"
@@ -260,6 +260,20 @@ def all_sql() -> dict[str, str]:
             SELECT path, CASE WHEN bad THEN NULL ELSE text END AS text,
                    CASE WHEN bad THEN 'Failed to process file: ' || path END AS error
             FROM (SELECT {doc_path} AS path, text, (doc_id % 10) = 3 AS bad FROM documents)""",
+        "work_files": f"""WITH f AS (SELECT * FROM {FILES_SQL}),
+            asked AS (SELECT doc_id, no, CASE no WHEN 1 THEN 'no ' ELSE '' END || name AS name,
+                CASE no WHEN 0 THEN text END AS text FROM f, (VALUES (0), (1)) v(no) WHERE doc_id % 100 = 0),
+            found AS (SELECT name, text, name LIKE '%.srt' AS late FROM f WHERE name NOT LIKE '%.md')
+            SELECT CAST(0 AS BIGINT) AS origin, CAST(row_number() OVER (ORDER BY doc_id, no) - 1 AS BIGINT) AS position,
+                name, text, text IS NULL AS failed FROM asked
+            UNION ALL SELECT CAST(1 AS BIGINT), CAST((SELECT count(*) FROM asked)
+                + row_number() OVER (ORDER BY late, name) - 1 AS BIGINT), name, text, false FROM found""",
+        "work_files_stream": f"""SELECT name, text, CAST(NULL AS VARCHAR) AS error
+            FROM {FILES_SQL} WHERE name NOT LIKE '%.md'""",
+        "exported_files": wide(
+            f"WITH {utterance_ctes(src, 1)} SELECT doc_id, @@, utt_name, content AS text, "
+            "CAST(NULL AS VARCHAR) AS error FROM utts", "utt_no"
+        ),
         "page_assembly": f"""
             SELECT doc_id, CAST(0 AS BIGINT) AS part_no,
                    string_agg(coalesce(text, '') || {LF}, '' ORDER BY page_no) AS text

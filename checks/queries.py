@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from checks import fixtures as fx
 from checks import inputs
 from voxloom.functions.timecode import ms_to_timecode, timecode_to_ms
 from voxloom.operators import manifest as mf
+from voxloom.operators.blocks import shared_dir
 from voxloom.operators import normalize as nz
 from voxloom.operators import pages as pg
 from voxloom.operators import phrases as ph
@@ -19,7 +21,8 @@ from voxloom.operators import subtitles as sb
 from voxloom.operators import timeline as tl
 from voxloom.plans import batch as bt
 from voxloom.plans.corpus import prepare_corpus, prepare_corpus_from_pages
-from voxloom.sources.files import decoded
+from voxloom.functions.paths import file_name
+from voxloom.sources.files import decoded, read_listed, read_work_list, stream_directory, write_text_files
 from voxloom.sources.tables import read_table
 from voxloom.streaming.phrase_batches import read_phrase_batches, write_phrase_batches
 from voxloom.streaming.phrases import stream_phrases
@@ -87,6 +90,32 @@ def undecodable_rows(spark: SparkSession, sf: str) -> DataFrame:
     return files.select("path", *decoded(F.col("content"), F.col("path")))
 
 
+def work_files(spark: SparkSession, sf: str) -> DataFrame:
+    """A list of files, one of them absent each time, then the folder: in order, with text or error."""
+    folder, files = inputs.written_files(spark, sf)
+    listed = files.filter(F.col("doc_id") % 100 == 0).orderBy("doc_id").select("name").collect()
+    explicit = [f"{folder}/{name}" for row in listed for name in (row["name"], f"no {row['name']}")]
+    rows = read_work_list(spark, explicit, folder)
+    return _wide(rows.select("origin", "position", file_name(F.col("path")).alias("name"), "text", F.col("error").isNotNull().alias("failed")))
+
+
+def work_files_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The folder as a stream, to its end."""
+    folder, _ = inputs.written_files(spark, sf)
+    stream = stream_directory(spark, folder, settle_ms=1)
+    path = run_available(stream.select(file_name(F.col("path")).alias("name"), "text", "error"))
+    return spark.read.schema("name string, text string, error string").parquet(path)
+
+
+def exported_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Utterances as files, a folder for each document, read back from a table of paths."""
+    made = _utterances(inputs.texts(spark, sf))
+    folder = f"{shared_dir(spark)}/export-{uuid4()}"
+    write_text_files(made, folder, "content", "utt_name", "doc_id")
+    path = F.concat_ws("/", F.lit(folder), F.col("doc_id").cast("string"), "utt_name")
+    return _wide(read_listed(made.select("doc_id", "utt_no", "utt_name", path.alias("path"))).drop("path"))
+
+
 def page_assembly(spark: SparkSession, sf: str) -> DataFrame:
     return _wide(pg.assemble_pages(inputs.pages(spark, sf)))
 
@@ -218,6 +247,9 @@ def all_queries() -> dict[str, Query]:
         "work_list_union": work_list_union,
         "file_identity": file_identity,
         "undecodable_rows": undecodable_rows,
+        "work_files": work_files,
+        "work_files_stream": work_files_stream,
+        "exported_files": exported_files,
         "page_assembly": page_assembly,
         "normalized_text": _on_texts(nz.normalize),
         "clean_lines": _on_texts(nz.clean_lines),

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+
+from voxloom.sources.files import write_text_files
 
 
 def write_table(df: DataFrame, path: str) -> None:
@@ -11,9 +12,7 @@ def write_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def export_text(df: DataFrame, path: str, text: str, *folders: str) -> None:
-    """Text files in one folder per value of the naming columns, such as
-    ``doc_id=7/utt_name=sentence_0001.txt``. For hand-over of small corpora; the
-    text source adds a final line feed."""
-    named = df.select(*folders, F.col(text).alias("value"))
-    named.write.mode("overwrite").partitionBy(*folders).text(path)
+def export_text(df: DataFrame, path: str, text: str, folder: str, name: str) -> None:
+    """A text file for each row, such as ``7/sentence_0001.txt``, byte for byte. For hand-over;
+    the table is what the next stage reads."""
+    write_text_files(df, path, text, name, folder)
