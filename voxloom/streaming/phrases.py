@@ -1,53 +1,65 @@
 """Word events as a stream -> phrases, with state per utterance.
 
-State holds the words of the open phrase and words that came before their turn.
-A phrase leaves as soon as the next word shows that it is closed.
+State is kept in columns: a value with the progress, a list with the words of the open phrase,
+and a map with an entry for each word that came before its turn. So a word that arrives early is
+written and read once, whatever else waits. A phrase leaves as soon as the next word shows that
+it is closed.
 """
 
 from __future__ import annotations
 
-import json
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from voxloom.functions.timecode import TICKS_PER_MS, ticks_to_ms
 from voxloom.operators.phrases import MAX_GAP_MS, MAX_WORDS, PUNCTUATION, phrase_text
 
 CLOSED = "utt_id string, phrase_no bigint, from_ticks bigint, to_ticks bigint, words array<string>"
-STATE = "next_seq bigint, phrase_no bigint, open string, early string"
+PROGRESS = "next_seq bigint, phrase_no bigint, open int, early bigint, timer bigint"
+WORD = "word string, offset_ticks bigint, duration_ticks bigint, is_last boolean"
+_COLUMNS = ["seq", "word", "offset_ticks", "duration_ticks", "is_last"]
 
 
-class _OpenPhrase:
-    """The words since the last break; each is (word, offset, duration, is_last)."""
+def phrase_ends(words: list[str], offsets: np.ndarray, durations: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Whether a phrase ends after each word, as far as these words tell: the first word begins
+    a phrase, and no gap is known after the last one."""
+    n = len(words)
+    hard = last | np.fromiter((w.endswith(PUNCTUATION) for w in words), bool, n)
+    ended = offsets / TICKS_PER_MS + durations / TICKS_PER_MS
+    hard[:-1] |= offsets[1:] / TICKS_PER_MS - ended[:-1] > MAX_GAP_MS
+    place = np.arange(n)
+    since = np.maximum.accumulate(np.where(np.concatenate([[False], hard[:-1]]), place, 0))
+    return hard | ((place - since) % MAX_WORDS == MAX_WORDS - 1)
 
-    def __init__(self, utt_id: str, phrase_no: int, words: list):
+
+class _Utterance:
+    """One utterance while its rows of a micro-batch are worked on."""
+
+    def __init__(self, utt_id: str, phrase_no: int, words: list[tuple]):
         self.utt_id, self.phrase_no, self.words = utt_id, phrase_no, words
-        self.closed: list[tuple] = []
 
-    def close(self) -> None:
+    def close(self, everything: bool = False) -> list[tuple]:
+        """The closed phrases; the words of the open one stay."""
         if not self.words:
-            return
-        _, offset, duration, _ = self.words[-1]
-        texts = [w[0] for w in self.words]
-        self.closed.append(
-            (self.utt_id, self.phrase_no, self.words[0][1], offset + duration, texts)
-        )
-        self.phrase_no += 1
-        self.words = []
-
-    def add(self, word: list) -> None:
-        if self.words:
-            _, offset, duration, _ = self.words[-1]
-            ended = offset / TICKS_PER_MS + duration / TICKS_PER_MS
-            if word[1] / TICKS_PER_MS - ended > MAX_GAP_MS:
-                self.close()
-        self.words.append(word)
-        if word[3] or len(self.words) == MAX_WORDS or word[0].endswith(PUNCTUATION):
-            self.close()
+            return []
+        words, offsets, durations, last = zip(*self.words, strict=True)
+        offsets, durations = np.array(offsets, np.int64), np.array(durations, np.int64)
+        ends = phrase_ends(list(words), offsets, durations, np.array(last, bool))
+        if everything:
+            ends[-1] = True
+        begin, closed = 0, []
+        until = (offsets + durations).tolist()
+        for k in np.flatnonzero(ends).tolist():
+            closed.append((self.utt_id, self.phrase_no, int(offsets[begin]), until[k], list(words[begin : k + 1])))
+            self.phrase_no += 1
+            begin = k + 1
+        self.words = self.words[begin:]
+        return closed
 
 
 def _frame(rows: list[tuple]) -> pd.DataFrame:
@@ -55,46 +67,88 @@ def _frame(rows: list[tuple]) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=names)
 
 
-def _segment(timeout_ms: int | None):
-    def step(
-        key: tuple, batches: Iterator[pd.DataFrame], state: GroupState
-    ) -> Iterator[pd.DataFrame]:
-        next_seq, phrase_no, words, early = state.get if state.exists else (0, 0, "[]", "{}")
-        phrase = _OpenPhrase(key[0], phrase_no, json.loads(words))
-        waiting = {int(seq): word for seq, word in json.loads(early).items()}
-
-        if state.hasTimedOut:
-            # Nothing came for long: what is there is all there will be.
-            for seq in sorted(waiting):
-                phrase.add(waiting[seq])
-            phrase.close()
-            state.remove()
-            yield _frame(phrase.closed)
-            return
+class PhraseProcessor(StatefulProcessor):
+    """Puts the words of each utterance in turn; timeout_ms closes one that gets no more."""
+
+    def __init__(self, timeout_ms: int | None = None):
+        self.timeout_ms = timeout_ms
 
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.progress = handle.getValueState("progress", PROGRESS)
+        self.open = handle.getListState("open", WORD)
+        self.early = handle.getMapState("early", "seq bigint", WORD)
+
+    def _restored(self, key: tuple) -> tuple[_Utterance, int, int, int, int]:
+        next_seq, phrase_no, is_open, early, timer = self.progress.get() or (0, 0, 0, 0, 0)
+        words = list(self.open.get()) if is_open else []
+        return _Utterance(key[0], phrase_no, words), next_seq, is_open, early, timer
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        phrase, next_seq, was_open, early, timer = self._restored(key)
+        pending: dict[int, tuple] = {}
         done = False
-        for batch in batches:
-            columns = (batch[c].tolist() for c in ("seq", "word", "offset_ticks", "duration_ticks", "is_last"))
-            for seq, word, offset, duration, is_last in zip(*columns):
-                if seq >= next_seq:
-                    waiting[seq] = [word, offset, duration, bool(is_last)]
-            while next_seq in waiting:
-                word = waiting.pop(next_seq)
-                phrase.add(word)
-                next_seq += 1
-                done = done or word[3]
-            if phrase.closed:
-                yield _frame(phrase.closed)
-                phrase.closed = []
+        for batch in rows:
+            columns = [batch[c].to_numpy() for c in _COLUMNS]
+            seqs, lasts = columns[0], columns[4].astype(bool)
+            words = list(zip(columns[1].tolist(), columns[2].tolist(), columns[3].tolist(), lasts.tolist(), strict=True))
+            if not pending and not early and len(seqs) and (seqs == np.arange(next_seq, next_seq + len(seqs))).all():
+                phrase.words += words  # all in turn
+                next_seq += len(words)
+                done = done or bool(lasts.any())
+            else:
+                pending.update((s, w) for s, w in zip(seqs.tolist(), words, strict=True) if s >= next_seq)
+                while True:
+                    word = pending.pop(next_seq, None)
+                    if word is None and early and self.early.containsKey((next_seq,)):
+                        word = tuple(self.early.getValue((next_seq,)))
+                        self.early.removeKey((next_seq,))
+                        early -= 1
+                    if word is None:
+                        break
+                    phrase.words.append(word)
+                    next_seq += 1
+                    done = done or word[3]
+            if closed := phrase.close():
+                yield _frame(closed)
 
         if done:
-            state.remove()
-        else:
-            state.update((next_seq, phrase.phrase_no, json.dumps(phrase.words), json.dumps(waiting)))
-            if timeout_ms is not None:
-                state.setTimeoutDuration(timeout_ms)
-
-    return step
+            if was_open or next_seq or early or timer:
+                self._clear(was_open, early, timer)
+            return
+        for seq, word in pending.items():
+            early += not (early and self.early.containsKey((seq,)))
+            self.early.updateValue((seq,), word)
+        if phrase.words:
+            self.open.put(phrase.words)
+        elif was_open:
+            self.open.clear()
+        if self.timeout_ms is not None:
+            if timer:
+                self.handle.deleteTimer(timer)
+            timer = timerValues.getCurrentProcessingTimeInMs() + self.timeout_ms
+            self.handle.registerTimer(timer)
+        self.progress.update((next_seq, phrase.phrase_no, len(phrase.words), early, timer))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        """Nothing came for long: what is there is all there will be."""
+        phrase, _, was_open, early, _ = self._restored(key)
+        if early:
+            waiting = sorted((tuple(k)[0], tuple(v)) for k, v in self.early.iterator())
+            phrase.words += [word for _, word in waiting]
+        closed = phrase.close(everything=True)
+        self._clear(was_open, early, 0)
+        if closed:
+            yield _frame(closed)
+
+    def _clear(self, was_open: int, early: int, timer: int) -> None:
+        self.progress.clear()
+        if was_open:
+            self.open.clear()
+        if early:
+            self.early.clear()
+        if timer:
+            self.handle.deleteTimer(timer)
 
 
 def stream_phrases(words: DataFrame, timeout_ms: int | None = None) -> DataFrame:
@@ -102,25 +156,23 @@ def stream_phrases(words: DataFrame, timeout_ms: int | None = None) -> DataFrame
 
     seq counts the words of an utterance from 0 and may arrive in any order. The
     work of one utterance is in the order of its words, hence in one task; a rate
-    limit on the source bounds how much of it a micro-batch holds.
+    limit on the source bounds how much of it a micro-batch holds. The state store must be
+    RocksDB, as plans.session sets it.
 
-    An utterance whose last word never comes is closed after timeout_ms. Give one to
-    a stream that runs on; a run over available data must have none, since Spark
+    An utterance whose last word never comes is closed timeout_ms after its latest one. Give
+    one to a stream that runs on; a run over available data must have none, since Spark
     keeps starting empty batches to look for timeouts.
     """
     rows = words.select(
         "utt_id",
         F.col("seq").cast("bigint").alias("seq"),
-        "word",
+        F.coalesce("word", F.lit("")).alias("word"),
         F.col("offset_ticks").cast("bigint").alias("offset_ticks"),
         F.col("duration_ticks").cast("bigint").alias("duration_ticks"),
         F.coalesce("is_last", F.lit(False)).alias("is_last"),
     )
-    timeout = (
-        GroupStateTimeout.NoTimeout if timeout_ms is None else GroupStateTimeout.ProcessingTimeTimeout
-    )
-    closed = rows.groupBy("utt_id").applyInPandasWithState(
-        _segment(timeout_ms), CLOSED, STATE, "append", timeout
+    closed = rows.groupBy("utt_id").transformWithStateInPandas(
+        PhraseProcessor(timeout_ms), CLOSED, "append", "none" if timeout_ms is None else "processingTime"
     )
     return closed.select(
         "utt_id",
