@@ -44,14 +44,14 @@ def free_name(df: DataFrame, name: str) -> str:
 
 
 def columns_from_text(
-    df: DataFrame, text: str, fields: str, make: Callable[[], TextFunction]
+    df: DataFrame, text: str, fields: str, make: Callable[[], TextFunction], slice_bytes: int = SLICE_BYTES
 ) -> DataFrame:
     """Append columns that a Python function computes from whole texts.
 
     make() is called once in each task; what it returns takes a list of texts and gives one
     list (or array) per field. There is no shuffle, and a lost task is simply run again. An
     input column with the name of a new one is replaced. Rows go through as Arrow batches,
-    in slices of bounded bytes.
+    in slices of about slice_bytes bytes.
     """
     added = T.StructType.fromDDL(fields)
     names = {f.name.lower() for f in added}
@@ -64,7 +64,7 @@ def columns_from_text(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         function = make()
         for batch in batches:
-            for part in slices(batch, SLICE_BYTES):
+            for part in slices(batch, slice_bytes):
                 made = function(part.column(part.schema.get_field_index(text)).to_pylist())
                 arrays = [pa.array(v, type=f.type) for v, f in zip(made, arrow, strict=True)]
                 yield pa.RecordBatch.from_arrays(

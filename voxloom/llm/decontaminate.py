@@ -43,7 +43,8 @@ MOST_REPETITIONS = 64
 BLOCK_ITEMS = 20_000
 SEED = 7
 GRAM = 3  # a document window holds so many words of an item in a row, or as many as edits must leave
-PAIRS = 1 << 18  # pairs of windows compared at once
+PAIRS = 1 << 16  # pairs of windows compared at once
+SLICE = 1 << 20  # bytes of texts that are searched together
 PIECE_WORDS = 1 << 17  # a long text is searched in overlapping pieces
 TRIES = 1000  # windows that the repetitions are derived from
 
@@ -246,13 +247,14 @@ class Index:
                     low = np.searchsorted(known, key, "left")
                     count = np.searchsorted(known, key, "right") - low
                     hit = np.flatnonzero(count)
-                    for some in np.array_split(hit, max(1, int(count.sum()) // PAIRS)):
+                    cuts = np.searchsorted(np.cumsum(count[hit]), np.arange(PAIRS, count.sum(), PAIRS))
+                    for some in np.split(hit, np.unique(cuts)):
                         n = count[some]
                         at = np.repeat(part[some], n)
                         nth = np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n)
                         window = order[np.repeat(low[some], n) + nth]
                         pairs.append(self._alike(codes, at, window, length))
-            if pairs:
+            if pairs := [p for p in pairs if p.size]:
                 at, window = np.unique(np.concatenate(pairs, axis=1), axis=1)
                 docs = np.searchsorted(begins, at, "right") - 1
                 for doc, place, w in zip(docs.tolist(), (at - begins[docs]).tolist(), window.tolist(), strict=True):
@@ -327,7 +329,7 @@ def with_matches(
             return lambda texts: [index.matches(texts)]
 
         parts.append(f"{name}_{block}" if blocks > 1 else name)
-        docs = columns_from_text(docs, text, f"{parts[-1]} {MATCHES}", make)
+        docs = columns_from_text(docs, text, f"{parts[-1]} {MATCHES}", make, SLICE)
     if blocks > 1:
         docs = docs.withColumn(name, F.array_sort(F.concat(*parts))).drop(*parts)
     return docs

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from voxloom.llm.common import columns_from_text, free_name, one_row_of_each_id, settle
+from voxloom.llm.common import SLICE_BYTES, columns_from_text, free_name, one_row_of_each_id, settle, slices
 from voxloom.llm.components import components, forest
 from voxloom.llm.simhash import fingerprints, mixed, shingle_hashes, signed
 from voxloom.operators.blocks import scope, small_side
@@ -253,11 +253,14 @@ def similar_documents(
         rows = docs.filter(F.col(key).isNotNull())
         rows = rows.select(F.col(key).cast("bigint").alias("_key"), F.col(text).alias("_text"))
         made = _signatures(rows.withColumn("_hash", F.xxhash64("_text")), words).drop("_text")
-        best = settle(made).groupBy("_key").agg(F.min(F.struct("_hash", "same", "size", "bands")).alias("b"))
-        own = settle(best.select("_key", "b.*"))
-        nodes = settle(own.groupBy("same").agg(F.min(F.struct("_key", "_hash", "size", "bands")).alias("n")).select("same", "n.*"))
+        best = settle(made).groupBy("_key").agg(
+            F.min(F.struct("_hash", "same", "size", "bands")).alias("b"), F.count(F.lit(1)).alias("_rows")
+        )
+        own = settle(best.select("_key", "_rows", "b.*"))
+        first = F.min(F.struct("_key", "_rows", "_hash", "size", "bands")).alias("n")
+        nodes = settle(own.groupBy("same").agg(first).select("same", "n.*"))
         index = nodes.select(F.col("_key").alias("node"), "size", F.explode("bands").alias("key"))
-        found = _linked(rows, nodes.select(F.col("_key").alias("node"), "_hash"), index, words, similarity)
+        found = _linked(rows, nodes.select(F.col("_key").alias("node"), "_hash", "_rows"), index, words, similarity)
         named = nodes.select("same", F.col("_key").alias("component"))
         if found is not None:
             named = nodes.select("same", F.col("_key").alias("node")).join(found, "node", "left")
@@ -358,17 +361,22 @@ def _reach_scan(near: int, far: int, similarity: float):
 
 
 def _sets(rows: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
-    """node, shingles: the sorted sets of shingle hashes of these nodes (node, _hash)."""
+    """node, shingles: the sorted sets of shingle hashes of these nodes (node, _hash, _rows).
+
+    A key of several rows has one text of that hash, maybe more than once: it is reduced to one
+    row first, which keys of one row need not.
+    """
 
     def make():
         return lambda texts: [[shingle_set(t, words).tobytes() for t in texts]]
 
     wanted, _ = small_side(settle(nodes))
     hashed = rows.withColumn("_hash", F.xxhash64("_text"))
-    involved = hashed.join(wanted.withColumnRenamed("node", "_key"), ["_key", "_hash"], "left_semi")
+    involved = hashed.join(wanted.withColumnRenamed("node", "_key"), ["_key", "_hash"])
+    repeated = involved.filter("_rows > 1").groupBy("_key").agg(F.max("_text").alias("_text"))
+    involved = involved.filter("_rows = 1").select("_key", "_text").unionByName(repeated)
     made = columns_from_text(involved, "_text", "shingles binary", make)
-    # A row may be there more than once, with the same text.
-    return settle(made.groupBy(F.col("_key").alias("node")).agg(F.max("shingles").alias("shingles")))
+    return settle(made.select(F.col("_key").alias("node"), "shingles"))
 
 
 def _verified(sets: DataFrame, links: DataFrame, similarity: float) -> DataFrame:
@@ -379,11 +387,12 @@ def _verified(sets: DataFrame, links: DataFrame, similarity: float) -> DataFrame
 
     def run(batches):
         for batch in batches:
-            keep = [
-                jaccard(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)) >= similarity
-                for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)
-            ]
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            for part in slices(batch, SLICE_BYTES):
+                keep = [
+                    jaccard(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)) >= similarity
+                    for x, y in zip(part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True)
+                ]
+                yield part.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return pairs.mapInArrow(run, "a bigint, b bigint")
 
