@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -48,6 +49,31 @@ def test_long_utterances_give_the_same_phrases(spark, seed, block):
     assert rows_of(ph.phrase_breaks(words, block)) == rows_of(ph.phrase_breaks(words))
 
 
+def test_one_utterance_of_three_million_words(spark):
+    """Five words, then two up to a comma, over and over; a pause before each ninth word of a
+    hundred thousand. Cut into 46 blocks, with no job before the action."""
+    n = 3_000_000
+    words = spark.range(n).select(
+        F.lit("u").alias("utt_id"), F.col("id").alias("seq"),
+        F.when(F.col("id") % 7 == 6, "x,").otherwise("x").alias("word"),
+        (F.col("id") * 4_000_000 + F.floor(F.col("id") / 100_000) * 10_000_000).alias("offset_ticks"),
+        F.lit(4_000_000).cast("bigint").alias("duration_ticks"), (F.col("id") == n - 1).alias("is_last"),
+    )
+    spark.sparkContext.setJobGroup("lazy", "phrases")
+    made = ph.phrases(words)
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("lazy")
+    ends = np.array([i % 7 == 6 or i % 100_000 == 99_999 or i == n - 1 for i in range(n)])
+    expected, begin = [], 0
+    for end in np.flatnonzero(ends).tolist():
+        expected += range(begin, end + 1, 5)
+        begin = end + 1
+    starts = np.array(expected)
+    offsets = starts * 400 + starts // 100_000 * 1000
+    rows = made.select("phrase_no", "start_ms").toPandas().sort_values("phrase_no")
+    assert rows["phrase_no"].tolist() == list(range(len(expected)))
+    assert (rows["start_ms"].to_numpy() == offsets).all()
+
+
 def test_words_of_phrases_are_the_words(spark):
     words = random_words(spark, 4).filter("word rlike '^[a-z]+$'")
     kept = ph.phrases(words).agg(F.sum(F.size(F.split("text", " ")))).first()[0]
