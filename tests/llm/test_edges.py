@@ -147,38 +147,28 @@ def test_mixing(docs, none):
 
 
 def test_sharding(spark, docs, none, tmp_path):
-    rows = sharding.sharded(docs, 3).collect()
+    clash = docs.withColumns({"shard": F.lit("x"), "_order": F.lit(1)})
+    written = sharding.write_shards(clash, str(tmp_path / "s"), 3)
+    assert sorted(written.columns) == sorted(clash.columns) and written.schema["shard"].dataType.simpleString() == "int"
+    assert sorted(map(str, written.select(*docs.columns).collect())) == sorted(map(str, docs.collect()))
+    rows = sharding.slots(written).collect()
     assert len(rows) == len(ROWS) and {r.shard for r in rows} <= {0, 1, 2}
-    assert sharding.sharded(none, 3).count() == 0
-    same = spark.createDataFrame([(1, "same text")] * 3000, "doc_id bigint, text string")
-    counts = [r["count"] for r in sharding.sharded(same, 4).groupBy("shard").count().collect()]
-    assert len(counts) == 4 and max(counts) - min(counts) <= 3
-    some = docs.filter("doc_id in (1, 4, 5)")
-    sharding.write_shards(some, sharding.sharded(some, 2), str(tmp_path / "s"))
-    assert spark.read.parquet(str(tmp_path / "s")).count() == 3
-
-
-def test_decontamination(spark, docs, none):
-    item = " ".join(f"word{i}" for i in range(40, 70))
-    items = [(1, item), (1, item), (2, None), (3, ""), (None, item), (4, "one"), (5, "not here at all")]
-    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
-    rows = decontaminate.with_matches(docs, benchmark).collect()
-    hits = sorted(((r.doc_id or 0), m.item_id, m.start, m.edits) for r in rows for m in r.matches)
-    assert hits == sorted([(0, 1, 40, 0), (1, 1, 40, 0), (2, 1, 40, 0), (2, 1, 40, 0), (7, 4, 0, 0), (9, 1, 40, 1)])
-    clean = decontaminate.decontaminated(docs, benchmark)
-    assert clean.columns == docs.columns and sorted(r[0] for r in clean.collect()) == [3, 4, 5, 8]
-    assert decontaminate.with_matches(none, benchmark).count() == 0
-    assert decontaminate.decontaminated(docs, benchmark.limit(0)).count() == len(ROWS)
-
-
-def loop_distance(item, words):
-    """Fewest edits between the item and any stretch of the words."""
-    row = [0] * (len(words) + 1)
-    for i, x in enumerate(item, 1):
-        last, row[0] = row[0], i
-        for j, y in enumerate(words, 1):
-            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
-    return min(row)
+    assert sum(r.size for r in rows) == sum(len((t or "").encode()) + 8 for _, t, *_ in ROWS)
+    assert sharding.slots(sharding.write_shards(none, str(tmp_path / "e"), 3)).count() == 0
+
+
+def test_shards_of_repeated_rows(spark, tmp_path, monkeypatch):
+    """One row many times over, and null keys: all stay, evenly, also in many parts."""
+    same = spark.createDataFrame([(1, "same")] * 1000 + [(None, "same")] * 1000, "doc_id bigint, text string")
+    for name, part in (("one", 1 << 40), ("many", 1000)):
+        monkeypatch.setattr(sharding, "PART_BYTES", part)
+        rows = sharding.slots(sharding.write_shards(same, str(tmp_path / name), 4)).collect()
+        for shard in range(4):
+            own = sorted(r.slot for r in rows if r.shard == shard)
+            assert own == list(range(len(own))) and abs(len(own) - 500) <= 2
+        assert sum(r.doc_id is None for r in rows) == 1000
+        files = list((tmp_path / name).rglob("*.parquet"))
+        assert len(files) > 12 if part == 1000 else len(files) == 4
 
 
 @pytest.mark.parametrize("share", [0, 0.1, 0.2])

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Callable, Iterator
+from uuid import uuid4
 
 import public_tokenizers
 import pyarrow as pa
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 from voxloom.llm import (
     decontaminate, language, licenses, mixing, periodic, prefix_trie, sharding, token_files, tokens, toxicity, warc,
 )
-from voxloom.llm.common import read_docs, settle
+from voxloom.llm.common import read_docs, settle, shared_dir
 from voxloom.llm.fingerprint import edited_documents, find_within, likeness
 from voxloom.llm.near_dedup import hamming_components
 from voxloom.llm.simhash import hex_digits
@@ -79,8 +80,9 @@ def op5_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    placed = sharding.sharded(read_docs(spark, sf_dir, "doc_id", "text"))
-    return placed.select(
+    path = f"{shared_dir(spark)}/shards-{uuid4()}"
+    shards = sharding.write_shards(read_docs(spark, sf_dir, "doc_id", "text"), path)
+    return sharding.slots(shards).select(
         "doc_id", "size", "text_crc32", F.lit(sharding.LAW).alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )

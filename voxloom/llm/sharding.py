@@ -3,23 +3,24 @@
 Rows get a random 64-bit key. The boundaries between shards are found without sorting: the
 bytes below candidate boundaries are counted exactly over all partitions, and only the
 intervals that hold a wanted boundary are probed further, until the bytes left in an interval
-are below the tolerance. Rows are then exchanged once, by shard.
+are below the tolerance. Rows are then exchanged once, by shard, and written.
 """
 
 from __future__ import annotations
 
 from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from voxloom.llm.common import settle
-from voxloom.operators.blocks import running_totals
+from voxloom.llm.common import free_name, settle
 
 SHARDS = 24
 TOLERANCE = 0.001  # of a shard's bytes
 PROBE_BITS = 10  # an interval is cut into 2**PROBE_BITS in each round
 LAW = "bytes"
+PART_BYTES = 64 << 20  # of texts that one task writes, about
+MOST_PART_BITS = 16
 SLOT_BITS = 12  # rows of a shard are numbered in so many ranges of the key
 
 
@@ -72,50 +73,76 @@ def shard_of(key: Column, bounds: list[int]) -> Column:
     return shard
 
 
-def sharded(
+def random_key(key: str, text: str) -> Column:
+    """A row's random key: a hash of what it holds and of its place among the rows, so even a
+    table that repeats one row splits evenly."""
+    return F.xxhash64(F.col(key), F.crc32(F.coalesce(F.col(text), F.lit(""))), F.monotonically_increasing_id())
+
+
+def row_bytes(text: str) -> Column:
+    """What a row counts for: the text's UTF-8 bytes (null: none) plus 8."""
+    return (F.octet_length(F.coalesce(F.col(text), F.lit(""))) + 8).cast("bigint")
+
+
+def write_shards(
     docs: DataFrame,
+    path: str,
     shards: int = SHARDS,
     key: str = "doc_id",
     text: str = "text",
     tolerance: float = TOLERANCE,
 ) -> DataFrame:
-    """A row for each row of docs: key, size, text_crc32, shard (int), slot (bigint).
+    """Write docs as Parquet, a folder for each shard (shard=0, 1, ...); returns the shards read.
 
-    size is the text's UTF-8 bytes (null: none) plus 8; crc32 of a null text is that of the
-    empty one. Shards hold nearly equal bytes; slots number a shard's rows from 0. The random
-    key holds the place of the row, so even a table that repeats one row splits evenly.
-    Shards may be empty if there are fewer rows than shards. An empty table gives an empty one.
+    All rows and columns are kept, and _order is added: a row's place in its shard, from 0, is
+    that of (_order, file position) as `slots` numbers it. Shards hold nearly equal bytes
+    (a text's UTF-8 bytes, null none, plus 8 for each row) and may be empty if there are fewer
+    rows. Rows that repeat, and null keys and texts, are rows like any other. Input columns named
+    shard or _order are replaced. An empty table writes none.
+
+    Only narrow rows are read for the boundaries; then every row is exchanged once, by its shard
+    and a range of keys that holds about PART_BYTES, so a large shard is written by many tasks.
+    docs should be a scan or settled: the rows' places in it are part of their keys.
     """
-    body = F.coalesce(F.col(text), F.lit(""))
-    place = F.monotonically_increasing_id()
-    rows = settle(
-        docs.select(
-            F.col(key),
-            (F.octet_length(body) + 8).cast("bigint").alias("size"),
-            F.crc32(body).alias("text_crc32"),
-            F.xxhash64(F.col(key), F.crc32(body), place).alias("_key"),
-        )
+    rows = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in ("shard", "_order")])
+    random = free_name(rows, "_key")
+    rows = rows.withColumn(random, random_key(key, text))
+    narrow = settle(rows.select(F.col(random).alias("_key"), row_bytes(text).alias("size")))
+    total = narrow.agg(F.sum("size")).first()[0] or 0
+    bounds = splitters(narrow, shards, tolerance)
+    placed = rows.withColumns(
+        # Sorts as the unsigned key does.
+        {"shard": shard_of(F.col(random), bounds), "_order": F.col(random).bitwiseXOR(F.lit(-(1 << 63)))}
     )
-    bounds = splitters(rows, shards, tolerance)
-    placed = settle(
-        rows.withColumns(
-            {
-                "shard": shard_of(F.col("_key"), bounds),
-                "_block": F.shiftrightunsigned("_key", 64 - SLOT_BITS),
-                # Sorts as the unsigned key does.
-                "_order": F.col("_key").bitwiseXOR(F.lit(-(1 << 63))),
-            }
-        )
-    )
-    numbered = running_totals(placed, "shard", ["_order", key, "size"], {"slot": F.lit(1)})
-    return numbered.select(key, "size", "text_crc32", "shard", F.col("slot").cast("bigint").alias("slot"))
+    bits = min(MOST_PART_BITS, (total // PART_BYTES).bit_length())
+    part = F.shiftrightunsigned(random, 64 - bits) if bits else F.lit(0)
+    dealt = placed.repartition(shards + (1 << bits), "shard", part)
+    dealt = dealt.sortWithinPartitions("shard", "_order").drop(random)
+    if not total:
+        return dealt.limit(0)
+    dealt.write.partitionBy("shard").parquet(path)
+    return docs.sparkSession.read.schema(dealt.schema).parquet(path)
 
 
-def write_shards(docs: DataFrame, placed: DataFrame, path: str, key: str = "doc_id") -> None:
-    """Write docs as Parquet, a folder for each shard, rows in slot order: the one exchange.
+def slots(shards: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """A row for each row of written shards: key, size, text_crc32, shard, slot (bigint).
 
-    placed comes from sharded(); keys must be different.
+    Everything is derived from the shards; slots number a shard's rows without gaps from 0, in
+    blocks of their order, and one row for each block goes through a window over the shard.
     """
-    rows = docs.join(placed.select(key, "shard", "slot"), key)
-    ordered = rows.repartition("shard").sortWithinPartitions("shard", "slot")
-    ordered.write.partitionBy("shard").parquet(path)
+    rows = settle(
+        shards.select(
+            F.col(key), row_bytes(text).alias("size"), F.crc32(F.coalesce(F.col(text), F.lit(""))).alias("text_crc32"),
+            "shard", "_order", F.shiftrightunsigned("_order", 64 - SLOT_BITS).alias("_block"),
+        )
+    )
+    # Keys of 64 bits may meet; rows that are alike in all columns may stand in either order.
+    inside = Window.partitionBy("shard", "_block").orderBy("_order", key, "text_crc32", "size")
+    # A block is a range of the order, so blocks stand as their least rows do.
+    counts = rows.groupBy("shard", "_block").agg(F.count(F.lit(1)).alias("_n"), F.min("_order").alias("_least"))
+    chain = Window.partitionBy("shard").orderBy("_least").rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.select("shard", "_block", F.coalesce(F.sum("_n").over(chain), F.lit(0)).alias("_before"))
+    numbered = rows.withColumn("_nth", F.row_number().over(inside)).join(before, ["shard", "_block"])
+    return numbered.select(
+        key, "size", "text_crc32", "shard", (F.col("_before") + F.col("_nth") - 1).cast("bigint").alias("slot")
+    )
