@@ -91,15 +91,20 @@ def whole_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same; one page in seven has no text."""
+    """The same, and a document of 5000 pages, more than a part holds; one page in seven has no text."""
     kept = F.when(F.pmod(F.col("doc_id") + F.col("page_no"), F.lit(7)) != 3, F.col("text"))
-    return whole_pages(spark, sf_dir).withColumn("text", kept)
+    number = F.col("id")
+    line = F.concat(F.lit("Page "), number.cast("string"), F.lit(" ends."))
+    long = spark.range(5000).select(F.lit(950001).cast("bigint").alias("doc_id"), number.alias("page_no"), line.alias("text"))
+    return whole_pages(spark, sf_dir).unionByName(long).withColumn("text", kept)
 
 
 PAGES_SQL = """(
     SELECT conv_id AS doc_id, turn AS page_no,
            CASE WHEN (conv_id + turn) % 7 <> 3 THEN text END AS text
-    FROM conversations)"""
+    FROM conversations
+    UNION ALL SELECT 950001, i, CASE WHEN (950001 + i) % 7 <> 3 THEN 'Page ' || i || ' ends.' END
+    FROM range(5000) r(i))"""
 
 
 def subtitle_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -224,7 +229,24 @@ def events_of(docs: DataFrame) -> DataFrame:
 
 def events_and_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     extra = fx.frame(spark, fx.F4, fx.F4_SCHEMA).withColumn("type", F.lit("WordBoundary"))
-    return events_of(documents(spark, sf_dir)).unionByName(extra)
+    return events_of(documents(spark, sf_dir)).unionByName(extra).unionByName(_long_utterance(spark))
+
+
+LONG_WORDS = 80_000  # more than a block of words, and more phrases than a part of subtitle text
+
+
+def _long_utterance(spark: SparkSession) -> DataFrame:
+    """Every eleventh word ends in a comma, and a pause follows each thousandth."""
+    seq = F.col("id")
+    return spark.range(LONG_WORDS).select(
+        F.lit("long").alias("utt_id"),
+        seq.cast("int").alias("seq"),
+        F.when(seq % 11 == 5, "two,").otherwise("one").alias("word"),
+        ((seq * 400 + F.expr("id div 1000") * 900) * 10000).alias("offset_ticks"),
+        F.lit(4_000_000).cast("bigint").alias("duration_ticks"),
+        (seq == LONG_WORDS - 1).alias("is_last"),
+        F.lit("WordBoundary").alias("type"),
+    )
 
 
 def words_sql() -> str:
@@ -235,6 +257,9 @@ def words_sql() -> str:
     FROM (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) - 1 AS seq
           FROM (SELECT doc_id, regexp_split_to_array(text, '[ \\n]+') AS words FROM documents))
     UNION ALL
+    SELECT 'long', i, CASE i % 11 WHEN 5 THEN 'two,' ELSE 'one' END, (i * 400 + i // 1000 * 900) * 10000, 4000000
+    FROM range({LONG_WORDS}) r(i)
+    UNION ALL
     SELECT utt_id, seq, word, offset_ticks, duration_ticks
     FROM {fx.sql_values(fx.F4, "utt_id, seq, word, offset_ticks, duration_ticks, is_last")})"""
 

@@ -180,7 +180,8 @@ def timeline_ctes() -> str:
     )
     return f"""
     tracks AS (SELECT *, {ascii_form} AS d FROM {tracks_sql()}),
-    timeline AS (SELECT album_id, file_name, TRY_CAST(nullif(d, '') AS BIGINT) AS number,
+    timeline AS (SELECT album_id, file_name, CAST(CAST(nullif(d, '') AS DECIMAL(38, 0)) AS VARCHAR) AS digits,
+          TRY_CAST(nullif(d, '') AS BIGINT) AS number,
           row_number() OVER (PARTITION BY album_id {order}) AS position, duration_ms,
           CAST(coalesce(sum(duration_ms + 500) OVER (PARTITION BY album_id {order}
                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start_ms
@@ -275,9 +276,9 @@ def all_sql() -> dict[str, str]:
             "CAST(NULL AS VARCHAR) AS error FROM utts", "utt_no"
         ),
         "page_assembly": f"""
-            SELECT doc_id, CAST(0 AS BIGINT) AS part_no,
+            SELECT doc_id, CAST(page_no // 4096 AS BIGINT) AS part_no,
                    string_agg(coalesce(text, '') || {LF}, '' ORDER BY page_no) AS text
-            FROM {PAGES_SQL} GROUP BY doc_id""",
+            FROM {PAGES_SQL} GROUP BY doc_id, page_no // 4096""",
         "normalized_text": f"{lines} SELECT doc_id, text FROM norm",
         "clean_lines": wide(f"{lines} SELECT doc_id, @@, line FROM cleaned", "pos"),
         "dropped_lines": f"""{lines} SELECT src.doc_id, {", ".join(
@@ -350,10 +351,11 @@ def all_sql() -> dict[str, str]:
             f"{words} SELECT utt_id, @@, word, is_break FROM numbered", "seq", "phrase_no"
         ),
         "phrases": f"{words} SELECT * FROM phrases",
-        "phrases_stream": f"{words} SELECT * FROM phrases WHERE utt_id <> 'f4'",
-        "phrases_stream_blocks": f"{words} SELECT * FROM phrases WHERE utt_id <> 'f4'",
-        "phrases_to_srt": f"""{words} SELECT utt_id, CAST(0 AS BIGINT) AS part_no,
-            string_agg({phrase_block}, '' ORDER BY phrase_no) AS srt FROM phrases GROUP BY utt_id""",
+        "phrases_stream": f"{words} SELECT * FROM phrases WHERE utt_id NOT IN ('f4', 'long')",
+        "phrases_stream_blocks": f"{words} SELECT * FROM phrases WHERE utt_id NOT IN ('f4', 'long')",
+        "phrases_to_srt": f"""{words} SELECT utt_id, CAST(phrase_no // 10000 AS BIGINT) AS part_no,
+            string_agg({phrase_block}, '' ORDER BY phrase_no) AS srt FROM phrases
+            GROUP BY utt_id, phrase_no // 10000""",
         "synthesis_manifest": f"""WITH {manifest_ctes(src, 1)} SELECT {manifest_columns.replace(
             "rate, pitch, volume", "'+5%' AS rate, '-5Hz' AS pitch, '+10%' AS volume").replace(
             "subtitle_name", "replace(file, '.txt', '.srt') AS subtitle_name")} FROM manifest""",
@@ -403,7 +405,7 @@ def all_sql() -> dict[str, str]:
             f"{cues} SELECT doc_id, @@, text FROM cues WHERE text <> '' AND NOT ({cue_failed})",
             "cue_no", "start_ms", "end_ms",
         ),
-        "track_order": f"WITH {timeline_ctes()} SELECT album_id, file_name, number, position FROM timeline",
+        "track_order": f"WITH {timeline_ctes()} SELECT album_id, file_name, digits, number, position FROM timeline",
         "track_timeline": f"WITH {timeline_ctes()} SELECT * FROM timeline",
         "album_length": f"""SELECT album_id, CAST(count(*) AS BIGINT) AS tracks,
             CAST(sum(duration_ms) + (count(*) - 1) * 500 AS BIGINT) AS total_ms

@@ -112,12 +112,18 @@ def test_long_documents_give_the_same_utterances(spark, sf_dir, size, max_pages)
 
 def test_assembled_parts_joined_are_the_text(spark, sf_dir):
     pages = inputs.pages(spark, sf_dir)
-    whole = {r.doc_id: r.text for r in pg.assemble_pages(pages).collect()}
-    joined = {}
-    parts = pg.assemble_pages(pages, pages_per_part=2).orderBy("doc_id", "part_no").collect()
-    for r in parts:
-        joined[r.doc_id] = joined.get(r.doc_id, "") + r.text
-    assert joined == whole and len(parts) > len(whole)
+
+    def joined(**options):
+        texts = {}
+        parts = pg.assemble_pages(pages, **options).orderBy("doc_id", "part_no").collect()
+        for r in parts:
+            texts[r.doc_id] = texts.get(r.doc_id, "") + r.text
+        return texts, len(parts)
+
+    whole, parts = joined()
+    assert parts == len(whole) + 1  # one document has more pages than a part
+    halves, more = joined(pages_per_part=2)
+    assert halves == whole and more > parts
 
 
 def test_timeline_golden(spark):
@@ -138,15 +144,30 @@ def test_timeline_golden(spark):
     assert lengths == {900001: 14210, 900002: 1526}
 
 
-def test_long_albums_give_the_same_timeline(spark):
+def test_timeline_of_null_albums_and_numbers(spark):
+    """A null album is one; 40 digits are kept; nothing runs before the action."""
+    rows = [(None, f"{i}.mp3", 10) for i in range(30)] + [(1, "9" * 40, 5), (1, "intro", 6)]
+    tracks = spark.createDataFrame(rows, fx.F6_SCHEMA)
+    spark.sparkContext.setJobGroup("timeline", "lazy")
+    made = tl.track_timeline(tracks)
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("timeline")
+    found = {(r.album_id, r.file_name): (r.digits, r.number, r.position, r.start_ms) for r in made.collect()}
+    assert found[1, "9" * 40] == ("9" * 40, None, 1, 0) and found[1, "intro"] == (None, None, 2, 505)
+    assert [found[None, f"{i}.mp3"][2:] for i in range(30)] == [(i + 1, 510 * i) for i in range(30)]
+
+
+def test_long_albums_give_the_same_timeline(spark, monkeypatch):
     rng = random.Random(6)
     names = [f"{rng.choice('abcxyz')}{i}_{rng.choice(['', '7', '12', '003'])}.mp3" for i in range(300)]
     plain = ["".join(rng.choice("abcdefgh") for _ in range(9)) for _ in range(200)]
     rows = [(rng.choice([1, 1, 1, 2]), name, rng.randrange(5000)) for name in names + plain]
     rows += [(3, "only.mp3", 5)]
     tracks = spark.createDataFrame(rows, fx.F6_SCHEMA)
-    assert rows_of(tl.track_timeline(tracks, max_rows=50)) == rows_of(tl.track_timeline(tracks))
-    assert rows_of(tl.track_timeline(tracks, max_rows=0)) == rows_of(tl.track_timeline(tracks))
+    whole = rows_of(tl.track_timeline(tracks))
+    for digits, chars in ((0, 0), (1, 1), (0, 30)):
+        monkeypatch.setattr(tl, "BLOCK_DIGITS", digits)
+        monkeypatch.setattr(tl, "NAME_CHARS", chars)
+        assert rows_of(tl.track_timeline(tracks)) == whole
 
 
 def test_outcomes_golden(spark):

@@ -7,16 +7,13 @@ from pyspark.sql import functions as F
 
 from voxloom.functions.paths import file_name
 from voxloom.functions.text import DIGIT, ascii_digits
-from voxloom.operators.blocks import (
-    MAX_GROUP_ROWS,
-    range_blocks,
-    running_totals,
-    split_long_groups,
-)
 
 # Fixed value: silence between two tracks.
 GAP_MS = 500
 
+BLOCK_DIGITS = 4  # tracks whose numbers differ in so many last digits are one block
+NAME_CHARS = 12  # so are unnumbered ones whose names begin alike for so many characters
+
 
 def track_digits(name: Column) -> Column:
     """First run of digits in the base name, extension included; null without one."""
@@ -35,46 +32,53 @@ def _order_columns() -> dict[str, Column]:
 
 
 _ORDER = ["_missing", "_length", "_digits", "file_name"]
+_BLOCK = ["_missing", "_length", "_lead"]
 
 
-def track_timeline(
-    tracks: DataFrame,
-    gap_ms: int = GAP_MS,
-    key: str = "album_id",
-    max_rows: int = MAX_GROUP_ROWS,
-) -> DataFrame:
-    """Tracks in order: number, position (1-based) and start_ms in the merged track."""
-    keyed = tracks.select(key, "file_name", "duration_ms").withColumns(_order_columns())
-    ordinary, long = split_long_groups(keyed, key, max_rows)
+def _lead() -> Column:
+    """What tracks of a block share, in order: a number's digits but the last few, or the
+    beginning of a name without one."""
+    leading = F.left("_digits", F.greatest(F.lit(0), F.col("_length") - BLOCK_DIGITS))
+    return F.coalesce(leading, F.left("file_name", F.lit(NAME_CHARS)))
+
 
-    ordered = Window.partitionBy(key).orderBy(*_ORDER)
-    before = ordered.rowsBetween(Window.unboundedPreceding, -1)
+def track_timeline(tracks: DataFrame, gap_ms: int = GAP_MS, key: str = "album_id") -> DataFrame:
+    """Tracks in order: digits, number, position (1-based) and start_ms in the merged track.
+
+    digits is the number without leading zeros, of any length; number is the same as a bigint,
+    null beyond 18 digits. An album is cut into blocks of its order, of at most
+    10^BLOCK_DIGITS different numbers; what lies before a block is a running total over one
+    small row for each. A plan without a job of its own, alike at every size.
+    """
+    keyed = tracks.select(key, "file_name", "duration_ms").withColumns(_order_columns())
+    keyed = keyed.withColumn("_lead", _lead())
     step = F.col("duration_ms") + gap_ms
-    result = ordinary.withColumns(
-        {
-            "position": F.row_number().over(ordered),
-            "start_ms": F.coalesce(F.sum(step).over(before), F.lit(0)),
-        }
-    )
-    if long is not None:
-        blocks = range_blocks(long, [key, *_ORDER])
-        totals = running_totals(
-            blocks, key, _ORDER, {"position": F.lit(1), "start_ms": step}
-        ).drop("_block")
-        result = result.unionByName(totals.withColumn("position", F.col("position") + 1))
-    return result.select(
+    # Null numbers and keys are blocks and albums like any other, so joins are null-safe.
+    chain = Window.partitionBy(key).orderBy(*_BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    blocks = keyed.groupBy(key, *_BLOCK).agg(F.count(F.lit(1)).alias("_n"), F.sum(step).alias("_ms"))
+    blocks = blocks.select(
+        *[F.col(c).alias(f"_b{c}") for c in (key, *_BLOCK)],
+        F.sum("_n").over(chain).alias("_earlier"), F.sum("_ms").over(chain).alias("_since"),
+    ).filter(F.col("_earlier") > 0)
+    same = [keyed[c].eqNullSafe(blocks[f"_b{c}"]) for c in (key, *_BLOCK)]
+    joined = keyed.join(blocks, same, "left")
+    inside = Window.partitionBy(key, *_BLOCK).orderBy(*_ORDER)
+    before = inside.rowsBetween(Window.unboundedPreceding, -1)
+    zero = F.lit(0).cast("bigint")
+    return joined.select(
         key,
         "file_name",
-        track_digits(F.col("file_name")).try_cast("bigint").alias("number"),
-        F.col("position").cast("bigint").alias("position"),
+        F.col("_digits").alias("digits"),
+        F.col("_digits").try_cast("bigint").alias("number"),
+        (F.row_number().over(inside) + F.coalesce("_earlier", zero)).cast("bigint").alias("position"),
         "duration_ms",
-        F.col("start_ms").cast("bigint").alias("start_ms"),
+        (F.coalesce(F.sum(step).over(before), zero) + F.coalesce("_since", zero)).cast("bigint").alias("start_ms"),
     )
 
 
-def track_order(tracks: DataFrame, key: str = "album_id", max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+def track_order(tracks: DataFrame, key: str = "album_id") -> DataFrame:
     """Tracks with their number and place in the album."""
-    return track_timeline(tracks, 0, key, max_rows).select(key, "file_name", "number", "position")
+    return track_timeline(tracks, 0, key).select(key, "file_name", "digits", "number", "position")
 
 
 def album_length(tracks: DataFrame, gap_ms: int = GAP_MS, key: str = "album_id") -> DataFrame:
