@@ -245,6 +245,22 @@ def all_sql() -> dict[str, str]:
         "(SELECT doc_id, utt_no, CAST(utt_no * 100003 + doc_id % 1000 AS BIGINT) AS ms FROM "
         f"(WITH {utterance_ctes(src, 1)} SELECT * FROM utts))"
     )
+    batch_report = f"""WITH {batch_ctes()},
+            judged AS (SELECT *, CASE (doc_id * 13 + cue_no) % 6 WHEN 1 THEN 'No audio was received.'
+                WHEN 3 THEN 'No outcome was reported.' END AS bad FROM requests),
+            counted AS (SELECT doc_id, count(*) FILTER (WHERE kind = 'cue') AS requested,
+                count(bad) FILTER (WHERE kind = 'cue') AS skipped,
+                max(coalesce(error, bad)) FILTER (WHERE kind <> 'cue') AS error
+                FROM judged GROUP BY doc_id)
+            SELECT l.doc_id, path, CAST(coalesce(requested, 0) AS BIGINT) AS requested,
+            CAST(coalesce(skipped, 0) AS BIGINT) AS skipped,
+            CASE WHEN error IS NULL THEN 'mp3/' || regexp_replace(path, '[.][^.]*$', '') || '.mp3' END AS audio,
+            CASE WHEN error IS NULL THEN 'mp3/' || regexp_replace(path, '[.][^.]*$', '') || '.srt' END AS subtitle,
+            error FROM listed l LEFT JOIN counted c ON l.doc_id = c.doc_id"""
+    page_texts = (
+        f"(SELECT conv_id AS doc_id, string_agg(coalesce(text, '') || {LF}, '' ORDER BY turn) AS text "
+        "FROM conversations GROUP BY conv_id)"
+    )
     return {
         "work_list_union": f"""
             SELECT CAST(0 AS BIGINT) AS origin, {doc_path} AS path FROM documents
@@ -384,18 +400,24 @@ def all_sql() -> dict[str, str]:
             '+5%' AS rate, '-5Hz' AS pitch, '+0%' AS volume, error FROM requests""",
             "cue_no", "start_ms", "end_ms",
         ),
-        "batch_report": f"""WITH {batch_ctes()},
-            judged AS (SELECT *, CASE (doc_id * 13 + cue_no) % 6 WHEN 1 THEN 'No audio was received.'
-                WHEN 3 THEN 'No outcome was reported.' END AS bad FROM requests),
-            counted AS (SELECT doc_id, count(*) FILTER (WHERE kind = 'cue') AS requested,
-                count(bad) FILTER (WHERE kind = 'cue') AS skipped,
-                max(coalesce(error, bad)) FILTER (WHERE kind <> 'cue') AS error
-                FROM judged GROUP BY doc_id)
-            SELECT l.doc_id, path, CAST(coalesce(requested, 0) AS BIGINT) AS requested,
-            CAST(coalesce(skipped, 0) AS BIGINT) AS skipped,
-            CASE WHEN error IS NULL THEN 'mp3/' || regexp_replace(path, '[.][^.]*$', '') || '.mp3' END AS audio,
-            CASE WHEN error IS NULL THEN 'mp3/' || regexp_replace(path, '[.][^.]*$', '') || '.srt' END AS subtitle,
-            error FROM listed l LEFT JOIN counted c ON l.doc_id = c.doc_id""",
+        "batch_report": batch_report,
+        "batch_report_stream": batch_report,
+        "merged_tracks": f"""WITH {manifest_ctes(page_texts, 1)},
+            heard AS (SELECT doc_id, 'mp3/' || doc_id || '/' || audio_name AS file_name, utt_no, length(text) * 60 AS ms
+                FROM manifest WHERE (doc_id * 31 + utt_no) % 7 <> 1)
+            SELECT doc_id, file_name, utt_no AS number,
+            CAST(row_number() OVER (PARTITION BY doc_id ORDER BY utt_no) AS BIGINT) AS position,
+            CAST(ms AS BIGINT) AS duration_ms, CAST(coalesce(sum(ms + 500) OVER (PARTITION BY doc_id ORDER BY utt_no
+                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start_ms FROM heard""",
+        "prepare_corpus_counts": f"""WITH {manifest_ctes(src, 2)}
+            SELECT stage, metric, CAST(value AS BIGINT) AS value FROM (
+            SELECT 'documents' AS stage, 'rows' AS metric, count(*) AS value FROM src
+            UNION ALL SELECT 'documents', 'raw_lines', count(*) FROM raw
+            UNION ALL SELECT 'normalised', 'rows', count(*) FROM src
+            UNION ALL SELECT 'normalised', 'paragraphs', count(*) FROM kept
+            UNION ALL SELECT 'utterances', 'rows', count(*) FROM utts
+            UNION ALL SELECT 'requests', 'rows', count(*) FROM manifest
+            UNION ALL SELECT 'requests', 'failed', count(error) FROM manifest)""",
         "cue_skip_report": f"""{cues}, asked AS (SELECT doc_id, {cue_failed} AS bad FROM cues WHERE text <> '')
             SELECT r.doc_id, CAST(count(bad) AS BIGINT) AS requested,
             CAST(count(*) FILTER (WHERE bad) AS BIGINT) AS skipped,
@@ -411,7 +433,5 @@ def all_sql() -> dict[str, str]:
             CAST(sum(duration_ms) + (count(*) - 1) * 500 AS BIGINT) AS total_ms
             FROM {tracks_sql()} GROUP BY album_id""",
         "prepare_corpus": f"WITH {manifest_ctes(src, 2)} SELECT {manifest_columns} FROM manifest",
-        "prepare_corpus_from_pages": f"""WITH {manifest_ctes(
-            f"(SELECT conv_id AS doc_id, string_agg(coalesce(text, '') || {LF}, '' ORDER BY turn) AS text "
-            "FROM conversations GROUP BY conv_id)", 1)} SELECT {manifest_columns} FROM manifest""",
+        "prepare_corpus_from_pages": f"""WITH {manifest_ctes(page_texts, 1)} SELECT {manifest_columns} FROM manifest""",
     }

@@ -20,10 +20,12 @@ from voxloom.operators import sentences as st
 from voxloom.operators import subtitles as sb
 from voxloom.operators import timeline as tl
 from voxloom.plans import batch as bt
-from voxloom.plans.corpus import prepare_corpus, prepare_corpus_from_pages
+from voxloom.plans.corpus import merged_track, prepare_corpus, prepare_corpus_from_pages
+from voxloom.plans.counts import StageCounts
 from voxloom.functions.paths import file_name
 from voxloom.sources.files import decoded, read_listed, read_work_list, stream_directory, write_text_files
 from voxloom.sources.tables import read_table
+from voxloom.streaming.outcomes import stream_outcomes
 from voxloom.streaming.phrase_batches import read_phrase_batches, write_phrase_batches
 from voxloom.streaming.phrases import stream_phrases
 from voxloom.streaming.runs import new_run, run_available
@@ -195,17 +197,64 @@ def batch_requests(spark: SparkSession, sf: str) -> DataFrame:
     return _wide(bt.batch_requests(inputs.batch_files(spark, sf), rate=5, pitch=-5, key="doc_id"))
 
 
-def batch_report(spark: SparkSession, sf: str) -> DataFrame:
+def _reports(requests: DataFrame) -> DataFrame:
     """Of six requests one fails, one is not reported, and one succeeds in a second attempt."""
-    files = inputs.batch_files(spark, sf)
-    requests = bt.batch_requests(files, key="doc_id")
     r = F.pmod(F.col("doc_id") * 13 + F.col("cue_no"), F.lit(6))
     bad, good = F.lit("No audio was received."), F.lit(None).cast("string")
     tries = F.when(r == 1, F.array(bad)).when(r == 2, F.array(bad, good)).otherwise(F.array(good))
-    reported = requests.filter((F.col("kind") != "error") & (r != 3)).select(
-        "doc_id", "cue_no", F.explode(tries).alias("error")
-    )
-    return _wide(bt.batch_report(files, requests, reported, "mp3", generate_subtitles=True, key="doc_id"))
+    made = requests.filter((F.col("kind") != "error") & (r != 3))
+    return made.select("doc_id", "cue_no", F.posexplode(tries).alias("attempt", "error"))
+
+
+def batch_report(spark: SparkSession, sf: str) -> DataFrame:
+    files = inputs.batch_files(spark, sf)
+    requests = bt.batch_requests(files, key="doc_id")
+    return _wide(bt.batch_report(files, requests, _reports(requests), "mp3", generate_subtitles=True, key="doc_id"))
+
+
+def batch_report_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The same report; requests and reports come as streams, with times of their own, and a
+    last row of each far ahead, so that the watermark passes all others. Its keys are not null,
+    or the join would drop it before its time is seen."""
+    files = inputs.batch_files(spark, sf)
+    requests = bt.batch_requests(files, key="doc_id").select("doc_id", "cue_no", "kind", "error")
+    second = 3600 + F.col("cue_no") % 60
+    asked = requests.withColumn("requested_at", F.timestamp_seconds(second))
+    told = _reports(requests).withColumn("reported_at", F.timestamp_seconds(second + 5 + F.col("attempt"))).drop("attempt")
+    folder = f"{shared_dir(spark)}/reports-{uuid4()}"
+    streams = []
+    for name, rows, time in (("asked", asked, "requested_at"), ("told", told, "reported_at")):
+        end = spark.range(1).select(
+            *[F.lit({"kind": "end", "error": None}.get(c, -1)).cast(t).alias(c) for c, t in rows.dtypes if c != time],
+            F.timestamp_seconds(F.lit(1_000_000)).alias(time),
+        )
+        rows.write.parquet(f"{folder}/{name}")
+        end.write.mode("append").parquet(f"{folder}/{name}")
+        streams.append(spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 64).parquet(f"{folder}/{name}"))
+    made = stream_outcomes(*streams, wait="1 minute", late="2 minutes", key="doc_id")
+    outcomes = spark.read.schema(made.schema).parquet(run_available(made))
+    return _wide(bt.files_report(files, outcomes, "mp3", generate_subtitles=True, key="doc_id"))
+
+
+def merged_tracks(spark: SparkSession, sf: str) -> DataFrame:
+    """Pages to requests, their outcomes, and the audio files in the merged track of each document."""
+    requests = prepare_corpus_from_pages(inputs.whole_pages(spark, sf))
+    audio = F.concat(F.lit("mp3/"), F.col("doc_id").cast("string"), F.lit("/"), "audio_name")
+    failed = F.pmod(F.col("doc_id") * 31 + F.col("utt_no"), F.lit(7)) == 1
+    reported = requests.select(
+        "utt_id", F.when(~failed, audio).alias("audio"), F.lit(None).cast("string").alias("subtitle"),
+        F.when(failed, F.lit("No audio was received.")).alias("error"),
+    )
+    lengths = requests.select(audio.alias("path"), (F.length("text").cast("bigint") * 60).alias("duration_ms"))
+    return _wide(merged_track(requests, reported, lengths).drop("digits"))
+
+
+def prepare_corpus_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """What the stages of the flagship plan passed, counted in the run that makes the requests."""
+    counts = StageCounts()
+    made = prepare_corpus(inputs.texts(spark, sf), sentences_per_utterance=2, counts=counts)
+    made.write.format("noop").mode("overwrite").save()
+    return counts.table(spark)
 
 
 def _document_stream(spark: SparkSession, sf: str) -> DataFrame:
@@ -286,6 +335,9 @@ def all_queries() -> dict[str, Query]:
         "batch_summary_lines": _on_outcomes(mf.batch_summary_lines),
         "batch_requests": batch_requests,
         "batch_report": batch_report,
+        "batch_report_stream": batch_report_stream,
+        "merged_tracks": merged_tracks,
+        "prepare_corpus_counts": prepare_corpus_counts,
         "cue_skip_report": _on_cue_outcomes(lambda files, p, o: mf.cue_skip_report(sb.routed(files), p, o)),
         "placed_cues": _on_cue_outcomes(lambda files, p, o: mf.placed_cues(p, o)),
         "track_order": _on_tracks(tl.track_order),

@@ -60,10 +60,21 @@ def batch_requests(
     return made.filter((F.col("kind") != "cue") | (F.col("text") != ""))
 
 
-def batch_report(
+def outcomes_of(requests: DataFrame, reported: DataFrame, key: str = "file_no") -> DataFrame:
+    """key, cue_no, kind, error (null for a success): a row for each request.
+
+    reported has key, cue_no and error (null for a success); of repeated reports a success
+    counts. The join is on (key, cue_no), so a file of very many cues spreads.
+    """
+    results = reported.groupBy(key, "cue_no").agg(F.min(F.coalesce("error", F.lit(""))).alias("_result"))
+    joined = requests.select(key, "cue_no", "kind", "error").join(results, [key, "cue_no"], "left")
+    said = F.when(F.col("_result").isNull(), F.lit(NO_OUTCOME)).otherwise(F.nullif("_result", F.lit("")))
+    return joined.select(key, "cue_no", "kind", F.coalesce("error", said).alias("error"))
+
+
+def files_report(
     files: DataFrame,
-    requests: DataFrame,
-    reported: DataFrame,
+    outcomes: DataFrame,
     output_folder: str = "",
     generate_subtitles: bool = False,
     key: str = "file_no",
@@ -71,19 +82,15 @@ def batch_report(
 ) -> DataFrame:
     """A row for each file: requested and skipped cues, its audio and subtitle, or its error.
 
-    reported has key, cue_no and error (null for a success); of repeated reports a success
-    counts. A prose file fails with its request, reported or not. A cue that fails is skipped
-    and its file succeeds, also without any cue. Of files only key and path are read; the key
-    is unique. Reports and requests meet on (key, cue_no), and are counted before the shuffle
-    on the key, so a file of very many cues spreads.
+    outcomes is that of outcomes_of, or of the outcome stream. A prose file fails with its
+    request. A cue that fails is skipped and its file succeeds, also without any cue. Of files
+    only key and path are read; the key is unique. Outcomes are counted before the shuffle.
     """
-    results = reported.groupBy(key, "cue_no").agg(F.min(F.coalesce("error", F.lit(""))).alias("_result"))
-    joined = requests.select(key, "cue_no", "kind", "error").join(results, [key, "cue_no"], "left")
-    is_cue, result = F.col("kind") == "cue", F.coalesce("_result", F.lit(NO_OUTCOME))
-    counted = joined.groupBy(key).agg(
+    is_cue, failed = F.col("kind") == "cue", F.col("error").isNotNull()
+    counted = outcomes.groupBy(key).agg(
         F.count_if(is_cue).alias("requested"),
-        F.count_if(is_cue & (result != "")).alias("skipped"),
-        F.max(F.when(~is_cue, F.coalesce("error", F.when(result != "", result)))).alias("error"),
+        F.count_if(is_cue & failed).alias("skipped"),
+        F.max(F.when(~is_cue, F.col("error"))).alias("error"),
     )
     rows = files.select(key, F.col(path).alias("path")).join(counted, key, "left")
     target = base_name(F.col("path"))
@@ -99,3 +106,16 @@ def batch_report(
         subtitle.alias("subtitle"),
         "error",
     )
+
+
+def batch_report(
+    files: DataFrame,
+    requests: DataFrame,
+    reported: DataFrame,
+    output_folder: str = "",
+    generate_subtitles: bool = False,
+    key: str = "file_no",
+    path: str = "path",
+) -> DataFrame:
+    """files_report of what was reported for the requests."""
+    return files_report(files, outcomes_of(requests, reported, key), output_folder, generate_subtitles, key, path)

@@ -1,13 +1,16 @@
-"""Raw documents or pages -> synthesis requests."""
+"""Raw documents or pages -> synthesis requests -> outcomes -> the merged track."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from voxloom.operators.manifest import VOICE, synthesis_manifest
-from voxloom.operators.normalize import normalize
+from voxloom.operators.manifest import VOICE, batch_outcomes, output_files, synthesis_manifest
+from voxloom.operators.normalize import normalize, raw_line_count
 from voxloom.operators.pages import MAX_PAGES, utterances_from_pages
 from voxloom.operators.sentences import utterances
+from voxloom.operators.timeline import GAP_MS, track_timeline
+from voxloom.plans.counts import StageCounts, unwatched
 
 
 def prepare_corpus(
@@ -17,12 +20,24 @@ def prepare_corpus(
     voice: str = VOICE,
     key: str = "doc_id",
     text: str = "text",
+    rate: int = 0,
+    pitch: int = 0,
+    volume: int = 0,
+    generate_subtitles: bool = False,
+    counts: StageCounts | None = None,
 ) -> DataFrame:
-    """Documents -> normalised text -> utterances -> requests, without a shuffle."""
-    normalised = normalize(docs, key, text)
-    return synthesis_manifest(
-        utterances(normalised, sentences_per_utterance, prefix, key), voice, key=key
-    )
+    """Documents -> normalised text -> utterances -> requests, without a shuffle.
+
+    counts, if given, has the documents and their raw lines, the kept paragraphs, the
+    utterances, and the requests and those that cannot be made, when the result was written.
+    """
+    watch = counts.watch if counts else unwatched
+    docs = watch(docs, "documents", raw_lines=raw_line_count(F.col(text)))
+    kept = F.size(F.array_remove(F.split("text", "\n\n", -1), ""))
+    normalised = watch(normalize(docs, key, text), "normalised", paragraphs=kept)
+    made = watch(utterances(normalised, sentences_per_utterance, prefix, key), "utterances")
+    requests = synthesis_manifest(made, voice, rate, pitch, volume, generate_subtitles, key)
+    return watch(requests, "requests", failed=F.col("error").isNotNull().cast("int"))
 
 
 def prepare_corpus_from_pages(
@@ -34,9 +49,29 @@ def prepare_corpus_from_pages(
     page_no: str = "page_no",
     text: str = "text",
     max_pages: int = MAX_PAGES,
+    rate: int = 0,
+    pitch: int = 0,
+    volume: int = 0,
+    generate_subtitles: bool = False,
 ) -> DataFrame:
     """Pages -> documents -> normalised text -> utterances -> requests."""
     made = utterances_from_pages(
         pages, sentences_per_utterance, prefix, key, page_no, text, max_pages
     )
-    return synthesis_manifest(made, voice, key=key)
+    return synthesis_manifest(made, voice, rate, pitch, volume, generate_subtitles, key)
+
+
+def merged_track(
+    requests: DataFrame, reported: DataFrame, lengths: DataFrame, gap_ms: int = GAP_MS, key: str = "doc_id"
+) -> DataFrame:
+    """The batch's end: every document's audio files in the order of their numbers, with where
+    each one begins in the merged track.
+
+    reported is that of batch_outcomes; lengths has path and duration_ms of audio files. Only
+    files that the batch wrote are merged; one without a known length is left out, as a file
+    that is not there would be.
+    """
+    written = output_files(batch_outcomes(requests, reported, key), key).filter(F.col("place") == 0)
+    tracks = written.select(key, F.col("path").alias("file_name"))
+    known = lengths.select(F.col("path").alias("file_name"), "duration_ms")
+    return track_timeline(tracks.join(known, "file_name"), gap_ms, key)
