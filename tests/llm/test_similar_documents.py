@@ -75,6 +75,8 @@ def test_bands_find_pairs_at_the_threshold():
             a, b = np.unique(own[:size]), np.unique(np.concatenate([own[: size - other], own[size : size + other]]))
             assert near_dedup.jaccard(a, b) == 0.8
             assert (near_dedup.band_keys(a) == near_dedup.band_keys(b)).any()
+            one, two = (np.frombuffer(near_dedup.sketch(x), np.uint8) for x in (a, b))
+            assert (one != two).sum() <= near_dedup.sketch_distance(0.8)
 
 
 def test_large_group_of_varied_copies(spark):

@@ -20,7 +20,7 @@ __all__ = [
 ]
 
 # Texts are turned into Python strings in slices of about so many bytes.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 # A very long text is split into words in blocks of so many bytes.
 BLOCK_BYTES = 4 << 20

@@ -22,7 +22,9 @@ over the different shingles. A pair of similarity s shares a key with probabilit
 do not meet. Equal shingle sets are one node. In each bucket all pairs of fitting size are proposed,
 at growing distances in the bucket's order, and verified by the exact similarity; pairs that
 are already connected are not proposed again, so a large group of copies costs about one link
-for each.
+for each. Documents of a bucket have a sketch, a byte of the least value of SKETCH further
+functions: pairs whose sketches differ in clearly more bytes than the similarity allows are not
+proposed, which spares all but the narrow misses (about 0.72 to 0.8) the exact comparison.
 """
 
 from __future__ import annotations
@@ -43,7 +45,10 @@ from voxloom.operators.blocks import scope, small_side
 BUCKET_LIMIT = 1024  # larger buckets go one level deeper
 BANDS = 24
 ROWS = 4  # hash functions of a band
-SLICE = 2048  # shingles hashed by all functions at once
+SLICE = 512  # shingles hashed by all functions at once
+SKETCH = 1024
+DEVIATIONS = 4.5  # that a sketch may be off: 3 similar pairs in a million are lost
+HELD = 1 << 16  # with sketches, a bucket's rows are held back so far; they are left out beyond
 REACH = 16  # distances in a bucket grow so many times in each round
 LEVELS = (64, 32, 16)  # bits that are cut in two at each level
 
@@ -220,18 +225,39 @@ def shingle_set(text: str | None, words: int) -> np.ndarray:
     return np.unique(np.concatenate(made)) if made else np.zeros(0, np.uint64)
 
 
-_ODD = np.random.default_rng(17).integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+def _odd(seed: int, size: int) -> np.ndarray:
+    """Odd factors: multiplying by one, modulo 2**64, is a hash function of hashes."""
+    drawn = np.random.default_rng(seed).integers(0, 1 << 63, size, dtype=np.uint64)
+    return drawn * np.uint64(2) + np.uint64(1)
+
+
+_BAND_FACTORS, _SKETCH_FACTORS = _odd(17, BANDS * ROWS), _odd(18, SKETCH)
+
+
+def _least(shingles: np.ndarray, factors: np.ndarray) -> np.ndarray:
+    """The least value of each function over the shingles."""
+    least = np.full(len(factors), np.iinfo(np.uint64).max, np.uint64)
+    for s in range(0, len(shingles), SLICE):
+        np.minimum(least, (shingles[s : s + SLICE, None] * factors).min(axis=0), out=least)
+    return least
+
+
+def sketch(shingles: np.ndarray) -> bytes:
+    return (_least(shingles, _SKETCH_FACTORS) >> np.uint64(24)).astype(np.uint8).tobytes()
+
+
+def sketch_distance(similarity: float) -> int:
+    """Bytes in which the sketches of sets of that similarity differ, at most but for chance."""
+    share = (1 - similarity) * 255 / 256
+    return int(SKETCH * share + DEVIATIONS * (SKETCH * share * (1 - share)) ** 0.5)
 
 
 def band_keys(shingles: np.ndarray) -> np.ndarray:
     """A key (bigint) for each band of a set of shingle hashes; an empty set has none."""
     if not len(shingles):
         return np.zeros(0, np.int64)
-    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
-    for s in range(0, len(shingles), SLICE):
-        np.minimum(least, (shingles[s : s + SLICE, None] * _ODD).min(axis=0), out=least)
     keys = np.arange(BANDS, dtype=np.uint64)
-    for row in least.reshape(BANDS, ROWS).T:
+    for row in _least(shingles, _BAND_FACTORS).reshape(BANDS, ROWS).T:
         keys = mixed(keys * np.uint64(0x9FB21C651E98DF25) + row, 1)
     return keys.view(np.int64)
 
@@ -306,8 +332,10 @@ def _linked(
                 own = settle(_shared_keys(settle(own), near))
                 if own.isEmpty():
                     return found
-            ordered = own.select("key", "size", "node", "component").repartition("key")
-            ordered = ordered.sortWithinPartitions("key", "size", "node")
+            ordered = own.select("key", "size", "node", "component")
+            if far <= HELD:
+                ordered = ordered.join(sets.select("node", "sketch"), "node")
+            ordered = ordered.repartition("key").sortWithinPartitions("key", "size", "node")
             proposed = ordered.mapInArrow(_reach_scan(near, far, similarity), "a bigint, b bigint")
             made = settle(_verified(sets, proposed.distinct(), similarity))
             if found is not None:
@@ -330,16 +358,20 @@ def _shared_keys(index: DataFrame, above: int) -> DataFrame:
 
 def _reach_scan(near: int, far: int, similarity: float):
     """Pairs of a bucket (rows sorted by key and size) that are near to far - 1 rows apart, of
-    different components, and of sizes that can be similar enough."""
+    different components, of sizes and sketches that can be similar enough."""
+    most = sketch_distance(similarity)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
         for batch in batches:
             rows = _columns(batch, ["key", "size", "node", "component"])
+            if "sketch" in batch.schema.names:
+                bodies = batch.column(batch.schema.get_field_index("sketch")).to_pylist()
+                rows.append(np.frombuffer(b"".join(bodies), np.uint8).reshape(len(bodies), SKETCH))
             before = len(held[0]) if held else 0
             if held:
                 rows = [np.concatenate(c) for c in zip(held, rows, strict=True)]
-            key, size, node, component = rows
+            key, size, node, component = rows[:4]
             here = np.arange(before, len(key))
             for lag in range(near, far):
                 here = here[here >= lag]
@@ -349,34 +381,45 @@ def _reach_scan(near: int, far: int, similarity: float):
                 here, other = here[fits], other[fits]
                 if not len(here):
                     break
-                pick = component[here] != component[other]
-                if pick.any():
+                pick = np.flatnonzero(component[here] != component[other])
+                for s in range(0, len(pick) if len(rows) > 4 else 0, 4096):
+                    some = pick[s : s + 4096]
+                    apart = (rows[4][here[some]] != rows[4][other[some]]).sum(axis=1)
+                    pick[s : s + 4096] = np.where(apart <= most, some, -1)
+                pick = pick[pick >= 0]
+                if len(pick):
                     a, b = node[here[pick]], node[other[pick]]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], ["a", "b"]
                     )
             held = [c[max(0, len(key) - far + 1) :] for c in rows]
+            last = np.searchsorted(held[0], held[0][-1]) if len(held[0]) else 0
+            held = [c[last:] for c in held]
 
     return run
 
 
 def _sets(rows: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
-    """node, shingles: the sorted sets of shingle hashes of these nodes (node, _hash, _rows).
+    """node, shingles, sketch: the sorted sets of shingle hashes of these nodes (node, _hash, _rows).
 
     A key of several rows has one text of that hash, maybe more than once: it is reduced to one
     row first, which keys of one row need not.
     """
 
     def make():
-        return lambda texts: [[shingle_set(t, words).tobytes() for t in texts]]
+        def both(texts):
+            sets = [shingle_set(t, words) for t in texts]
+            return [s.tobytes() for s in sets], [sketch(s) for s in sets]
+
+        return both
 
     wanted, _ = small_side(settle(nodes))
     hashed = rows.withColumn("_hash", F.xxhash64("_text"))
     involved = hashed.join(wanted.withColumnRenamed("node", "_key"), ["_key", "_hash"])
     repeated = involved.filter("_rows > 1").groupBy("_key").agg(F.max("_text").alias("_text"))
     involved = involved.filter("_rows = 1").select("_key", "_text").unionByName(repeated)
-    made = columns_from_text(involved, "_text", "shingles binary", make)
-    return settle(made.select(F.col("_key").alias("node"), "shingles"))
+    made = columns_from_text(involved, "_text", "shingles binary, sketch binary", make)
+    return settle(made.select(F.col("_key").alias("node"), "shingles", "sketch"))
 
 
 def _verified(sets: DataFrame, links: DataFrame, similarity: float) -> DataFrame:

@@ -32,7 +32,8 @@ from voxloom.llm.common import columns_from_text
 CHUNK = 1 << 16  # code points
 OVERLAP = 1 << 10
 MARGIN = 64
-CACHE_PIECES = 500_000  # in each of two generations
+CACHE_PIECES = 150_000  # in each of two generations
+CACHE_WORDS = 300_000
 LONG_PIECE = 256  # longer pieces are not kept
 LIMIT = 2048
 SPACES = "\t\n\v\f\r "
@@ -122,7 +123,7 @@ class Encoder:
         new: dict[bytes, bytes] = {}
         plain, parts = [], []
         if self.by_words:
-            if len(self.words) > CACHE_PIECES:
+            if len(self.words) > CACHE_WORDS:
                 self.words = {}
             for piece in pieces:
                 match = _WORD.fullmatch(piece)
