@@ -201,6 +201,17 @@ def test_decontamination_recall(length, share):
     assert found >= (80 if not share else 76)
 
 
+def test_language_rejects_only_with_evidence(spark):
+    """A long text in a script no label has goes; a short one, and a short known one, stays."""
+    en = "the quick brown fox jumps over the lazy dog and runs through the green fields of home "
+    rng = np.random.default_rng(4)
+    other = " ".join("".join(chr(0x4E00 + x) for x in rng.integers(0, 20000, 5)) for _ in range(60))
+    rows = [(1, en * 9, "en"), (2, "Avec.", None), (3, other, None), (4, other[:11], None), (5, "12 !", None)]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    assert {r[0] for r in language.identified(table).collect()} >= {1, 2, 4}
+    assert 5 not in {r[0] for r in language.identified(table).collect()}
+
+
 def test_language(docs, none):
     known = language.profiles(docs)
     rows = language.predict(docs, known).collect()

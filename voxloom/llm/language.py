@@ -27,7 +27,10 @@ SYMBOLS = 64
 SEED = 11
 PIECE_CHARS = 1 << 20
 UNKNOWN = "und"
-MIN_SCORE = 0.1  # below it the pipeline rejects a document
+# The pipeline rejects a text of so many different trigrams whose cosine is within what chance
+# gives, so many deviations of 1 / sqrt(DIMENSIONS). Fewer trigrams are no evidence, they stay.
+MIN_TRIGRAMS = 40
+CHANCE = 2.5
 BINS = SYMBOLS**3
 
 
@@ -149,10 +152,12 @@ def _unit(v: np.ndarray) -> np.ndarray:
 
 def predict(
     docs: DataFrame, prototypes: dict[str, np.ndarray], text: str = "text",
-    label: str = "lang_pred", score: str = "score",
+    label: str = "lang_pred", score: str = "score", size: str | None = None,
 ) -> DataFrame:
     """docs with a language and a score from 0 to 1 (the cosine, negative ones as 0).
 
+    size names a further column, if one is wanted: the number of different trigrams.
+
     Null texts and texts without a letter are "und" with score 0, and so is everything if no
     language was learnt. Equal cosines go to the first language by code point. Rows and other
     columns stay; an input column with the name of a result is replaced.
@@ -162,9 +167,10 @@ def predict(
 
     def make():
         def languages(texts):
-            labels, scores = [], []
+            labels, scores, sizes = [], [], []
             for t in texts:
                 codes, counts = trigrams(t)
+                sizes.append(len(codes))
                 vector = bundle(codes, counts) if len(codes) and names else None
                 if vector is None:
                     labels.append(UNKNOWN)
@@ -174,21 +180,25 @@ def predict(
                 best = int(cosine.argmax())
                 labels.append(names[best])
                 scores.append(float(np.clip(cosine[best], 0, 1)))
-            return labels, scores
+            return (labels, scores, sizes) if size else (labels, scores)
 
         return languages
 
-    return columns_from_text(docs, text, f"{label} string, {score} double", make)
+    fields = f"{label} string, {score} double" + (f", {size} int" if size else "")
+    return columns_from_text(docs, text, fields, make)
 
 
-def identified(docs: DataFrame, text: str = "text", lang: str = "lang", min_score: float = MIN_SCORE) -> DataFrame:
+def identified(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
     """docs without those that have no letter or resemble no language that docs label.
 
-    If no row has a language nothing can be learnt, and only texts without letters go.
+    A text resembles none if it has MIN_TRIGRAMS different trigrams and yet no better score than
+    chance gives; shorter texts in doubt stay. If no row has a language nothing can be learnt,
+    and only texts without letters go.
     """
-    label, score = free_name(docs, "_lang_pred"), free_name(docs, "_lang_score")
+    label, score, size = (free_name(docs, name) for name in ("_lang_pred", "_lang_score", "_lang_size"))
     known = profiles(docs, text, lang)
     if not known:
         return docs.filter(F.col(text).rlike(r"\p{L}"))
-    judged = predict(docs, known, text, label, score)
-    return judged.filter((F.col(label) != UNKNOWN) & (F.col(score) >= min_score)).drop(label, score)
+    judged = predict(docs, known, text, label, score, size)
+    like = (F.col(score) >= CHANCE / DIMENSIONS**0.5) | (F.col(size) < MIN_TRIGRAMS)
+    return judged.filter((F.col(label) != UNKNOWN) & like).drop(label, score, size)
