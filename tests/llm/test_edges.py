@@ -129,6 +129,10 @@ def test_warc(spark, tmp_path):
          (0, "response", None, 1500), (6, "response", None, 1500), (6, "response", None, 1500), (5, "revisit", 6, 1500),
          (7, "response", None, 999), (8, "response", None, 999)]
     )
+    dated = warc.write_archives(pages, str(tmp_path / "d"), date="2024-01-31T00:00:00Z").first()
+    first, second, *_ = warc.read_frames(dated.file)
+    assert b"WARC-Type: warcinfo\r\n" in first and b"WARC-Type: " in second
+    assert all(b"\r\nWARC-Date: 2024-01-31T00:00:00Z\r\n" in r for r in (first, second))
     row = index.filter("page_id = 4").first()
     assert warc.read_record(row.file, row.offset, row.length)[-1].decode() == "é" * 600
     assert warc.read_archives(warc.write_archives(pages.limit(0), str(tmp_path / "e"))).count() == 0

@@ -194,7 +194,8 @@ def scored(
     Only rows for which learn_from (a column over key) is true give labels. Trees are grown on
     them, except those for which fold (a column over key) is true: these give the isotonic
     map from the trees' probability to the share of label 1. Null labels and labels without a
-    document are left out; of several labels of an id the largest counts. Null texts are
+    document are left out; of several labels of an id the largest counts, of several texts of a
+    labelled id that with the least features is learnt from (all are scored). Null texts are
     empty; they get a score like any other. If the labels have one class (or none), the score
     is that class (or 0) for all. Rows with a null key are scored too. Rows stay.
     """
@@ -215,8 +216,10 @@ def scored(
         F.when(held, F.col(f"{f}_2")).when(half == 0, F.col(f"{f}_1")).otherwise(F.col(f"{f}_0")).alias(f)
         for f in LEARNT
     ]
-    pool = known.filter(learn).join(truth, "_key").dropDuplicates(["_key"])
-    pool = pool.select("_key", "label", *FEATURES, *other)
+    pool = known.filter(learn).join(truth, "_key").select("_key", "label", *FEATURES, *other)
+    # Of several texts of an id the one with the least features stands, so reruns agree.
+    rest = [c for c in pool.columns if c != "_key"]
+    pool = pool.groupBy("_key").agg(F.min(F.struct(*rest)).alias("_one")).select("_key", "_one.*")
     known = known.select("_key", *FEATURES, *everything)
     assembler = VectorAssembler(inputCols=list(INPUTS), outputCol="features")
     pool = settle(assembler.transform(pool))

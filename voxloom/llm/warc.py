@@ -25,9 +25,10 @@ from voxloom.llm.common import one_task_each, open_input, open_output, settle, s
 # Fixed values of the formats.
 DICTIONARY_MAGIC = 0x184D2A5D
 FRAME_MAGIC = b"\x28\xb5\x2f\xfd"
-RESPONSE_TYPE, REVISIT_TYPE = "response", "revisit"
+RESPONSE_TYPE, REVISIT_TYPE, INFO_TYPE = "response", "revisit", "warcinfo"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
+DATE = "1970-01-01T00:00:00Z"  # of records whose caller names none
 MIN_REVISIT_BYTES = 1000
 DICTIONARY_BYTES = 64 << 10
 SAMPLE_RECORDS, SAMPLE_BYTES = 2000, 8 << 10  # of the dictionary's sample; 32 MB at most
@@ -74,13 +75,27 @@ def _header(fields: list[tuple[str, object]]) -> bytes:
     return f"WARC/1.1\r\n{lines}\r\n".encode()
 
 
-def make_record(page_id, url, payload: bytes, digest: str, refers_to: int | None) -> bytes:
+def make_info(date: str) -> bytes:
+    """The record that an archive begins with."""
+    body = b"format: WARC File Format 1.1\r\n"
+    fields = [
+        ("WARC-Type", INFO_TYPE),
+        ("WARC-Record-ID", f"<{uuid4().urn}>"),
+        ("WARC-Date", date),
+        ("Content-Type", "application/warc-fields"),
+        ("Content-Length", len(body)),
+    ]
+    return _header(fields) + body + b"\r\n\r\n"
+
+
+def make_record(page_id, url, payload: bytes, digest: str, refers_to: int | None, date: str = DATE) -> bytes:
     """One WARC record; a revisit has no body."""
     revisit = refers_to is not None
     body = b"" if revisit else payload
     fields = [
         ("WARC-Type", REVISIT_TYPE if revisit else RESPONSE_TYPE),
         ("WARC-Record-ID", record_id(page_id)),
+        ("WARC-Date", date),
         ("WARC-Target-URI", None if url is None else url.replace("\r", "%0D").replace("\n", "%0A")),
         ("WARC-Payload-Digest", f"sha1:{digest}"),
         ("WARC-Payload-Length", len(payload)),
@@ -129,10 +144,13 @@ def revisits(pages: DataFrame, page_id: str, html: str, least: int = MIN_REVISIT
 
 
 def write_archives(
-    pages: DataFrame, folder: str, page_id: str = "page_id", url: str = "url", html: str = "html"
+    pages: DataFrame, folder: str, page_id: str = "page_id", url: str = "url", html: str = "html", date: str = DATE
 ) -> DataFrame:
     """Write a record for each row of pages; returns the written index (INDEX), a row each.
 
+    date (UTC, as 2024-01-31T00:00:00Z) is that of all records, since pages have none of their
+    own; a fixed one, so that records do not differ between runs.
+
     Null html is an empty payload, null urls have no target. Of rows with equal payloads of
     at least 1000 bytes, those with the largest id are responses and the others revisits; rows
     with a null id are responses. An empty table writes no archive. Other columns are left out.
@@ -157,9 +175,9 @@ def write_archives(
                     if archive is None or archive.at >= ARCHIVE_BYTES:
                         if archive:
                             archive.close()
-                        archive = _Archive(f"{folder}/pages-{uuid4()}.warc.zst", dictionary)
+                        archive = _Archive(f"{folder}/pages-{uuid4()}.warc.zst", dictionary, date)
                     record = make_record(
-                        row["page_id"], row["url"], row["html"].encode(), row["digest"], row["refers_to"]
+                        row["page_id"], row["url"], row["html"].encode(), row["digest"], row["refers_to"], date
                     )
                     made.append((row["page_id"], archive.uri, *archive.add(record)))
                 yield pa.RecordBatch.from_pylist(
@@ -175,10 +193,11 @@ def write_archives(
 
 
 class _Archive:
-    def __init__(self, uri: str, dictionary: bytes):
+    def __init__(self, uri: str, dictionary: bytes, date: str):
         self.uri, self.at, self.out = uri, 0, open_output(uri)
         self._put(struct.pack("<II", DICTIONARY_MAGIC, len(dictionary)) + dictionary)
         self.compressor = zstandard.ZstdCompressor(level=LEVEL, dict_data=_dictionary(dictionary))
+        self.add(make_info(date))
 
     def _put(self, data: bytes) -> tuple[int, int]:
         start = self.at
@@ -235,6 +254,8 @@ def read_archives(files: DataFrame, file: str = "file") -> DataFrame:
             for uri in batch.column(0).to_pylist():
                 held, size = [], 0
                 for data in read_frames(uri):
+                    if f"\r\nWARC-Type: {INFO_TYPE}\r\n".encode() in data[:64]:
+                        continue
                     held.append(parse_record(data))
                     size += len(data)
                     if size >= 4 << 20:
