@@ -2,10 +2,14 @@
 
 import random
 import time
+from pathlib import Path
+
+from pyspark.sql import functions as F
 
 from checks import fixtures as fx
 from tests.test_groups import random_words, rows_of
 from voxloom.operators import phrases as ph
+from voxloom.operators.blocks import shared_dir
 from voxloom.operators.normalize import normalize
 from voxloom.operators.sentences import utterances
 from voxloom.streaming.phrase_batches import read_phrase_batches, write_phrase_batches
@@ -48,6 +52,27 @@ def test_phrase_batches_in_any_order_of_arrival(spark, tmp_path):
         assert rows_of(read_phrase_batches(spark, out)) == rows_of(ph.phrases(words))
 
 
+def test_phrase_batches_time_out_and_leave_no_tables(spark, tmp_path):
+    """A word that never comes holds the rest only so long; state folders stay two."""
+    words = fx.frame(spark, fx.F4, fx.F4_SCHEMA)
+    source, out = str(tmp_path / "in"), tmp_path / "out"
+    shared = Path(shared_dir(spark))
+    before = {p.name for p in shared.iterdir() if p.name.startswith("settled")}
+    words.filter("seq <> 3").coalesce(1).write.mode("append").parquet(source)
+    other = words.withColumn("utt_id", F.lit("other"))
+    stream = stream_of(spark, words, source)
+    write_phrase_batches(stream, str(out), timeout_ms=1).awaitTermination()
+    for seq in range(4):
+        time.sleep(0.05)
+        other.filter(F.col("seq") == seq).coalesce(1).write.mode("append").parquet(source)
+        write_phrase_batches(stream, str(out), timeout_ms=60_000 if seq else 1).awaitTermination()
+    found = read_phrase_batches(spark, str(out)).filter("utt_id = 'f4'")
+    kept = words.filter("seq <> 3")
+    assert sorted(r.text for r in found.collect()) == sorted(r.text for r in ph.phrases(kept).collect())
+    assert len(list((out / "state").iterdir())) == 2
+    assert {p.name for p in shared.iterdir() if p.name.startswith("settled")} == before
+
+
 def test_restart_goes_on_where_it_stopped(spark, tmp_path):
     words = fx.frame(spark, fx.F4, fx.F4_SCHEMA)
     source, out = str(tmp_path / "in"), str(tmp_path / "out")

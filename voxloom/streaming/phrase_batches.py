@@ -6,11 +6,17 @@ Parquet table in the shared folder: words of open phrases, words before their tu
 one progress row per utterance.
 
 Folders are named by the batch number and replaced as a whole, so a repeated batch
-writes the same rows again.
+writes the same rows again. The state before the previous one and all tables of a batch are
+removed, so the folders of an endless stream do not pile up.
+
+With a timeout, an utterance that got no word for so long is closed as it is, gaps and all. That
+happens in the next micro-batch, whatever it brings; without new words there is none.
 """
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -18,7 +24,9 @@ from pyspark.sql.streaming import StreamingQuery
 from voxloom.operators.blocks import (
     MAX_GROUP_ROWS,
     position_block,
+    remove,
     running_totals,
+    scope,
     settle,
     small_side,
 )
@@ -26,7 +34,7 @@ from voxloom.operators.phrases import MAX_WORDS, ends_in_punctuation, group_word
 
 _WORDS = (
     "utt_id string, seq bigint, word string, offset_ticks bigint, duration_ticks bigint, "
-    "is_last boolean"
+    "is_last boolean, since_ms bigint"
 )
 _PROGRESS = "utt_id string, first_seq bigint, first_phrase bigint, done boolean"
 PHRASES = "utt_id string, phrase_no bigint, start_ms double, end_ms double, text string"
@@ -56,6 +64,25 @@ def _in_turn(words: DataFrame, progress: DataFrame, block_rows: int) -> DataFram
     return running_totals(blocked, "utt_id", ["at"], {"before": F.lit(1)}).drop("_block")
 
 
+def _timed_out(placed: DataFrame, limit_ms: int | None) -> DataFrame:
+    """The words of utterances whose latest word came before the limit count as the next ones,
+    and the last of them as the utterance's last."""
+    if limit_ms is None:
+        return placed
+    idle = placed.groupBy("utt_id").agg(F.max("since_ms").alias("_came"), F.max("before").alias("_end"))
+    idle, found = small_side(settle(idle.filter(F.col("_came") < limit_ms).drop("_came")))
+    if not found:
+        return placed
+    closed = F.col("_end").isNotNull()
+    rows = placed.join(idle, "utt_id", "left").withColumns(
+        {
+            "at": F.when(closed, F.col("before")).otherwise(F.col("at")),
+            "is_last": F.when(closed, F.col("before") == F.col("_end")).otherwise(F.col("is_last")),
+        }
+    )
+    return settle(rows.drop("_end"))
+
+
 def _mark_open(ready: DataFrame, block_rows: int) -> DataFrame:
     """Words in turn with their phrase, and whether that phrase can still grow."""
     rows = settle(with_breaks(ready.withColumn("seq", F.col("at")), block_rows))
@@ -74,10 +101,18 @@ def _mark_open(ready: DataFrame, block_rows: int) -> DataFrame:
     return settle(rows.join(growing, "utt_id", "left").withColumn("is_open", is_open))
 
 
-def _run_batch(batch: DataFrame, batch_id: int, path: str, block_rows: int) -> None:
+def _run_batch(batch: DataFrame, batch_id: int, path: str, block_rows: int, timeout_ms: int | None) -> None:
+    spark, now = batch.sparkSession, time.time_ns() // 1_000_000
+    with scope(spark):
+        _write_batch(batch.withColumn("since_ms", F.lit(now)), batch_id, path, block_rows, timeout_ms and now - timeout_ms)
+    remove(spark, f"{path}/state/{batch_id - 2}")
+
+
+def _write_batch(batch: DataFrame, batch_id: int, path: str, block_rows: int, limit_ms: int | None) -> None:
     waiting, progress = _state(batch.sparkSession, path, batch_id - 1)
     columns = waiting.columns
     placed = settle(_in_turn(batch.select(*columns).unionByName(waiting), progress, block_rows))
+    placed = _timed_out(placed, limit_ms)
     rows = _mark_open(placed.filter("before = at").drop("before"), block_rows)
     closed = rows.filter(~F.col("is_open")).withColumn(
         "phrase_no", F.col("first_phrase") + F.col("phrase_no")
@@ -109,7 +144,7 @@ def _run_batch(batch: DataFrame, batch_id: int, path: str, block_rows: int) -> N
 
 
 def write_phrase_batches(
-    words: DataFrame, path: str, block_rows: int = MAX_GROUP_ROWS, **trigger: object
+    words: DataFrame, path: str, block_rows: int = MAX_GROUP_ROWS, timeout_ms: int | None = None, **trigger: object
 ) -> StreamingQuery:
     """Start writing phrases to ``path/rows``; read them with ``read_phrase_batches``.
 
@@ -126,7 +161,7 @@ def write_phrase_batches(
     )
     return (
         rows.writeStream.foreachBatch(
-            lambda batch, batch_id: _run_batch(batch, batch_id, path, block_rows)
+            lambda batch, batch_id: _run_batch(batch, batch_id, path, block_rows, timeout_ms)
         )
         .option("checkpointLocation", f"{path}/_progress")
         .trigger(**(trigger or {"availableNow": True}))
