@@ -32,8 +32,8 @@ from voxloom.llm.common import columns_from_text
 CHUNK = 1 << 16  # code points
 OVERLAP = 1 << 10
 MARGIN = 64
-CACHE_PIECES = 150_000  # in each of two generations
-CACHE_WORDS = 300_000
+CACHE_PIECES = 300_000  # in each of two generations
+CACHE_WORDS = 250_000  # as well
 LONG_PIECE = 256  # longer pieces are not kept
 LIMIT = 2048
 SPACES = "\t\n\v\f\r "
@@ -80,6 +80,7 @@ class Encoder:
         self.cache: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
         self.words: dict[bytes, bytes] = {}
+        self.older_words: dict[bytes, bytes] = {}
         whole = [self._encode(p)[0].tolist() for p in PROBES]
         self.by_pieces = whole == [self._ids(p.encode().split()) for p in PROBES]
         some = ("Word", "aBc", "LL", "s", "\u00c9t\u00c9", "a\u00df")
@@ -124,16 +125,17 @@ class Encoder:
         plain, parts = [], []
         if self.by_words:
             if len(self.words) > CACHE_WORDS:
-                self.words = {}
+                self.words, self.older_words = {}, self.words
             for piece in pieces:
                 match = _WORD.fullmatch(piece)
                 if match and len(piece) <= LONG_PIECE:
                     parts.append((piece, match[1].lower(), match[2]))
                 else:
                     plain.append(piece)
-            unknown = {w for _, word, mark in parts for w in (word, mark) if w and w not in self.words}
-            self.words.update(self._encode_apart(list(unknown)))
-            words = self.words
+            words, older = self.words, self.older_words
+            unknown = {w for _, word, mark in parts for w in (word, mark) if w and w not in words}
+            words.update((w, older[w]) for w in unknown & older.keys())
+            words.update(self._encode_apart([w for w in unknown if w not in words]))
             for piece, word, mark in parts:
                 new[piece] = words[word] + words[mark] if mark else words[word]
         else:
