@@ -13,6 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from checks.compare import connect, difference
 from voxloom.llm import licenses, periodic, prefix_trie
 
 SF = "/root/testdata/sf0.01"
@@ -240,7 +241,9 @@ def test_op13(spark):
     lists = loop_lists(data)
     heads = {c: zlib.crc32(str(c).encode()) % 4 for c in lists}
     rebuilt = {c: lists.get(c - c % 20, [])[: heads[c]] + s[heads[c] :] for c, s in lists.items()}
-    assert collected(entry.queries()["op13_conversation_trie"](spark, SF)) == loop_nodes(rebuilt)
+    made = entry.queries()["op13_conversation_trie"](spark, SF)
+    assert collected(made) == loop_nodes(rebuilt)
+    assert difference(connect(SF), entry.oracle_sql()["op13_conversation_trie"], made) is None
 
 
 TURNS = [
