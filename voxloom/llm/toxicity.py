@@ -139,7 +139,7 @@ def learnt_lexicons(labelled: DataFrame) -> dict[str, int]:
                 for text, label, half in zip(*[c.to_pylist() for c in part.columns], strict=True):
                     words = {w.strip(STRIP).lower() for w in (text or "").split()}
                     terms = {t for w in words if len(w) > BEGINNING for t in terms_of(w)} | words
-                    for term in [*terms, ""]:  # "" counts the texts
+                    for term in terms | {""}:  # "" counts the texts, each once
                         sums[term][2 * half + int(label)] += 1
                 if sums:
                     columns = [list(sums), *zip(*sums.values(), strict=True)]
