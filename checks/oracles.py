@@ -433,5 +433,6 @@ def all_sql() -> dict[str, str]:
             CAST(sum(duration_ms) + (count(*) - 1) * 500 AS BIGINT) AS total_ms
             FROM {tracks_sql()} GROUP BY album_id""",
         "prepare_corpus": f"WITH {manifest_ctes(src, 2)} SELECT {manifest_columns} FROM manifest",
+        "prepare_corpus_from_chunks": f"WITH {manifest_ctes(src, 2)} SELECT {manifest_columns} FROM manifest",
         "prepare_corpus_from_pages": f"""WITH {manifest_ctes(page_texts, 1)} SELECT {manifest_columns} FROM manifest""",
     }

@@ -20,7 +20,7 @@ from voxloom.operators import sentences as st
 from voxloom.operators import subtitles as sb
 from voxloom.operators import timeline as tl
 from voxloom.plans import batch as bt
-from voxloom.plans.corpus import merged_track, prepare_corpus, prepare_corpus_from_pages
+from voxloom.plans.corpus import merged_track, prepare_corpus, prepare_corpus_from_chunks, prepare_corpus_from_pages
 from voxloom.plans.counts import StageCounts
 from voxloom.functions.paths import file_name
 from voxloom.sources.files import decoded, read_listed, read_work_list, stream_directory, write_text_files
@@ -291,6 +291,15 @@ def corpus_from_pages(spark: SparkSession, sf: str) -> DataFrame:
     return _wide(prepare_corpus_from_pages(inputs.whole_pages(spark, sf)))
 
 
+def corpus_from_chunks(spark: SparkSession, sf: str) -> DataFrame:
+    """Every text in chunks of 97 characters; texts of more than 16 pages are never put together."""
+    texts = inputs.texts(spark, sf)
+    cuts = F.sequence(F.lit(0), F.length("text"), F.lit(97))
+    chunks = texts.select("doc_id", "text", F.posexplode(cuts).alias("chunk_no", "cut"))
+    chunks = chunks.select("doc_id", "chunk_no", F.substring("text", F.col("cut") + 1, F.lit(97)).alias("text"))
+    return _wide(prepare_corpus_from_chunks(chunks, max_pages=16, sentences_per_utterance=2))
+
+
 def all_queries() -> dict[str, Query]:
     return {
         "work_list_union": work_list_union,
@@ -345,4 +354,5 @@ def all_queries() -> dict[str, Query]:
         "album_length": _on_tracks(tl.album_length),
         "prepare_corpus": corpus,
         "prepare_corpus_from_pages": corpus_from_pages,
+        "prepare_corpus_from_chunks": corpus_from_chunks,
     }

@@ -126,6 +126,19 @@ def test_assembled_parts_joined_are_the_text(spark, sf_dir):
     assert halves == whole and more > parts
 
 
+@pytest.mark.parametrize("size", [1, 3, 50])
+def test_pages_of_chunks_are_the_text(spark, size):
+    texts = {1: "a\nbb\n\nccc", 2: "no feed at all", 3: "", 4: "\n\n", 5: "x\r\ny\rz\n", 6: "tail\n" * 40}
+    rows = [(d, n, t[s : s + size]) for d, t in texts.items() for n, s in enumerate(range(0, max(1, len(t)), size))]
+    chunks = spark.createDataFrame([*rows, (6, 10_000, None)], "doc_id bigint, chunk_no int, text string")
+    pages = {}
+    for r in pg.pages_of_chunks(chunks, block_rows=7).orderBy("doc_id", "page_no").collect():
+        pages.setdefault(r.doc_id, []).append((r.page_no, r.text))
+    for d, t in texts.items():
+        assert [n for n, _ in pages[d]] == list(range(len(pages[d])))
+        assert "\n".join(x for _, x in pages[d]) == t or "\n".join(x for _, x in pages[d]) + "\n" == t
+
+
 def test_timeline_golden(spark):
     rows = tl.track_timeline(fx.frame(spark, fx.F6, fx.F6_SCHEMA)).collect()
     found = {r.file_name: (r.number, r.position, r.start_ms) for r in rows}

@@ -183,3 +183,22 @@ def test_directory_stream(spark, folder):
     query.stop()
     batch = sorted(map(tuple, fl.read_directory(spark, str(folder)).collect()))
     assert len(batch) == 5 and sorted(map(tuple, spark.read.parquet(target).collect())) == batch
+
+
+def test_chunks_of_files(spark, folder):
+    """Cut between characters wherever a cut falls; a large file has many tasks."""
+    text = "த😀é a\r\n" * 500
+    (folder / "big.txt").write_bytes(text.encode())
+    (folder / "empty.txt").write_bytes(b"")
+    names = ["big.txt", "gone.txt", "empty.txt", "bad.txt", "big.txt"]
+    for size in (4, 5, 1001):
+        frame = fl.read_chunks(spark, [f"{folder}/{n}" for n in names], size)
+        rows = sorted(frame.collect(), key=lambda r: (r.position, r.chunk_no))
+        for position in (0, 4):
+            own = [r for r in rows if r.position == position]
+            assert "".join(r.text for r in own) == text and [r.chunk_no for r in own] == list(range(len(own)))
+        assert [(r.text, r.error) for r in rows if r.position in (1, 2)] == [
+            (None, f"Failed to process file: {folder}/gone.txt"), ("", None)
+        ]
+        assert any(r.error for r in rows if r.position == 3)
+    assert frame.rdd.getNumPartitions() > 10

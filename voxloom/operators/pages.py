@@ -50,6 +50,41 @@ def assemble_pages(
     return rows.groupBy(key, "part_no").agg(joined.alias(text))
 
 
+def pages_of_chunks(
+    chunks: DataFrame,
+    key: str = "doc_id",
+    chunk_no: str = "chunk_no",
+    text: str = "text",
+    block_rows: int = MAX_PAGES,
+) -> DataFrame:
+    """Chunks of a text, cut anywhere, as pages (key, page_no, text) that end where lines end.
+
+    What stands before a chunk's first line feed belongs to the page of the chunk before it, so
+    a chunk passes on its beginning, and one without a line feed all of itself. A page's number
+    is that of the line feeds' chunks before it, a running total, so a text of any number of
+    chunks is spread over tasks; a page holds about one chunk, or one line if that is longer.
+    Null chunks are empty. Pages joined by line feeds are the text.
+    """
+    body = F.coalesce(F.col(text), F.lit(""))
+    rows = chunks.select(key, F.col(chunk_no).alias("_chunk"), body.alias("_body"), F.instr(body, "\n").alias("_feed"))
+    rows = settle(rows.withColumn("_block", position_block("_chunk", block_rows)))
+    numbered = running_totals(
+        rows, key, ["_chunk"], {"_page": F.when(F.col("_feed") > 0, 1).otherwise(0)}
+    )
+    head = F.when(F.col("_feed") > 0, F.left("_body", F.col("_feed"))).otherwise(F.col("_body"))
+    rest = F.substring("_body", F.col("_feed") + 1, F.length("_body"))
+
+    def piece(page: Column, part: int, value: Column) -> Column:
+        return F.struct(page.alias("page_no"), F.lit(part).alias("part"), value.alias("piece"))
+
+    first, second = piece(F.col("_page"), 0, head), piece(F.col("_page") + 1, 1, rest)
+    both = F.when(F.col("_feed") > 0, F.array(first, second)).otherwise(F.array(first))
+    pieces = numbered.select(key, "_chunk", F.explode(both).alias("p")).select(key, "_chunk", "p.*")
+    in_order = F.sort_array(F.collect_list(F.struct("_chunk", "part", "piece"))).getField("piece")
+    joined = pieces.groupBy(key, F.col("page_no").cast("bigint").alias("page_no")).agg(F.array_join(in_order, "").alias("_all"))
+    return joined.select(key, "page_no", F.regexp_replace("_all", r"\n\z", "").alias(text))
+
+
 def utterances_from_pages(
     pages: DataFrame,
     sentences_per_utterance: int = 1,

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from voxloom.operators.blocks import settle
 from voxloom.operators.manifest import VOICE, batch_outcomes, output_files, synthesis_manifest
 from voxloom.operators.normalize import normalize, raw_line_count
-from voxloom.operators.pages import MAX_PAGES, utterances_from_pages
+from voxloom.operators.pages import MAX_PAGES, pages_of_chunks, utterances_from_pages
 from voxloom.operators.sentences import utterances
 from voxloom.operators.timeline import GAP_MS, track_timeline
 from voxloom.plans.counts import StageCounts, unwatched
@@ -61,6 +62,18 @@ def prepare_corpus_from_pages(
     return synthesis_manifest(made, voice, rate, pitch, volume, generate_subtitles, key)
 
 
+def prepare_corpus_from_chunks(
+    chunks: DataFrame, chunk_no: str = "chunk_no", key: str = "doc_id", text: str = "text", max_pages: int = MAX_PAGES, **options
+) -> DataFrame:
+    """Texts in chunks (sources.files.read_chunks, or cut anywhere) -> requests.
+
+    A text of more than max_pages pages is never put together: one of any size is the work of
+    many tasks. options are those of prepare_corpus_from_pages.
+    """
+    pages = settle(pages_of_chunks(chunks, key, chunk_no, text))
+    return prepare_corpus_from_pages(pages, key=key, text=text, max_pages=max_pages, **options)
+
+
 def merged_track(
     requests: DataFrame, reported: DataFrame, lengths: DataFrame, gap_ms: int = GAP_MS, key: str = "doc_id"
 ) -> DataFrame:
