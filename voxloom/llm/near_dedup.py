@@ -24,7 +24,9 @@ at growing distances in the bucket's order, and verified by the exact similarity
 are already connected are not proposed again, so a large group of copies costs about one link
 for each. Documents of a bucket have a sketch, a byte of the least value of SKETCH further
 functions: pairs whose sketches differ in clearly more bytes than the similarity allows are not
-proposed, which spares all but the narrow misses (about 0.72 to 0.8) the exact comparison.
+proposed. After the first round, in which neighbours of a bucket are proposed and verified by
+joins, the rows that are left bring their shingles along: pairs are verified where they meet,
+and only links leave the task, none between documents that it has connected already.
 """
 
 from __future__ import annotations
@@ -48,7 +50,7 @@ ROWS = 4  # hash functions of a band
 SLICE = 512  # shingles hashed by all functions at once
 SKETCH = 1024
 DEVIATIONS = 4.5  # that a sketch may be off: 3 similar pairs in a million are lost
-HELD = 1 << 16  # with sketches, a bucket's rows are held back so far; they are left out beyond
+HELD = 1 << 13  # with their shingles, a bucket's rows are held back so far; pairs are joined beyond
 REACH = 16  # distances in a bucket grow so many times in each round
 LEVELS = (64, 32, 16)  # bits that are cut in two at each level
 
@@ -333,11 +335,11 @@ def _linked(
                 if own.isEmpty():
                     return found
             ordered = own.select("key", "size", "node", "component")
-            if far <= HELD:
-                ordered = ordered.join(sets.select("node", "sketch"), "node")
+            here = near > 1 and far <= HELD  # verified where they meet
+            ordered = ordered.join(sets if here else sets.select("node", "sketch"), "node")
             ordered = ordered.repartition("key").sortWithinPartitions("key", "size", "node")
-            proposed = ordered.mapInArrow(_reach_scan(near, far, similarity), "a bigint, b bigint")
-            made = settle(_verified(sets, proposed.distinct(), similarity))
+            proposed = ordered.mapInArrow(_reach_scan(near, far, similarity), "a bigint, b bigint").distinct()
+            made = settle(proposed if here else _verified(sets, proposed, similarity))
             if found is not None:
                 made = made.unionByName(found.select(F.col("node").alias("a"), F.col("component").alias("b")))
             found = kept(components(made))
@@ -358,20 +360,32 @@ def _shared_keys(index: DataFrame, above: int) -> DataFrame:
 
 def _reach_scan(near: int, far: int, similarity: float):
     """Pairs of a bucket (rows sorted by key and size) that are near to far - 1 rows apart, of
-    different components, of sizes and sketches that can be similar enough."""
+    different components, of sizes and sketches that can be similar enough. Rows that bring
+    their shingles are compared: only links come out, none twice between the same parts."""
     most = sketch_distance(similarity)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
-        for batch in batches:
+        held, parent = None, {}
+
+        def root(c: int) -> int:
+            while (up := parent.get(c, c)) != c:
+                parent[c] = parent.get(up, up)
+                c = up
+            return c
+
+        for batch in (part for whole in batches for part in slices(whole, SLICE_BYTES) if part.num_rows):
             rows = _columns(batch, ["key", "size", "node", "component"])
-            if "sketch" in batch.schema.names:
-                bodies = batch.column(batch.schema.get_field_index("sketch")).to_pylist()
-                rows.append(np.frombuffer(b"".join(bodies), np.uint8).reshape(len(bodies), SKETCH))
+            names = batch.schema.names
+            bodies = batch.column(names.index("sketch")).to_pylist()
+            rows.append(np.frombuffer(b"".join(bodies), np.uint8).reshape(len(bodies), SKETCH))
+            if "shingles" in names:
+                sets = np.empty(len(bodies), object)
+                sets[:] = [np.frombuffer(x, np.uint64) for x in batch.column(names.index("shingles")).to_pylist()]
+                rows.append(sets)
             before = len(held[0]) if held else 0
             if held:
                 rows = [np.concatenate(c) for c in zip(held, rows, strict=True)]
-            key, size, node, component = rows[:4]
+            key, size, node, component, sketches = rows[:5]
             here = np.arange(before, len(key))
             for lag in range(near, far):
                 here = here[here >= lag]
@@ -381,20 +395,28 @@ def _reach_scan(near: int, far: int, similarity: float):
                 here, other = here[fits], other[fits]
                 if not len(here):
                     break
-                pick = np.flatnonzero(component[here] != component[other])
-                for s in range(0, len(pick) if len(rows) > 4 else 0, 4096):
-                    some = pick[s : s + 4096]
-                    apart = (rows[4][here[some]] != rows[4][other[some]]).sum(axis=1)
-                    pick[s : s + 4096] = np.where(apart <= most, some, -1)
-                pick = pick[pick >= 0]
+                differ = np.flatnonzero(component[here] != component[other])
+                chosen = [np.zeros(0, np.int64)]
+                for s in range(0, len(differ), 4096):
+                    some = differ[s : s + 4096]
+                    some = some[(sketches[here[some]] != sketches[other[some]]).sum(axis=1) <= most]
+                    if len(rows) > 5:
+                        linked = []
+                        for k in some.tolist():
+                            a, b = root(int(component[here[k]])), root(int(component[other[k]]))
+                            if a != b and jaccard(rows[5][here[k]], rows[5][other[k]]) >= similarity:
+                                parent[max(a, b)] = min(a, b)
+                                linked.append(k)
+                        some = np.array(linked, np.int64)
+                    chosen.append(some)
+                pick = np.concatenate(chosen)
                 if len(pick):
                     a, b = node[here[pick]], node[other[pick]]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], ["a", "b"]
                     )
-            held = [c[max(0, len(key) - far + 1) :] for c in rows]
-            last = np.searchsorted(held[0], held[0][-1]) if len(held[0]) else 0
-            held = [c[last:] for c in held]
+            last = max(len(key) - far + 1, int(np.searchsorted(key, key[-1])), 0)
+            held = [c[last:] for c in rows]
 
     return run
 
