@@ -10,17 +10,14 @@ chunk's end both must give the same ids at the same places. If the overlap has n
 or the two encodings do not agree, the overlap is widened, up to the whole text.
 
 Smaller texts are encoded by the same argument in pieces between white space: each different
-piece of a batch is encoded once, and the numbers are kept in a cache of bounded size. A piece
-that is a word of Latin letters and the punctuation behind it is put together from the word, its
-ASCII letters in lower case, and the punctuation. Whether a vocabulary allows that is found out by
-encoding PROBES both ways; with others (those whose tokens hold white space, say) every text is
-encoded whole or by chunks.
+piece of a batch is encoded once, and the numbers are kept in a cache of bounded size. Whether a
+vocabulary allows that is found out by encoding PROBES both ways; with others (those whose
+tokens hold white space, say) every text is encoded whole or by chunks.
 """
 
 from __future__ import annotations
 
 import os
-import re
 from functools import lru_cache
 from itertools import chain
 
@@ -32,17 +29,13 @@ from voxloom.llm.common import columns_from_text
 CHUNK = 1 << 16  # code points
 OVERLAP = 1 << 10
 MARGIN = 64
-CACHE_PIECES = 300_000  # in each of two generations
-CACHE_WORDS = 250_000  # as well
+CACHE_PIECES = 400_000  # in each of two generations
 LONG_PIECE = 256  # longer pieces are not kept
 LIMIT = 2048
 SPACES = "\t\n\v\f\r "
 PROBES = (
     "a b", " Ab,  c.d\n\n'tis it's\tx\r\n", "1 23 4.5 %&/ (q) <x> - \u00c4b\u00df \u0ba4\u0bae\u0bbf\u0bb4\u0bcd \u6f22\u5b57", "\u00e9 e\u0301 Z\u030c",
 )
-# Letters of ASCII and of U+00C0 to U+00FF in UTF-8, then punctuation without quotes and "<>|".
-_WORD = re.compile(rb"((?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([!#$%&()*+,\-./:;=?@\[\]^{}~]*)")
-MARKS = (b"", b".", b",", b"!!", b"***", b".$$$", b"-/:;=?@", b"#%&()", b"+[]^{}~")
 
 
 def load_tokenizer(data: str):
@@ -79,14 +72,8 @@ class Encoder:
         self.chunk, self.overlap = chunk, overlap
         self.cache: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
-        self.words: dict[bytes, bytes] = {}
-        self.older_words: dict[bytes, bytes] = {}
         whole = [self._encode(p)[0].tolist() for p in PROBES]
         self.by_pieces = whole == [self._ids(p.encode().split()) for p in PROBES]
-        some = ("Word", "aBc", "LL", "s", "\u00c9t\u00c9", "a\u00df")
-        self.by_words = self.by_pieces and all(
-            self._ids([w.encode() + m]) == self._ids([w.encode().lower(), m]) for w in some for m in MARKS
-        )
 
     def _ids(self, pieces: list[bytes]) -> list[int]:
         return [i for p in pieces for i in self._encode(p.decode())[0].tolist()]
@@ -120,31 +107,6 @@ class Encoder:
         return result
 
     def _encode_pieces(self, pieces: list[bytes]) -> dict[bytes, bytes]:
-        """Words by their lower-case form, which stays in a cache, other pieces as they are."""
-        new: dict[bytes, bytes] = {}
-        plain, parts = [], []
-        if self.by_words:
-            if len(self.words) > CACHE_WORDS:
-                self.words, self.older_words = {}, self.words
-            for piece in pieces:
-                match = _WORD.fullmatch(piece)
-                if match and len(piece) <= LONG_PIECE:
-                    parts.append((piece, match[1].lower(), match[2]))
-                else:
-                    plain.append(piece)
-            words, older = self.words, self.older_words
-            unknown = {w for _, word, mark in parts for w in (word, mark) if w and w not in words}
-            words.update((w, older[w]) for w in unknown & older.keys())
-            words.update(self._encode_apart([w for w in unknown if w not in words]))
-            for piece, word, mark in parts:
-                new[piece] = words[word] + words[mark] if mark else words[word]
-        else:
-            plain = pieces
-        new.update(self._encode_apart(plain))
-        self.cache.update((w, ids) for w, ids in new.items() if len(w) <= LONG_PIECE)
-        return new
-
-    def _encode_apart(self, pieces: list[bytes]) -> dict[bytes, bytes]:
         """Many pieces in one text; offsets tell which tokens belong to which."""
         new: dict[bytes, bytes] = {}
         for s in range(0, len(pieces), 2000):
@@ -157,6 +119,7 @@ class Encoder:
             data = ids.tobytes()
             for k, piece in enumerate(part):
                 new[piece] = data[4 * cuts[k] : 4 * cuts[k + 1]]
+        self.cache.update((w, ids) for w, ids in new.items() if len(w) <= LONG_PIECE)
         return new
 
     def _encode(self, text: str) -> tuple[np.ndarray, np.ndarray]:
