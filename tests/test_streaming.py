@@ -43,6 +43,19 @@ def test_phrases_in_any_order_of_arrival(spark, tmp_path):
         assert rows_of(found) == rows_of(ph.phrases(words))
 
 
+def test_phrases_with_the_default_state_store(spark, tmp_path):
+    """A session that did not choose a state store: Spark's default keeps no list and map state."""
+    plain = spark.newSession()
+    name = "spark.sql.streaming.stateStore.providerClass"
+    plain.conf.set(name, "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider")
+    words = random_words(plain, 13, utterances=3)
+    source = str(tmp_path / "in")
+    write_batches(words, source, 2, shuffled=True)
+    made = stream_phrases(stream_of(plain, words, source))
+    found = plain.read.schema(made.schema).parquet(run_available(made, str(tmp_path / "out")))
+    assert rows_of(found) == rows_of(ph.phrases(words))
+
+
 def test_phrase_batches_in_any_order_of_arrival(spark, tmp_path):
     words = random_words(spark, 12, utterances=6)
     for shuffled, block in ((False, 1000), (True, 16)):
