@@ -49,6 +49,15 @@ def test_long_utterances_give_the_same_phrases(spark, seed, block):
     assert rows_of(ph.phrase_breaks(words, block)) == rows_of(ph.phrase_breaks(words))
 
 
+def test_words_are_not_shuffled_to_find_longer_utterances(spark):
+    """Blocks of the usual size: keys of longer utterances are broadcast to all words."""
+    words = random_words(spark, 4)
+    for made in (ph.phrase_breaks(words), ph.phrases(words)):
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        joins = [line for line in plan.splitlines() if "LeftSemi" in line]
+        assert joins and all("BroadcastHashJoin" in line for line in joins)
+
+
 def test_one_utterance_of_three_million_words(spark):
     """Five words, then two up to a comma, over and over; a pause before each ninth word of a
     hundred thousand. Cut into 46 blocks, with no job before the action."""

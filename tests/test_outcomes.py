@@ -6,6 +6,7 @@ from datetime import datetime, timedelta
 
 from checks import fixtures as fx
 from checks import inputs
+from checks.queries import all_queries
 from tests.test_groups import rows_of
 from tests.test_streaming import stream_of
 from voxloom.operators import manifest as mf
@@ -89,3 +90,9 @@ def test_stage_counts_need_no_second_scan(spark, sf_dir):
     assert rows_of(counts.table(spark)) == sorted(
         ((s, m, n) for s, c in counts.values().items() for m, n in c.items()), key=lambda r: repr(tuple(r))
     ) or counts.table(spark).count() == 7
+
+
+def test_texts_of_requests_are_read_once(spark, sf_dir):
+    """Requests and reports of the outcome queries come from one settled table."""
+    plan = all_queries()["batch_summary"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "documents.parquet" not in plan and "settled-" in plan
