@@ -288,6 +288,45 @@ def test_tokens_equal_the_library(docs, none):
     assert tokens.with_token_counts(none, VOCABULARY).count() == 0
 
 
+def test_words_go_to_the_model_alone(monkeypatch):
+    """New words of ASCII and Latin-1 letters take no pass of the whole library; only marks do."""
+    encoder = tokens.Encoder(tokens.tokenizer_text(VOCABULARY))
+    assert encoder.by_pieces and encoder.by_words
+    passed, plain = [], encoder._encode
+    monkeypatch.setattr(encoder, "_encode", lambda text: passed.append(text) or plain(text))
+    text = "Zwölfboxkämpfer Jagen'd quer! ÉTÉ été Quiz. QUIZ quiz!"
+    want = encoder.tokenizer.encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(encoder.encode_all([text])[0], "<u4").tolist() == want
+    assert sorted(" ".join(passed).split()) == ["!", "'d", "."]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_cut_pieces_equal_the_library(seed):
+    """Words of letters, marks, digits, accents and special strings in any order."""
+    rng = np.random.default_rng(seed)
+    encoder = tokens.Encoder(tokens.tokenizer_text(VOCABULARY))
+    pool = ["Word", "é", "ÄÖ", "ÿß", "×", "÷", "'s", "'", "<|endoftext|>", "<|", "7", "\u0301", "\u0338", "ǅ", "ª", "Σ", ".", "=", "-", " ", "\n"]
+    texts = ["".join(pool[int(i)] for i in rng.integers(0, len(pool), 300)) for _ in range(20)]
+    want = [encoder.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    for _ in range(2):
+        assert [np.frombuffer(b, "<u4").tolist() for b in encoder.encode_all(texts)] == want
+
+
+def test_no_words_for_tokenizers_that_need_more():
+    """Case that counts, and added tokens that begin with a letter: words stay in their pieces."""
+    import json
+
+    data = json.loads(tokens.tokenizer_text(VOCABULARY))
+    cased = data | {"normalizer": {"type": "NFC"}}
+    added = data | {"added_tokens": [*data["added_tokens"], data["added_tokens"][0] | {"id": 49408, "content": "ab."}]}
+    for changed in (cased, added):
+        encoder = tokens.Encoder(json.dumps(changed))
+        assert not encoder.by_words
+        text = "Ab ab. xab.y ÄB Abc.s"
+        want = encoder.tokenizer.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(encoder.encode_all([text])[0], "<u4").tolist() == want
+
+
 @pytest.mark.parametrize("seed", range(6))
 def test_spliced_chunks_equal_the_library(seed):
     rng = np.random.default_rng(seed)
