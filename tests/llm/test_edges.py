@@ -327,6 +327,17 @@ def test_no_words_for_tokenizers_that_need_more():
         assert np.frombuffer(encoder.encode_all([text])[0], "<u4").tolist() == want
 
 
+def test_workers_give_memory_back(monkeypatch):
+    """At the end of a task, and when one stops before its end."""
+    given = []
+    monkeypatch.setattr(common, "give_back", lambda: given.append(1))
+    assert list(common.frugal(lambda batches: (b + 1 for b in batches))(iter([1, 2]))) == [2, 3]
+    stopped = common.frugal(lambda batches: batches)(iter([1, 2]))
+    next(stopped)
+    stopped.close()
+    assert len(given) == 2
+
+
 @pytest.mark.parametrize("seed", range(6))
 def test_spliced_chunks_equal_the_library(seed):
     rng = np.random.default_rng(seed)

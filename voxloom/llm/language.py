@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voxloom.llm.common import columns_from_text, free_name, slices
+from voxloom.llm.common import columns_from_text, free_name, frugal, slices
 
 DIMENSIONS = 1024
 SYMBOLS = 64
@@ -118,7 +118,7 @@ def profiles(docs: DataFrame, text: str = "text", lang: str = "lang") -> dict[st
                     ["lang", "code", "n"],
                 )
 
-    counted = rows.mapInArrow(count, "lang string, code bigint, n bigint")
+    counted = rows.mapInArrow(frugal(count), "lang string, code bigint, n bigint")
     summed = counted.groupBy("lang", "code").agg(F.sum("n").alias("n"))
 
     def bind(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

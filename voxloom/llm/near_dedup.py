@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from voxloom.llm.common import SLICE_BYTES, columns_from_text, free_name, one_row_of_each_id, settle, slices
+from voxloom.llm.common import SLICE_BYTES, columns_from_text, free_name, frugal, one_row_of_each_id, settle, slices
 from voxloom.llm.components import components, forest
 from voxloom.llm.simhash import fingerprints, mixed, shingle_hashes, signed
 from voxloom.operators.blocks import scope, small_side
@@ -93,7 +93,7 @@ def hamming_links(nodes: DataFrame, radius: int) -> DataFrame:
         sorted_index = sorted_index.sortWithinPartitions("key", "node")
         last = level == len(LEVELS) - 1
         scan = _exact_scan(radius, None if last else BUCKET_LIMIT)
-        made = settle(sorted_index.mapInArrow(scan, "a bigint, b bigint, mask bigint, f0 bigint"))
+        made = settle(sorted_index.mapInArrow(frugal(scan), "a bigint, b bigint, mask bigint, f0 bigint"))
         level_links = made.filter(F.col("mask").isNull()).select("a", "b")
         links = level_links if links is None else links.unionByName(level_links)
         entries = made.filter(F.col("mask").isNotNull()).select(
@@ -338,7 +338,7 @@ def _linked(
             here = near > 1 and far <= HELD  # verified where they meet
             ordered = ordered.join(sets if here else sets.select("node", "sketch"), "node")
             ordered = ordered.repartition("key").sortWithinPartitions("key", "size", "node")
-            proposed = ordered.mapInArrow(_reach_scan(near, far, similarity), "a bigint, b bigint").distinct()
+            proposed = ordered.mapInArrow(frugal(_reach_scan(near, far, similarity)), "a bigint, b bigint").distinct()
             made = settle(proposed if here else _verified(sets, proposed, similarity))
             if found is not None:
                 made = made.unionByName(found.select(F.col("node").alias("a"), F.col("component").alias("b")))
@@ -459,7 +459,7 @@ def _verified(sets: DataFrame, links: DataFrame, similarity: float) -> DataFrame
                 ]
                 yield part.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return pairs.mapInArrow(run, "a bigint, b bigint")
+    return pairs.mapInArrow(frugal(run), "a bigint, b bigint")
 
 
 def jaccard(x: np.ndarray, y: np.ndarray) -> float:

@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from voxloom.llm.common import open_input, open_output, one_task_each, settle, shared_dir, slices
+from voxloom.llm.common import frugal, open_input, open_output, one_task_each, settle, shared_dir, slices
 from voxloom.llm.tokens import tokenizer_text, worker_encoder
 
 BLOCK = 128
@@ -267,7 +267,7 @@ def write_token_files(
         if writer:
             writer.close()
 
-    return settle(ordered.mapInArrow(run, INDEX))
+    return settle(ordered.mapInArrow(frugal(run), INDEX))
 
 
 def read_token_files(index: DataFrame) -> DataFrame:
@@ -289,7 +289,7 @@ def read_token_files(index: DataFrame) -> DataFrame:
                     arrays = [pa.array(c, t) for c, t in zip(columns, types, strict=True)]
                     yield pa.RecordBatch.from_arrays(arrays, names)
 
-    read = settle(files.mapInArrow(run, READ))
+    read = settle(files.mapInArrow(frugal(run), READ))
     totals = read.groupBy("file_no").agg(F.sum("n_tokens").alias("n"))
     before = Window.orderBy("file_no").rowsBetween(Window.unboundedPreceding, -1)
     begin = totals.select("file_no", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("begin"))
