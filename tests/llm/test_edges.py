@@ -312,6 +312,33 @@ def test_cut_pieces_equal_the_library(seed):
         assert [np.frombuffer(b, "<u4").tolist() for b in encoder.encode_all(texts)] == want
 
 
+def test_a_piece_is_looked_up_once():
+    """However often a slice of texts has it; with empty, blank and huge texts beside, over two generations."""
+
+    class Counted(dict):
+        asked = 0
+
+        def get(self, *of):
+            Counted.asked += 1
+            return super().get(*of)
+
+        def __getitem__(self, key):
+            Counted.asked += 1
+            return super().__getitem__(key)
+
+    encoder = tokens.Encoder(tokens.tokenizer_text(VOCABULARY), chunk=4096)
+    texts = ["", " \t", "one more word, " * 200, "x" * 5000, "  a. word.\x1c b\n", "\u0301 Word! word! " * 150]
+    want = [encoder.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    for generation in range(3):
+        encoder.cache, encoder.older = Counted(), encoder.cache
+        Counted.asked = 0
+        assert [np.frombuffer(b, "<u4").tolist() for b in encoder.encode_all(texts)] == want
+        assert Counted.asked < 60
+    encoder.encode_all(["x" * (tokens.LONG_PIECE + 1)])
+    assert max(map(len, encoder.cache)) <= tokens.LONG_PIECE
+    assert encoder.encode_all([]) == []
+
+
 def test_no_words_for_tokenizers_that_need_more():
     """Case that counts, and added tokens that begin with a letter: words stay in their pieces."""
     import json

@@ -10,8 +10,8 @@ chunk's end both must give the same ids at the same places. If the overlap has n
 or the two encodings do not agree, the overlap is widened, up to the whole text.
 
 Smaller texts are encoded by the same argument in pieces between white space: each different
-piece of a batch is encoded once, and the numbers are kept in a cache of bounded size. Whether a
-vocabulary allows that is found out by encoding PROBES both ways; with others (those whose
+piece of a batch is looked up once in a cache of bounded size, and encoded if it is not there.
+Whether a vocabulary allows that is found out by encoding PROBES both ways; with others (those whose
 tokens hold white space, say) every text is encoded whole or by chunks.
 
 A new piece that begins with LETTERS (ASCII and Latin-1), and ends there or goes on with an ASCII
@@ -29,9 +29,11 @@ import re
 import string
 import struct
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, pairwise
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from voxloom.llm.common import columns_from_text
@@ -107,12 +109,13 @@ class Encoder:
         if any(len(f) != 1 or f != forms[a.lower()] for a, f in forms.items()):
             return False
         self.forms = str.maketrans({a: f[0] for a, f in forms.items()})
+        self.plain = all(forms[a] == [a] for a in string.ascii_lowercase)
         words = [w.encode() for w in WORD_PROBES]
         marks = [w.encode() for w in MARK_PROBES]
         whole = self._encode_joined(words + marks)
         head = marks[0][:3]
         rests = self._encode_joined(sorted({w[3:] for w in marks}))
-        return all(whole[w] == self._encode_word(w) for w in words) and all(
+        return all(whole[w] == self._encode_word(w.lower()) for w in words) and all(
             whole[w] == self._encode_word(head) + rests[w[3:]] for w in marks
         )
 
@@ -120,57 +123,94 @@ class Encoder:
         """Ids of each text: short ones by pieces, huge ones by chunks."""
         if not self.by_pieces:
             return [b"".join(self.chunks(t)) for t in texts]
-        # bytes split at \x20 and \x09-\x0D only, which every tokenizer takes for white space.
-        pieces = [t.encode("utf-8", "surrogatepass").split() if len(t) <= self.chunk else None for t in texts]
-        new = self._learn(set().union(*(p for p in pieces if p)))
-        ids = self.cache.__getitem__
-        result = [
-            b"".join(self.chunks(t)) if p is None else b"".join(map(ids, p))
-            for t, p in zip(texts, pieces, strict=True)
-        ]
-        for w in new:
-            if len(w) > LONG_PIECE:
-                del self.cache[w]
+        short = [t.encode("utf-8", "surrogatepass") if len(t) <= self.chunk else b"" for t in texts]
+        made = self._by_pieces(short)
         if len(self.cache) > CACHE_PIECES:
             self.cache, self.older = {}, self.cache
-        return result
-
-    def _learn(self, wanted: set[bytes]) -> dict[bytes, bytes]:
-        """Have all these pieces in the cache; gives those that were encoded for it."""
-        missing = self._not_kept(wanted)
-        if not self.by_words:
-            new = self._encode_joined(list(missing))
-            self.cache.update(new)
-            return new
-        cut, match = {}, _WORD_FIRST.fullmatch
+        return [b"".join(self.chunks(t)) if len(t) > self.chunk else ids for t, ids in zip(texts, made, strict=True)]
+
+    def _by_pieces(self, texts: list[bytes]) -> list[bytes]:
+        """Ids of each text. Arrow cuts all of them and tells the different pieces, each of which
+        is looked up once; numpy puts their ids in the order of the texts."""
+        if not texts:
+            return []
+        data = pa.array(texts, pa.large_binary())
+        # As strings, unchecked: a lone surrogate is a piece like others. The cut is at \x20 and
+        # \x09-\x0D only, which every tokenizer takes for white space.
+        listed = pc.ascii_split_whitespace(pa.LargeStringArray.from_buffers(len(data), *data.buffers()[1:]))
+        words = listed.values.cast(pa.large_binary()).dictionary_encode()
+        pieces = words.dictionary.to_numpy(zero_copy_only=False).tolist()
+        found = list(map(self.cache.get, pieces))
+        if None in found:
+            new = self._learn({w for w, ids in zip(pieces, found, strict=True) if ids is None})
+            found = [new[w] if ids is None else ids for w, ids in zip(pieces, found, strict=True)]
+        flat = np.frombuffer(b"".join(found), "<u4")
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        begins = np.cumsum(sizes) - sizes
+        nth = words.indices.to_numpy()
+        counts = sizes[nth]
+        ends = np.concatenate([[0], np.cumsum(counts)])
+        places = np.repeat(begins[nth] - ends[:-1], counts)
+        places += np.arange(len(places))
+        ids = flat[places].tobytes()
+        cuts = (4 * ends[listed.offsets.to_numpy()]).tolist()
+        return [ids[x:y] for x, y in pairwise(cuts)]
+
+    def _learn(self, missing: set[bytes]) -> dict[bytes, bytes]:
+        """The ids of pieces that the cache has not; it has those worth keeping afterwards.
+
+        What the older generation has is renewed.
+        """
+        cache, older, match = self.cache, self.older.get, _WORD_FIRST.fullmatch
+        new: dict[bytes, bytes] = {}
+        whole: list[bytes] = []  # pieces that go through the library
+        behind: dict[bytes, list[tuple[bytes, bytes]]] = {}  # rests: pieces that end in them, and their word's ids
         for w in missing:
-            if w.isalpha():
-                cut[w] = w.lower(), None
-            elif found := match(w):
-                word, rest = found.groups()
-                cut[w] = word.lower(), rest
-        new = {w: self._encode_word(w) for w in self._not_kept({word for word, _ in cut.values()})}
-        rests = self._not_kept({rest for _, rest in cut.values() if rest})
-        new.update(self._encode_joined([w for w in missing | rests if w not in cut]))
-        self.cache.update(new)
-        ids = self.cache
-        whole = {w: ids[word] + (ids[rest] if rest else b"") for w, (word, rest) in cut.items()}
-        ids.update(whole)
-        new.update(whole)
+            ids = older(w) if w else b""
+            if ids is None:
+                rest = None
+                if not self.by_words:
+                    whole.append(w)
+                    continue
+                if w.isalpha():
+                    word = w.lower()
+                elif found := match(w):
+                    word, rest = found.groups()
+                    word = word.lower()
+                else:
+                    whole.append(w)
+                    continue
+                ids = cache.get(word)
+                if ids is None:
+                    ids = older(word) or self._encode_word(word)
+                    if len(word) <= LONG_PIECE:
+                        cache[word] = ids
+                if rest:
+                    last = cache.get(rest, older(rest))
+                    if last is None:
+                        behind.setdefault(rest, []).append((w, ids))
+                        continue
+                    ids += last
+            new[w] = ids
+        kept = self._encode_joined(whole + [rest for rest in behind if rest not in missing])
+        new.update((w, kept[w]) for w in whole)
+        for rest, pieces in behind.items():
+            last = kept[rest]
+            if len(rest) <= LONG_PIECE:
+                cache[rest] = last
+            new.update((w, ids + last) for w, ids in pieces)
+        cache.update(new)
+        for w in new:
+            if len(w) > LONG_PIECE:
+                del cache[w]
         return new
 
-    def _not_kept(self, pieces: set[bytes]) -> set[bytes]:
-        """Those in neither generation of the cache; those in the older one are renewed."""
-        missing = pieces.difference(self.cache)
-        if self.older:
-            renewed = {w: ids for w in missing if (ids := self.older.get(w)) is not None}
-            self.cache.update(renewed)
-            missing.difference_update(renewed)
-        return missing
-
     def _encode_word(self, word: bytes) -> bytes:
-        """Ids of one word of LETTERS."""
-        ids = [token.id for token in self.model.tokenize(word.decode().translate(self.forms))]
+        """Ids of one word of LETTERS, A-Z in lower case."""
+        text = word.decode()
+        if not (self.plain and word.isascii()):
+            text = text.translate(self.forms)
+        ids = [token.id for token in self.model.tokenize(text)]
         return struct.pack(f"<{len(ids)}I", *ids)
 
     def _encode_joined(self, pieces: list[bytes]) -> dict[bytes, bytes]:
