@@ -202,3 +202,37 @@ def test_chunks_of_files(spark, folder):
         ]
         assert any(r.error for r in rows if r.position == 3)
     assert frame.rdd.getNumPartitions() > 10
+
+
+def test_commit_never_lists_the_target(tmp_path):
+    """The files moved so far are not looked at again with each task's files."""
+    import pyarrow.fs as pafs
+
+    from voxloom.sources import text_sink
+
+    class Seen:
+        asked = []
+
+        def __getattr__(self, name):
+            return getattr(pafs.LocalFileSystem(), name)
+
+        def get_file_info(self, what):
+            found = pafs.LocalFileSystem().get_file_info(what)
+            self.asked.append(len(found))
+            return found
+
+    for task in range(10):
+        (tmp_path / f"{task}" / f"own{task}").mkdir(parents=True)
+        (tmp_path / f"{task}" / "shared").mkdir()
+        for folder in ("", f"own{task}/", "shared/"):
+            (tmp_path / f"{task}" / f"{folder}{task}.txt").write_text(f"{task}")
+    (tmp_path / "new").mkdir()
+    for task in range(10):
+        text_sink._merge(Seen(), str(tmp_path / f"{task}"), str(tmp_path / "new"))
+    assert max(Seen.asked) == 3
+    assert len(files_below(tmp_path / "new")) == 30
+    (tmp_path / "again").mkdir()
+    (tmp_path / "again" / "4.txt").write_text("other")
+    with pytest.raises(ValueError, match="two rows name the file"):
+        text_sink._merge(Seen(), str(tmp_path / "again"), str(tmp_path / "new"))
+    assert (tmp_path / "new" / "4.txt").read_text() == "4"
