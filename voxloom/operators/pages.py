@@ -79,9 +79,12 @@ def pages_of_chunks(
 
     first, second = piece(F.col("_page"), 0, head), piece(F.col("_page") + 1, 1, rest)
     both = F.when(F.col("_feed") > 0, F.array(first, second)).otherwise(F.array(first))
-    pieces = numbered.select(key, "_chunk", F.explode(both).alias("p")).select(key, "_chunk", "p.*")
+    pieces = numbered.select(key, "_block", "_chunk", F.explode(both).alias("p")).select(key, "_block", "_chunk", "p.*")
     in_order = F.sort_array(F.collect_list(F.struct("_chunk", "part", "piece"))).getField("piece")
-    joined = pieces.groupBy(key, F.col("page_no").cast("bigint").alias("page_no")).agg(F.array_join(in_order, "").alias("_all"))
+    # Where the chunks of a block are; only what they come to is shuffled, as a page may go on in the next block.
+    page = F.col("page_no").cast("bigint").alias("page_no")
+    parts = pieces.groupBy(key, "_block", page).agg(F.array_join(in_order, "").alias("_part"))
+    joined = parts.groupBy(key, "page_no").agg(F.array_join(_in_order("_block", "_part"), "").alias("_all"))
     return joined.select(key, "page_no", F.regexp_replace("_all", r"\n\z", "").alias(text))
 
 
