@@ -7,6 +7,7 @@ import random
 import numpy as np
 
 from voxloom.llm import near_dedup
+from voxloom.llm.components import forest, spanning
 
 SCHEMA = "doc_id bigint, text string"
 
@@ -85,3 +86,45 @@ def test_large_group_of_varied_copies(spark):
     texts = [" ".join(words[: 2 * d] + [f"new{i}" for i in range(2 * d)] + words[4 * d :]) for d in range(90)]
     texts += [" ".join([*words[:-1], f"tail{d}"]) for d in range(300)]
     assert components_of(spark, texts) == all_pairs(texts)
+
+
+def test_fingerprints_link_without_bands(spark, monkeypatch):
+    """SimHash and deletion variants alone link near copies within 3 bits, and no others."""
+    monkeypatch.setattr(near_dedup, "_shared_keys", lambda index, above: index.filter("false"))
+    rng, texts = random.Random(3), []
+    for d in range(30):
+        words = [f"d{d}w{i}" for i in range(600)]
+        for copy in range(4):
+            changed = list(words)
+            for edit in range(copy):
+                changed[rng.randrange(600)] = f"new{d}x{copy}x{edit}"
+            texts.append(" ".join(changed))
+    prints = [near_dedup.set_fingerprint(near_dedup.shingle_set(t, 5)) for t in texts]
+    label = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if ((prints[i] ^ prints[j]) & (2**64 - 1)).bit_count() <= 3 and label[i] != label[j]:
+                low, high = sorted((label[i], label[j]))
+                label = [low if x == high else x for x in label]
+    found = components_of(spark, texts)
+    assert found == dict(enumerate(label))
+    assert sum(d != c for d, c in found.items()) >= 40
+
+
+def test_fingerprints_are_verified(spark, monkeypatch):
+    """Documents that a fingerprint would link, but that share less than 0.8, stay apart."""
+    links = lambda nodes: nodes.selectExpr("node AS a", "CAST(0 AS BIGINT) AS b").filter("a > 0")
+    monkeypatch.setattr(near_dedup, "_print_links", links)
+    words = [f"w{i}" for i in range(100)]
+    texts = [" ".join(words), " ".join(words[:-1]), " ".join(words[:50] + [f"x{i}" for i in range(50)])]
+    assert components_of(spark, texts) == all_pairs(texts) == {0: 0, 1: 0, 2: 2}
+
+
+def test_spanning_pairs():
+    rng = np.random.default_rng(4)
+    for _ in range(50):
+        i, j = rng.integers(0, 60, (2, 45))
+        some = spanning(60, i, j)
+        label = forest(60, i, j)
+        assert (forest(60, i[some], j[some]) == label).all()
+        assert len(some) == 60 - len(np.unique(label))

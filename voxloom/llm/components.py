@@ -62,6 +62,25 @@ def forest(size: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     return label
 
 
+def spanning(size: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """The numbers of pairs i, j that connect what all of them connect, none of them in vain."""
+    label, left, chosen = np.arange(size), np.arange(len(i)), [np.zeros(0, np.int64)]
+    while True:
+        one, two = label[i[left]], label[j[left]]
+        apart = one != two
+        left, high, low = left[apart], np.maximum(one, two)[apart], np.minimum(one, two)[apart]
+        if not len(left):
+            return np.concatenate(chosen)
+        # Each part takes one pair that leads to a smaller part, so there is no circle.
+        part, first = np.unique(high, return_index=True)
+        chosen.append(left[first])
+        up = np.arange(size)
+        up[part] = low[first]
+        while (up != up[up]).any():
+            up = up[up]
+        label = up[label]
+
+
 def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The partition's links as a link from each node to the smallest one it reaches."""
     held = [batch for batch in batches if batch.num_rows]

@@ -11,18 +11,20 @@ with a quarter. Each step is exact by the same argument. The last level leaves 8
 left-out bits open, so it holds at most 2048 different fingerprints. Buckets are streamed
 from sorted partitions, and give the links of a spanning forest, not all pairs.
 
-The similarity form (`similar_documents`) asks for pairs that share 0.8 of their five-word
-shingles. Such fingerprints differ in about 15 of 100 bits (the angle of two sets of Jaccard
-similarity 0.8), so a segment of 16 bits differs in at most one bit in 28 % of pairs only, and
-long segments hardly ever: one-wildcard variants would need hundreds of rows a document, in
-buckets of 2^15 keys that grow with the square of the input. Its candidates come from the
-equality of other signatures, therefore: BANDS keys, each the least values of ROWS hash functions
-over the different shingles. A pair of similarity s shares a key with probability
-1 - (1 - s^ROWS)^BANDS: all but 3 in a million at 0.8. Keys are 64 bits, so unrelated documents
-do not meet. Equal shingle sets are one node. In each bucket all pairs of fitting size are proposed,
-at growing distances in the bucket's order, and verified by the exact similarity; pairs that
-are already connected are not proposed again, so a large group of copies costs about one link
-for each. Documents of a bucket have a sketch, a byte of the least value of SKETCH further
+The similarity form (`similar_documents`) links pairs that share 0.8 of their five-word
+shingles, in two steps. The first is the method above: SimHash over the different shingles,
+deletion variants, fingerprints within 3 bits, and the exact similarity of each such pair. It
+cannot be the only one, since pairs of similarity 0.8 differ in about 15 of 100 bits (the angle of
+two such sets): a segment of 16 bits differs in at most one bit in 28 % of them only, and long
+segments hardly ever, so one-wildcard variants would need hundreds of rows a document, in buckets
+of 2^15 keys that grow with the square of the input. The second step adds the links that 3 bits
+do not show, between what the first has not connected. Its candidates have an equal key among
+BANDS keys, each the least values of ROWS hash functions over the different shingles. A pair of
+similarity s shares a key with probability 1 - (1 - s^ROWS)^BANDS: all but 3 in a million at 0.8.
+Keys are 64 bits, so unrelated documents do not meet. Equal shingle sets are one node. In each
+bucket all pairs of fitting size are proposed, at growing distances in the bucket's order, and
+verified by the exact similarity; pairs that are already connected are not proposed again, so a
+large group of copies costs about one link for each. Documents of a bucket have a sketch, a byte of the least value of SKETCH further
 functions: pairs whose sketches differ in clearly more bytes than the similarity allows are not
 proposed. After the first round, in which neighbours of a bucket are proposed and verified by
 joins, the rows that are left bring their shingles along: pairs are verified where they meet,
@@ -36,17 +38,18 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from voxloom.llm.common import SLICE_BYTES, columns_from_text, free_name, frugal, one_row_of_each_id, settle, slices
-from voxloom.llm.components import components, forest
-from voxloom.llm.simhash import fingerprints, mixed, shingle_hashes, signed
+from voxloom.llm.components import components, forest, spanning
+from voxloom.llm.simhash import fingerprints, mixed, packed, shingle_hashes, signed, votes
 from voxloom.operators.blocks import scope, small_side
 
 BUCKET_LIMIT = 1024  # larger buckets go one level deeper
 BANDS = 24
 ROWS = 4  # hash functions of a band
+RADIUS = 3  # bits in which fingerprints of the similarity form's first step differ, at most
 SLICE = 512  # shingles hashed by all functions at once
 SKETCH = 1024
 DEVIATIONS = 4.5  # that a sketch may be off: 3 similar pairs in a million are lost
@@ -81,8 +84,11 @@ def hamming_components(
     return rows.join(named, "f0").select(F.col("_key").alias(key), "f0", "component")
 
 
-def hamming_links(nodes: DataFrame, radius: int) -> DataFrame:
-    """Links a, b between nodes (node, f0; different f0) that connect all pairs in the radius."""
+def hamming_links(nodes: DataFrame, radius: int, pairs: bool = False) -> DataFrame:
+    """Links a, b between nodes (node, f0; different f0) that connect all pairs in the radius.
+
+    If pairs is set each link is itself a pair in the radius; else it may be a chain of them.
+    """
     entries = nodes.select("node", "f0", F.lit(0).cast("bigint").alias("mask"))
     links = None
     for level, group in enumerate(LEVELS):
@@ -92,7 +98,7 @@ def hamming_links(nodes: DataFrame, radius: int) -> DataFrame:
         sorted_index = index.select("key", "node", "f0", "mask").repartition("key")
         sorted_index = sorted_index.sortWithinPartitions("key", "node")
         last = level == len(LEVELS) - 1
-        scan = _exact_scan(radius, None if last else BUCKET_LIMIT)
+        scan = _exact_scan(radius, None if last else BUCKET_LIMIT, pairs)
         made = settle(sorted_index.mapInArrow(frugal(scan), "a bigint, b bigint, mask bigint, f0 bigint"))
         level_links = made.filter(F.col("mask").isNull()).select("a", "b")
         links = level_links if links is None else links.unionByName(level_links)
@@ -191,18 +197,21 @@ def _columns(batch: pa.RecordBatch, names: list[str]) -> list[np.ndarray]:
     return [batch.column(batch.schema.get_field_index(n)).to_numpy(zero_copy_only=False) for n in names]
 
 
-def _exact_scan(radius: int, limit: int | None):
+def _exact_scan(radius: int, limit: int | None, pairs: bool):
     names = ["a", "b", "mask", "f0"]
 
     def small(key, ids, prints, masks):
         i, j, _ = near_pairs(key, prints.view(np.uint64).reshape(-1, 1), radius)
-        label = forest(len(key), i, j)
-        moved = np.flatnonzero(label != np.arange(len(key)))
+        if pairs:
+            some = spanning(len(key), i, j)
+            moved, other = i[some], j[some]
+        else:
+            label = forest(len(key), i, j)
+            moved = np.flatnonzero(label != np.arange(len(key)))
+            other = label[moved]
         if len(moved):
             none = pa.nulls(len(moved), pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids[moved]), pa.array(ids[label[moved]]), none, none], names
-            )
+            yield pa.RecordBatch.from_arrays([pa.array(ids[moved]), pa.array(ids[other]), none, none], names)
 
     def large(ids, prints, masks, first):
         none = pa.nulls(len(ids), pa.int64())
@@ -264,6 +273,14 @@ def band_keys(shingles: np.ndarray) -> np.ndarray:
     return keys.view(np.int64)
 
 
+def set_fingerprint(shingles: np.ndarray) -> int:
+    """The SimHash of a set: every different shingle has one vote."""
+    count = np.zeros(64, np.int64)
+    for s in range(0, len(shingles), 1 << 16):
+        count += votes(shingles[s : s + (1 << 16)])
+    return packed(2 * count > len(shingles))
+
+
 def similar_documents(
     docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, similarity: float = 0.8
 ) -> DataFrame:
@@ -282,13 +299,13 @@ def similar_documents(
         rows = rows.select(F.col(key).cast("bigint").alias("_key"), F.col(text).alias("_text"))
         made = _signatures(rows.withColumn("_hash", F.xxhash64("_text")), words).drop("_text")
         best = settle(made).groupBy("_key").agg(
-            F.min(F.struct("_hash", "same", "size", "bands")).alias("b"), F.count(F.lit(1)).alias("_rows")
+            F.min(F.struct("_hash", "same", "size", "bands", "f0")).alias("b"), F.count(F.lit(1)).alias("_rows")
         )
         own = settle(best.select("_key", "_rows", "b.*"))
-        first = F.min(F.struct("_key", "_rows", "_hash", "size", "bands")).alias("n")
+        first = F.min(F.struct("_key", "_rows", "_hash", "size", "bands", "f0")).alias("n")
         nodes = settle(own.groupBy("same").agg(first).select("same", "n.*"))
         index = nodes.select(F.col("_key").alias("node"), "size", F.explode("bands").alias("key"))
-        found = _linked(rows, nodes.select(F.col("_key").alias("node"), "_hash", "_rows"), index, words, similarity)
+        found = _linked(rows, nodes.select(F.col("_key").alias("node"), "_hash", "_rows", "f0"), index, words, similarity)
         named = nodes.select("same", F.col("_key").alias("component"))
         if found is not None:
             named = nodes.select("same", F.col("_key").alias("node")).join(found, "node", "left")
@@ -302,51 +319,63 @@ def _signatures(rows: DataFrame, words: int) -> DataFrame:
             sets = [shingle_set(t, words) for t in texts]
             return (
                 [xxhash.xxh128_digest(s.tobytes()) for s in sets], [len(s) for s in sets],
-                [band_keys(s) for s in sets],
+                [band_keys(s) for s in sets], [set_fingerprint(s) for s in sets],
             )
 
         return signatures
 
-    return columns_from_text(rows, "_text", "same binary, size int, bands array<bigint>", make)
+    return columns_from_text(rows, "_text", "same binary, size int, bands array<bigint>, f0 bigint", make)
 
 
 def _linked(
     rows: DataFrame, nodes: DataFrame, index: DataFrame, words: int, similarity: float
 ) -> DataFrame | None:
-    """node, component of the nodes that are similar to another one; None if none is.
+    """node, component of the nodes that are similar to another one; None if none can be.
 
-    index has node, size and key. A round proposes the pairs whose distance in a bucket is
-    within its reach; buckets end when they are shorter than that or all of their nodes are
-    connected.
+    nodes has node, _hash, _rows and f0, index has node, size and key. What the fingerprints
+    show is verified and connected first. Then a round proposes the pairs whose distance in a
+    bucket of the index is within its reach; buckets end when they are shorter than that or all
+    of their nodes are connected.
     """
     index = settle(_shared_keys(index, 1))
-    if index.isEmpty():
+    close = settle(_print_links(nodes.select("node", "f0")))
+    involved = index.select("node").unionByName(close.select(F.explode(F.array("a", "b")).alias("node")))
+    involved = settle(involved.distinct())
+    if involved.isEmpty():
         return None
-    sets = _sets(rows, nodes.join(index.select("node").distinct(), "node"), words)
-    found, near = None, 1
+    sets = _sets(rows, nodes.drop("f0").join(involved, "node"), words)
+    with scope(rows.sparkSession) as kept:
+        found = kept(components(settle(_verified(sets, close, similarity))))
+    near = 1
     while True:
         far = 2 if near == 1 else near * REACH
         with scope(rows.sparkSession) as kept:
-            if found is None:
-                own = index.withColumn("component", F.col("node"))
-            else:
-                own = index.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-                own = settle(_shared_keys(settle(own), near))
-                if own.isEmpty():
-                    return found
+            own = index.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+            own = settle(_shared_keys(settle(own), near))
+            if own.isEmpty():
+                return found
             ordered = own.select("key", "size", "node", "component")
             here = near > 1 and far <= HELD  # verified where they meet
             ordered = ordered.join(sets if here else sets.select("node", "sketch"), "node")
             ordered = ordered.repartition("key").sortWithinPartitions("key", "size", "node")
             proposed = ordered.mapInArrow(frugal(_reach_scan(near, far, similarity)), "a bigint, b bigint").distinct()
             made = settle(proposed if here else _verified(sets, proposed, similarity))
-            if found is not None:
-                made = made.unionByName(found.select(F.col("node").alias("a"), F.col("component").alias("b")))
+            made = made.unionByName(found.select(F.col("node").alias("a"), F.col("component").alias("b")))
             found = kept(components(made))
-            index = own.drop("component") if near == 1 else kept(own.drop("component"))
+            index = kept(own.drop("component"))
         near = far
 
 
+def _print_links(nodes: DataFrame) -> DataFrame:
+    """Pairs a, b of nodes (node, f0) whose fingerprints differ in RADIUS bits or fewer, enough
+    to connect all such pairs: a chain through those with an equal one, and, between the smallest
+    of each, those that meet by their deletion variants."""
+    before = F.lag("node").over(Window.partitionBy("f0").orderBy("node"))
+    chained = settle(nodes.withColumn("b", before))
+    equal = chained.filter(F.col("b").isNotNull()).select(F.col("node").alias("a"), "b")
+    return equal.unionByName(hamming_links(chained.filter(F.col("b").isNull()).select("node", "f0"), RADIUS, pairs=True))
+
+
 def _shared_keys(index: DataFrame, above: int) -> DataFrame:
     """The rows of keys with more than so many rows, of more than one component if there are."""
     counts = [F.count(F.lit(1)).alias("n")]
