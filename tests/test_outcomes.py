@@ -96,3 +96,24 @@ def test_texts_of_requests_are_read_once(spark, sf_dir):
     """Requests and reports of the outcome queries come from one settled table."""
     plan = all_queries()["batch_summary"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert "documents.parquet" not in plan and "settled-" in plan
+
+
+def test_summary_is_the_whole_message(spark):
+    """Counts and each failure by number, in parts if there are many; a batch without files says so."""
+    rows = [(1, n, f"out/u_{n}.txt", None if n in (1, 4) else f"error {n}") for n in (10, 7, 4, 3, 1)]
+    rows += [(2, 1, "v_1.txt", None), (None, 5, "w_5.txt", "no audio")]
+    outcomes = spark.createDataFrame(rows, "doc_id bigint, utt_no int, file string, error string")
+    batches = spark.createDataFrame([(1,), (2,), (3,), (None,), (2,)], "doc_id bigint")
+    found = mf.batch_summary(outcomes, batches=batches, requests_per_part=4).collect()
+    got = {(r.doc_id, r.part_no): (r.successful, r.failed, r.total, r.summary) for r in found}
+    head = "✅ Processed 2/5 files successfully.\n❌ 3 files failed.\n"
+    assert len(found) == len(got) == 6 and got == {
+        (1, 0): (2, 3, 5, head + "  - u_3.txt: error 3"),
+        (1, 1): (2, 3, 5, "  - u_7.txt: error 7"),
+        (1, 2): (2, 3, 5, "  - u_10.txt: error 10"),
+        (2, 0): (1, 0, 1, "✅ Processed 1/1 files successfully."),
+        (3, 0): (0, 0, 0, "No files provided."),
+        (None, 1): (0, 1, 1, "✅ Processed 0/1 files successfully.\n❌ 1 files failed.\n  - w_5.txt: no audio"),
+    }
+    whole = {r.doc_id: r.summary for r in mf.batch_summary(outcomes).collect()}
+    assert whole[1] == head + "\n".join(f"  - u_{n}.txt: error {n}" for n in (3, 7, 10))
