@@ -4,6 +4,8 @@ import random
 import time
 from pathlib import Path
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from checks import fixtures as fx
@@ -14,7 +16,8 @@ from voxloom.operators.normalize import normalize
 from voxloom.operators.sentences import utterances
 from voxloom.streaming import phrase_batches
 from voxloom.streaming.phrase_batches import read_phrase_batches, write_phrase_batches
-from voxloom.streaming.phrases import stream_phrases
+from voxloom.streaming import phrases as streamed
+from voxloom.streaming.phrases import stream_phrases, word_runs
 from voxloom.streaming.runs import run_available
 from voxloom.streaming.utterances import stream_utterances
 
@@ -44,6 +47,30 @@ def test_phrases_in_any_order_of_arrival(spark, tmp_path):
         assert rows_of(found) == rows_of(ph.phrases(words))
 
 
+def test_words_go_to_the_state_in_runs(monkeypatch):
+    """A row for each run of following words, whatever the words hold; nothing lost or reordered."""
+    words = [("a", n, w) for n, w in enumerate(["", "வணக்கம்", "x y", "end."])] + [("a", 7, "b"), (None, 8, "c"), ("b", 0, "d"), ("b", 2, "e"), ("b", 1, "f")]
+    rows = [(u, n, w, n * 10, n + 1, w == "end.") for u, n, w in words]
+    schema = pa.schema([("utt_id", pa.string()), ("seq", pa.int64()), ("word", pa.string()), ("offset_ticks", pa.int64()),
+                        ("duration_ticks", pa.int64()), ("is_last", pa.bool_())])
+    batch = pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+
+    def unpacked():
+        runs = [r for b in word_runs(iter([batch.slice(0, 0), batch, batch.slice(2, 3)])) for r in b.to_pylist()]
+        found = []
+        for r in runs:
+            ends = np.cumsum(np.frombuffer(r["lengths"], np.int32)).tolist()
+            said = [r["text"][a:b] for a, b in zip([0, *ends], ends)]
+            columns = [np.frombuffer(r[c], t).tolist() for c, t in (("offsets", np.int64), ("durations", np.int64), ("lasts", bool))]
+            found += [(r["utt_id"], r["seq"] + i, *x) for i, x in enumerate(zip(said, *columns, strict=True))]
+        return runs, found
+
+    runs, found = unpacked()
+    assert found == rows + rows[2:5] and len(runs) == 6 + 2
+    monkeypatch.setattr(streamed, "RUN_BYTES", 1)
+    assert unpacked()[1] == found
+
+
 def test_phrases_with_the_default_state_store(spark, tmp_path):
     """A session that did not choose a state store: Spark's default keeps no list and map state."""
     plain = spark.newSession()
