@@ -58,6 +58,30 @@ def test_outcomes_of_streams(spark, tmp_path):
     assert rows_of(files_report(files, found, "out")) == rows_of(whole) and whole.count() == 6
 
 
+def test_state_of_outcomes_is_not_on_the_heap(spark, tmp_path):
+    """A session with Spark's default store: requests and reports wait in RocksDB, its memory bounded."""
+    plain = spark.newSession()
+    store = "spark.sql.streaming.stateStore."
+    plain.conf.set(f"{store}providerClass", "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider")
+    plain.conf.set("spark.sql.shuffle.partitions", "2")
+    tables = {
+        "asked": ([(1, 0, "prose", None, at(0)), (2, 0, "prose", None, at(1)), (9, 0, "end", None, at(9999))],
+                  "file_no bigint, cue_no int, kind string, error string, requested_at timestamp"),
+        "told": ([(1, 0, None, at(5)), (9, 0, None, at(9999))], "file_no bigint, cue_no int, error string, reported_at timestamp"),
+    }
+    streams = []
+    for name, (rows, schema) in tables.items():
+        frame = plain.createDataFrame(rows, schema)
+        frame.coalesce(1).write.parquet(str(tmp_path / name))
+        streams.append(stream_of(plain, frame, str(tmp_path / name)))
+    made = stream_outcomes(*streams)
+    found = plain.read.schema(made.schema).parquet(run_available(made, str(tmp_path / "out")))
+    assert {r.file_no: r.error for r in found.filter("file_no < 9").collect()} == {1: None, 2: "No outcome was reported."}
+    state = [p.suffix for p in (tmp_path / "out" / "_progress" / "state").rglob("*")]
+    assert ".zip" in state and ".delta" not in state
+    assert plain.conf.get(f"{store}rocksdb.boundedMemoryUsage") == "true"
+
+
 def test_merged_track(spark):
     requests = mf.synthesis_manifest(
         spark.createDataFrame([(1, n, f"s_{n:04d}.txt", "text") for n in (1, 2, 10, 11)],

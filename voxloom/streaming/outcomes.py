@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voxloom.operators.manifest import NO_OUTCOME
+from voxloom.streaming.state import keep_state_on_disk
 
 REQUESTED, REPORTED = "requested_at", "reported_at"
 
@@ -24,9 +25,11 @@ def stream_outcomes(
     requests has key, cue_no, kind, error (a request that cannot be made has one) and the
     timestamp requested_at; reports key, cue_no, error and reported_at. Rows that are more than
     `late` behind their stream may be lost. (key, cue_no, requested_at) names a request. State
-    holds the requests and reports of the waiting time; both sides are partitioned by (key,
-    cue_no), so a file of very many cues spreads. The batch form is plans.batch.outcomes_of.
+    holds the requests and reports of the waiting time, on disk: in a session with Spark's default
+    store, which is on the heap, this sets RocksDB. Both sides are partitioned by (key, cue_no), so
+    a file of very many cues spreads. The batch form is plans.batch.outcomes_of.
     """
+    keep_state_on_disk(requests.sparkSession)
     asked = requests.select(key, "cue_no", "kind", REQUESTED, F.col("error").alias("_own")).withWatermark(REQUESTED, late)
     told = reports.select(
         F.col(key).alias("_key"), F.col("cue_no").alias("_cue_no"), REPORTED, F.coalesce("error", F.lit("")).alias("_result")
