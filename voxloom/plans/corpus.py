@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voxloom.operators.blocks import settle
 from voxloom.operators.manifest import VOICE, batch_outcomes, output_files, synthesis_manifest
 from voxloom.operators.normalize import normalize, raw_line_count
 from voxloom.operators.pages import MAX_PAGES, pages_of_chunks, utterances_from_pages
@@ -54,10 +53,11 @@ def prepare_corpus_from_pages(
     pitch: int = 0,
     volume: int = 0,
     generate_subtitles: bool = False,
+    is_long: str | None = None,
 ) -> DataFrame:
     """Pages -> documents -> normalised text -> utterances -> requests."""
     made = utterances_from_pages(
-        pages, sentences_per_utterance, prefix, key, page_no, text, max_pages
+        pages, sentences_per_utterance, prefix, key, page_no, text, max_pages, is_long
     )
     return synthesis_manifest(made, voice, rate, pitch, volume, generate_subtitles, key)
 
@@ -70,8 +70,8 @@ def prepare_corpus_from_chunks(
     A text of more than max_pages pages is never put together: one of any size is the work of
     many tasks. options are those of prepare_corpus_from_pages.
     """
-    pages = settle(pages_of_chunks(chunks, key, chunk_no, text))
-    return prepare_corpus_from_pages(pages, key=key, text=text, max_pages=max_pages, **options)
+    pages = pages_of_chunks(chunks, key, chunk_no, text, max_pages=max_pages)
+    return prepare_corpus_from_pages(pages, key=key, text=text, max_pages=max_pages, is_long="is_long", **options)
 
 
 def merged_track(
